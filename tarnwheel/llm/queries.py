@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import quality
+from tarnwheel.llm import mixing, quality
 from tarnwheel.session import ship
 
 
@@ -22,8 +22,11 @@ def _sent(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _sent(f)
     for f in (
+        mixing.op1_mix_sources,
         quality.op2_quality_rules,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": mixing.ORACLE_OP1,
+}
