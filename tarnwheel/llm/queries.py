@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import mixing, quality
+from tarnwheel.llm import mixing, quality, records
 from tarnwheel.session import ship
 
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         mixing.op1_mix_sources,
         quality.op2_quality_rules,
+        records.op10_token_records,
     )
 }
 
