@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import mixing, quality, records
+from tarnwheel.llm import jaccard, mixing, quality, records
 from tarnwheel.session import ship
 
 
@@ -24,10 +24,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         mixing.op1_mix_sources,
         quality.op2_quality_rules,
+        jaccard.op8_jaccard_join,
         records.op10_token_records,
     )
 }
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": mixing.ORACLE_OP1,
+    "op8_jaccard_join": jaccard.ORACLE_OP8,
 }
