@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import jaccard, mixing, quality, records
+from tarnwheel.llm import decontaminate, jaccard, mixing, quality, records
 from tarnwheel.session import ship
 
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         mixing.op1_mix_sources,
         quality.op2_quality_rules,
+        decontaminate.op3_decontaminate,
         jaccard.op8_jaccard_join,
         records.op10_token_records,
     )
@@ -31,5 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": mixing.ORACLE_OP1,
+    "op3_decontaminate": decontaminate.ORACLE_OP3,
     "op8_jaccard_join": jaccard.ORACLE_OP8,
 }
