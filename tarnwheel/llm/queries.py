@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import decontaminate, htmltext, jaccard, mixing, quality, records
+from tarnwheel.llm import decontaminate, htmltext, jaccard, licenses, mixing, quality, records, unigram
 from tarnwheel.session import ship
 
 
@@ -25,7 +25,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mixing.op1_mix_sources,
         quality.op2_quality_rules,
         decontaminate.op3_decontaminate,
+        unigram.op4_token_counts,
         htmltext.op5_extract_text,
+        licenses.op7_license_scan,
         jaccard.op8_jaccard_join,
         records.op10_token_records,
     )
