@@ -1,6 +1,6 @@
 """License scans by conditional compression.
 
-Lines of a text that use a license's vocabulary are candidates, with GAP lines before and after; candidates that touch
+Lines of a text that use a license's vocabulary are candidates, with GAP lines before and after; candidates less than GAP apart
 are one block. A candidate is compressed on its own and with each wording as zstandard's
 raw dictionary; the bytes saved, as a share of the size on its own, rank the wordings. Those that save MIN_SAVED or
 more are confirmed, best first, by the exact differences: the block's and the wording's words are aligned, and the
@@ -109,7 +109,7 @@ def candidates(text: str) -> list[tuple[int, list[str]]]:
     lines = text.split("\n")
     runs: list[list[int]] = []
     for k in (k for k, line in enumerate(lines) if _CANDIDATE.search(line)):
-        if runs and k - GAP <= runs[-1][1]:
+        if runs and k - 2 * GAP <= runs[-1][1]:
             runs[-1][1] = min(len(lines), k + GAP + 1)
         else:
             runs.append([max(0, k - GAP), min(len(lines), k + GAP + 1)])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import decontaminate, htmltext, jaccard, licenses, mixing, quality, records, unigram
+from tarnwheel.llm import decontaminate, htmltext, jaccard, licenses, linededup, mixing, quality, records, unigram
 from tarnwheel.session import ship
 
 
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         htmltext.op5_extract_text,
         licenses.op7_license_scan,
         jaccard.op8_jaccard_join,
+        linededup.op9_line_dedup,
         records.op10_token_records,
     )
 }
@@ -36,5 +37,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_mix_sources": mixing.ORACLE_OP1,
     "op3_decontaminate": decontaminate.ORACLE_OP3,
+    "op9_line_dedup": linededup.ORACLE_OP9,
     "op8_jaccard_join": jaccard.ORACLE_OP8,
 }
