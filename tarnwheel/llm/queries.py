@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import decontaminate, htmltext, jaccard, licenses, linededup, mixing, quality, records, unigram
+from tarnwheel.llm import decontaminate, htmltext, jaccard, licenses, linededup, mixing, quality, records, suffixdedup, unigram
 from tarnwheel.session import ship
 
 
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         licenses.op7_license_scan,
         jaccard.op8_jaccard_join,
         linededup.op9_line_dedup,
+        suffixdedup.op6_suffix_dedup,
         records.op10_token_records,
     )
 }
