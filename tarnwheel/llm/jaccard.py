@@ -3,11 +3,12 @@
 Documents with equal sets of shingles are one node. Nodes are dealt into groups of similar ones: all with the same key
 token, cut into parts of about GROUP nodes. Inside a group every pair is compared exactly, by products of incidence
 matrices. The matrix has a row (token, group) for each token in the union of a group's prefixes. Each node queries it
-with its own prefix; a group can hold a partner only where the overlap reaches SHARED tokens and the sizes allow it,
-and only such groups are opened and their members compared exactly.
+with its own prefix; a group can hold a partner only where the overlap is large enough and the sizes allow it, and
+only such groups are opened and their members compared exactly.
 
 Prefixes: a pair at the least similarity lacks at most n - ceil(0.9 n) tokens of either side, so of the first
-n - ceil(0.9 n) + SHARED tokens of both, in one order for all, at least SHARED agree. The order puts common tokens last:
+n - ceil(0.9 n) + k tokens of both, in one order for all, at least k agree. k is `shared(n)`; a partner has at least
+ceil(0.9 n) tokens, so shared(ceil(0.9 n)) agree whatever the partner is. The order puts common tokens last:
 tokens that make up over 1 / 2**HOT_BITS of all occurrences are listed by a full count (so there are fewer than
 2**HOT_BITS of them, which bounds what is broadcast) and sorted by it. The order decides how many groups are opened,
 never which links are found.
@@ -25,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwheel.llm.components import components
@@ -35,11 +36,13 @@ from tarnwheel.session import written
 SHINGLE = 3
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-SHARED = 3
-HOT_BITS = 20
+#: A prefix has so many tokens more than can be missing: one in SHARE, and LEAST_SHARED at least.
+SHARE, LEAST_SHARED = 32, 3
+HOT_BITS = 22
 GROUP = 1024
-#: Ids are broadcast to find the texts of candidates up to this number (16 MB); beyond, the texts are joined by shuffle.
-MOST_IDS = 2_000_000
+#: A table is broadcast up to so many rows (of 40 bytes at most), one of tokens up to more (8 bytes each); beyond,
+#: both sides are shuffled.
+MOST_ROWS, MOST_TOKENS = 500_000, 1_500_000
 NO_ID = -(1 << 63)
 _HOT_TABLE = 1 << 21
 
@@ -49,6 +52,15 @@ def least(n: np.ndarray) -> np.ndarray:
     return (PERCENT * n + 99) // 100
 
 
+def shared(n: np.ndarray) -> np.ndarray:
+    """How many tokens more than can be missing a set's prefix has."""
+    return np.maximum(LEAST_SHARED, n // SHARE)
+
+
+#: What of its prefix a node of n tokens has in common with any partner.
+OVERLAP = f"greatest({LEAST_SHARED}, ceil({PERCENT} * n / 100) div {SHARE})"
+
+
 def tokens(block: Block, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """All shingle hashes of a block with repeats, and the text of each."""
     starts, ends, firsts = block.words()
@@ -90,12 +102,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if waiting:
         keys, counts = merged()
     some = counts >= max(2, total >> (HOT_BITS + 1))
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[some], 0).astype(np.uint64).view(np.int64)), pa.array(np.append(counts[some], total)), pa.array(np.append(np.zeros(int(some.sum()), bool), True))], ["token", "n", "total"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[some], np.uint64(0)).view(np.int64)), pa.array(np.append(counts[some], total)), pa.array(np.append(np.zeros(int(some.sum()), bool), True))], ["token", "n", "total"])
 
 
 def hot_tokens(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Tokens with over 1 / 2**HOT_BITS of all occurrences, sorted, and their counts."""
-    counts = written(docs.select(text_col).mapInArrow(_counted, "token long, n long, total boolean").groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
+    # one task for each core, so that a task sees enough of a token to tell that it is frequent
+    counted = docs.select(text_col).coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
+    counts = written(counted.mapInArrow(_counted, "token long, n long, total boolean").groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
     total = counts.where("total").agg(F.sum("n")).first()[0] or 0
     hot = counts.where(~F.col("total") & (F.col("n") > max(8, total >> HOT_BITS))).select("token", "n").toArrow()
     keys = hot.column("token").to_numpy().view(np.uint64)
@@ -116,8 +130,8 @@ def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray])
             found, of, count = _distinct(found, of, count)
             firsts = np.searchsorted(of, np.arange(len(offsets)))
             n = np.diff(firsts)
-            node = mix(sums_by_wrapped(mix(found + np.uint64(0x51ED270B)), firsts) + n.astype(np.uint64))
-            size = np.minimum(n, n - least(n) + SHARED)
+            node = _node(found, firsts)
+            size = np.minimum(n, n - least(n) + shared(n))
             at = np.repeat(firsts[:-1], size) + _ramp(size)
             prefix, is_hot = found[at], count[at] > 0
             begin = np.concatenate([[0], np.cumsum(size)])
@@ -147,25 +161,25 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - sizes, sizes)
 
 
-def sums_by_wrapped(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Sums modulo 2**64 over the items of each text."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values, dtype=np.uint64, out=total[1:])
-    return total[firsts[1:]] - total[firsts[:-1]]
+def _node(found: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """A hash of each text's set: of the sum of its tokens' hashes, and its size."""
+    total = np.zeros(len(found) + 1, np.uint64)
+    np.cumsum(mix(found + np.uint64(0x51ED270B)), dtype=np.uint64, out=total[1:])
+    return mix(total[firsts[1:]] - total[firsts[:-1]] + np.diff(firsts).astype(np.uint64))
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (node, tokens): the sorted distinct tokens as bytes."""
+def _token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, node, roles) to (node, tokens, roles): the distinct tokens as bytes, for texts that are their node's."""
     for batch in batches:
-        nodes, sets = [], []
-        for _, _, data, offsets in blocks(batch.column(0)):
+        sets, fits = [], np.zeros(batch.num_rows, bool)
+        wanted = batch.column(1).to_numpy().view(np.uint64)
+        for a, b, data, offsets in blocks(batch.column(0)):
             found, of = tokens(Block(data, offsets, lower=True))
             found, of, _ = _distinct(found, of, np.zeros(len(found), np.int64))
             firsts = np.searchsorted(of, np.arange(len(offsets)))
-            nodes.append(mix(sums_by_wrapped(mix(found + np.uint64(0x51ED270B)), firsts) + np.diff(firsts).astype(np.uint64)))
-            sets += [found[a:b].tobytes() for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
-        if nodes:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes).view(np.int64)), pa.array(sets, pa.binary())], ["node", "tokens"])
+            fits[a:b] = _node(found, firsts) == wanted[a:b]
+            sets += [found[x:y].tobytes() for x, y in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary()), batch.column(2)], ["node", "tokens", "roles"]).filter(pa.array(fits))
 
 
 def compared(own: list[bytes], others: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -252,62 +266,69 @@ def _parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _grouped(df: DataFrame) -> DataFrame:
-    return df.repartition(_parts(df.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(_linked, "a long, b long")
+def _small(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """df to be broadcast if a count shows that it may be; else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def _slot(parts: Column) -> Column:
+    """A node's place among so many parts, by its hash."""
+    return F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * parts / F.lit(1 << 40))
+
+
+def _links(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all nodes which any links connect."""
+    # two different sets link from a union of ten on, so the smaller has nine at least
+    base = rows.where(F.col("n") >= -(-PERCENT // (100 - PERCENT)))
+    large = base.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > GROUP)
+    base = base.join(_small(written(large, "large-keys")), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce(F.ceil(F.col("members") / GROUP), F.lit(1)))))
+
+    member = base.select("gid", "node", "n", F.explode("prefix").alias("token"))
+    several = member.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
+    asked = written(member.join(_small(written(several, "shared-tokens"), MOST_TOKENS), "token", "left_semi").distinct(), "asked")
+    able = written(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {OVERLAP}").select("node", "gid"), "able")
+    asked = asked.join(_small(able.select("node")), "node", "left_semi")
+    matrix = written(asked.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.min("node") < F.max("node")).alias("twice")), "matrix")
+
+    q, g = asked.alias("q"), matrix.alias("g")
+    fits = f"q.token = g.token and 100 * q.n >= {PERCENT} * g.low and 100 * g.high >= {PERCENT} * q.n and (q.gid > g.gid or q.gid = g.gid and g.twice)"
+    open_ = q.join(g, F.expr(fits)).groupBy("q.node", "q.n", "g.gid", (F.col("q.gid") == F.col("g.gid")).alias("own")).agg(F.count("*").alias("overlap"))
+    open_ = written(open_.where(f"overlap >= {OVERLAP}").select("node", "gid", "own"), "open-groups")
+
+    # what each node's set is needed for: in its own group (part -1), as a member of an opened one, as a query to one
+    zero, none = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    counts = written(open_.where("not own").groupBy("gid").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "open-parts")
+    inside = open_.where("own").select("node", "gid", none.alias("part"), F.lit(0).alias("query"))
+    members = able.join(counts, "gid").select("node", "gid", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(0).alias("query"))
+    queries = open_.where("not own").join(counts, "gid").select("node", "gid", _slot(F.col("parts")).alias("part"), F.lit(1).alias("query"))
+    roles = inside.union(members).union(queries).groupBy("node").agg(F.collect_list(F.struct("gid", "part", "query")).alias("roles"))
+    roles = written(roles, "roles")
+    ids = base.select("node", "id").join(_small(roles.select("node")), "node", "left_semi").groupBy("node").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("id"))
+    needed = written(roles.join(ids, "node").select("id", "node", "roles"), "needed")
+    few = (needed.agg(F.sum(F.size("roles"))).first()[0] or 0) <= MOST_ROWS
+    sets = texts.withColumn("id", F.coalesce("id", F.lit(NO_ID))).join(F.broadcast(needed) if few else needed, "id").select("text", "node", "roles")
+    kind = "array<struct<gid: long, part: long, query: int>>"
+    sets = sets.mapInArrow(_token_sets, f"node long, tokens binary, roles {kind}").select(F.explode("roles").alias("r"), "node", "tokens").select("r.gid", "r.part", "r.query", "node", "tokens")
+    return sets.repartition(_parts(texts.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(_linked, "a long, b long")
 
 
 def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id, n_shingles and component_id; all links with enough similarity are found."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    hot = spark.sparkContext.broadcast(hot_tokens(texts, "text"))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(texts, "text"))
     rows = written(texts.mapInArrow(lambda it: _sets(it, hot.value), "id long, node long, n long, key long, prefix array<long>"), "sets")
-    # two different sets link from a union of ten on, so the smaller has nine at least
-    least_n = -(-PERCENT // (100 - PERCENT))
-    nodes = rows.where(F.col("n") >= least_n).groupBy("node").agg(F.first("n").alias("n"), F.first("key").alias("key"), F.first("prefix").alias("prefix"), F.min(F.coalesce("id", F.lit(NO_ID))).alias("id"))
-    sizes = nodes.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    by_key = F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * F.ceil(F.coalesce("members", F.lit(1)) / GROUP) / F.lit(1 << 40))
-    nodes = written(nodes.join(sizes, "key", "left").withColumn("gid", F.when(F.col("members") > 1, F.xxhash64("key", by_key)).otherwise(F.col("node"))).withColumn("members", F.coalesce("members", F.lit(1))), "nodes")
-
-    member = nodes.select("gid", "node", "n", F.explode("prefix").alias("token"))
-    matrix = member.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    several = written(matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token"), "shared-tokens")
-    matrix = written(matrix.join(several, "token", "left_semi"), "matrix")
-    asked = member.join(several, "token", "left_semi")
-    q, g = asked.alias("q"), matrix.alias("g")
-    open_ = (
-        q.join(g, F.expr(f"q.token = g.token and q.gid > g.gid and 100 * q.n >= {PERCENT} * g.low and 100 * g.high >= {PERCENT} * q.n"))
-        .groupBy(F.col("q.node").alias("node"), F.col("g.gid").alias("gid"))
-        .agg(F.count("*").alias("overlap"))
-        .where(F.col("overlap") >= SHARED)
-        .select("node", "gid")
-    )
-    open_ = written(open_, "open-groups")
-    counts = written(open_.groupBy("gid").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "open-parts")
-    inside = nodes.where("members > 1").select("node")
-    needed = inside.union(open_.select("node")).union(nodes.join(counts, "gid", "left_semi").select("node")).distinct()
-    needed = written(needed.join(nodes.select("node", "id"), "node"), "needed")
-    ids = needed.select("id").distinct()
-    keyed = texts.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-    some = keyed.join(F.broadcast(ids) if needed.count() <= MOST_IDS else ids, "id", "left_semi")
-    sets = written(some.select("text").mapInArrow(_nodes, "node long, tokens binary").dropDuplicates(["node"]).join(needed.select("node"), "node", "left_semi"), "needed-sets")
-
-    zero, yes = F.lit(0).cast("long"), F.lit(1)
-    own = nodes.where("members > 1").select("node", "gid").join(sets, "node").select("gid", zero.alias("part"), F.lit(0).alias("query"), "node", "tokens")
-    members = nodes.join(counts, "gid").select("node", "gid", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part")).join(sets, "node").select("gid", "part", F.lit(0).alias("query"), "node", "tokens")
-    queries = open_.join(counts, "gid").select("node", "gid", F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * F.col("parts") / F.lit(1 << 40)).alias("part")).join(sets, "node").select("gid", "part", yes.alias("query"), "node", "tokens")
-    links = _grouped(own).union(_grouped(members.union(queries)))
-    roots = components(links)
-    least_id = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # only components of several documents need their least id looked up
-    first = least_id.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"))
-    return least_id.join(first, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    roots = written(components(_links(texts, rows)), "roots")
+    rooted = rows.select("id", "node", "n").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a document alone in its component needs no look-up
+    first = rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("c")).where("c > 1").drop("c")
+    both = rooted.join(_small(written(first, "first-ids")), "root", "left")
+    return both.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Callable = self_join) -> DataFrame:
-    """The documents without later members of each component, with all their columns."""
-    gone = written(join(docs, id_col, text_col).where("component_id < doc_id").select(F.col(id_col).alias("_gone")).distinct(), "later-members")
-    return docs.join(F.broadcast(gone) if gone.count() <= MOST_IDS else gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The documents without later members of each component, with all their columns; rows that repeat an id stay together."""
+    gone = written(join(docs, id_col, text_col).where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(), "later-members")
+    return docs.join(_small(gone), docs[id_col] == gone["_gone"], "left_anti")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
