@@ -6,9 +6,9 @@ matrices. The matrix has a row (token, group) for each token in the union of a g
 with its own prefix; a group can hold a partner only where the overlap is large enough and the sizes allow it, and
 only such groups are opened and their members compared exactly.
 
-Prefixes: a pair at the least similarity lacks at most n - ceil(0.9 n) tokens of either side, so of the first
-n - ceil(0.9 n) + k tokens of both, in one order for all, at least k agree. k is `shared(n)`; a partner has at least
-ceil(0.9 n) tokens, so shared(ceil(0.9 n)) agree whatever the partner is. The order puts common tokens last:
+Prefixes: a pair has at least `least(n)` tokens in common, n the size of either (at 0.9, ceil(0.9 n)), so of the first
+n - least(n) + k tokens of both, in one order for all, at least k agree. k is `shared(n)`; a partner has at least
+least(n) tokens, so shared(least(n)) agree whatever the partner is. The order puts common tokens last:
 tokens that make up over 1 / 2**HOT_BITS of all occurrences are listed by a full count (so there are fewer than
 2**HOT_BITS of them, which bounds what is broadcast) and sorted by it. The order decides how many groups are opened,
 never which links are found.
@@ -22,7 +22,7 @@ other than id and text don't matter.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,8 @@ from tarnwheel.llm.components import components
 from tarnwheel.llm.textarrays import Block, blocks, grams, mix, owners, sums_by
 from tarnwheel.session import written
 
-SHINGLE = 3
-#: Two sets link when 100 * intersection >= PERCENT * union.
-PERCENT = 90
+#: Words in a shingle, and the least percentage of the union that two linked sets have in common.
+SHINGLE, PERCENT = 5, 80
 #: A prefix has so many tokens more than can be missing: one in SHARE, and LEAST_SHARED at least.
 SHARE, LEAST_SHARED = 32, 3
 HOT_BITS = 22
@@ -47,21 +46,23 @@ NO_ID = -(1 << 63)
 _HOT_TABLE = 1 << 21
 
 
-def least(n: np.ndarray) -> np.ndarray:
+def least(n: np.ndarray, percent: int) -> np.ndarray:
     """Fewest common tokens of a set of size n with any partner."""
-    return (PERCENT * n + 99) // 100
+    return (percent * n + 99) // 100
 
 
-def shared(n: np.ndarray) -> np.ndarray:
+def shared(n: np.ndarray, percent: int) -> np.ndarray:
     """How many tokens more than can be missing a set's prefix has."""
-    return np.maximum(LEAST_SHARED, n // SHARE)
+    return np.minimum(np.maximum(LEAST_SHARED, n // SHARE), least(n, percent))
 
 
-#: What of its prefix a node of n tokens has in common with any partner.
-OVERLAP = f"greatest({LEAST_SHARED}, ceil({PERCENT} * n / 100) div {SHARE})"
+def overlap(percent: int) -> str:
+    """SQL for what of its prefix a node of n tokens has in common with any partner: shared(least(n))."""
+    fewest = f"(({percent} * n + 99) div 100)"
+    return f"least(greatest({LEAST_SHARED}, {fewest} div {SHARE}), ({percent} * {fewest} + 99) div 100)"
 
 
-def tokens(block: Block, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def tokens(block: Block, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """All shingle hashes of a block with repeats, and the text of each."""
     starts, ends, firsts = block.words()
     of, h = owners(firsts), block.hashes(starts, ends)
@@ -75,7 +76,7 @@ def tokens(block: Block, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([full, whole]), np.concatenate([of[at], few])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """A task's frequent tokens with their counts, and the total under token 0, flagged."""
     keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
@@ -85,8 +86,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.clear()
         order = np.argsort(k)
         k, c = k[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        k, c = k[first], np.add.reduceat(c, first)
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])[: len(k)])
+        k, c = (k[first], np.add.reduceat(c, first)) if len(k) else (k, c)
         if len(k) > _HOT_TABLE:
             often = np.argpartition(c, len(c) - _HOT_TABLE // 2)[len(c) - _HOT_TABLE // 2 :]
             k, c = k[often], c[often]
@@ -94,7 +95,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for _, _, data, offsets in blocks(batch.column(0)):
-            found, _ = tokens(Block(data, offsets, lower=True))
+            found, _ = tokens(Block(data, offsets, lower=True), shingle)
             total += len(found)
             waiting.append(np.unique(found, return_counts=True))
             if sum(len(k) for k, _ in waiting) > _HOT_TABLE:
@@ -105,11 +106,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[some], np.uint64(0)).view(np.int64)), pa.array(np.append(counts[some], total)), pa.array(np.append(np.zeros(int(some.sum()), bool), True))], ["token", "n", "total"])
 
 
-def hot_tokens(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+def hot_tokens(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens with over 1 / 2**HOT_BITS of all occurrences, sorted, and their counts."""
     # one task for each core, so that a task sees enough of a token to tell that it is frequent
     counted = docs.select(text_col).coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
-    counts = written(counted.mapInArrow(_counted, "token long, n long, total boolean").groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
+    counts = written(counted.mapInArrow(lambda it: _counted(it, shingle), "token long, n long, total boolean").groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
     total = counts.where("total").agg(F.sum("n")).first()[0] or 0
     hot = counts.where(~F.col("total") & (F.col("n") > max(8, total >> HOT_BITS))).select("token", "n").toArrow()
     keys = hot.column("token").to_numpy().view(np.uint64)
@@ -117,12 +118,12 @@ def hot_tokens(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], hot.column("n").to_numpy()[order]
 
 
-def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     """(id, text) to (id, node, n, key, prefix)."""
     for batch in batches:
         parts = []
         for _, _, data, offsets in blocks(batch.column(1)):
-            found, of = tokens(Block(data, offsets, lower=True))
+            found, of = tokens(Block(data, offsets, lower=True), shingle)
             count = np.zeros(len(found), np.int64)
             if len(hot[0]):
                 where = np.minimum(np.searchsorted(hot[0], found), len(hot[0]) - 1)
@@ -131,7 +132,7 @@ def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray])
             firsts = np.searchsorted(of, np.arange(len(offsets)))
             n = np.diff(firsts)
             node = _node(found, firsts)
-            size = np.minimum(n, n - least(n) + shared(n))
+            size = n - least(n, percent) + shared(n, percent)
             at = np.repeat(firsts[:-1], size) + _ramp(size)
             prefix, is_hot = found[at], count[at] > 0
             begin = np.concatenate([[0], np.cumsum(size)])
@@ -168,13 +169,13 @@ def _node(found: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return mix(total[firsts[1:]] - total[firsts[:-1]] + np.diff(firsts).astype(np.uint64))
 
 
-def _token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _token_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """(text, node, roles) to (node, tokens, roles): the distinct tokens as bytes, for texts that are their node's."""
     for batch in batches:
         sets, fits = [], np.zeros(batch.num_rows, bool)
         wanted = batch.column(1).to_numpy().view(np.uint64)
         for a, b, data, offsets in blocks(batch.column(0)):
-            found, of = tokens(Block(data, offsets, lower=True))
+            found, of = tokens(Block(data, offsets, lower=True), shingle)
             found, of, _ = _distinct(found, of, np.zeros(len(found), np.int64))
             firsts = np.searchsorted(of, np.arange(len(offsets)))
             fits[a:b] = _node(found, firsts) == wanted[a:b]
@@ -182,7 +183,7 @@ def _token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary()), batch.column(2)], ["node", "tokens", "roles"]).filter(pa.array(fits))
 
 
-def compared(own: list[bytes], others: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def compared(own: list[bytes], others: list[bytes] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs of sets: within `own`, or between `own` and `others`; as two arrays of positions."""
     everything = [np.frombuffer(x, np.uint64) for x in own + (others or [])]
     n = np.array([len(x) for x in everything])
@@ -203,7 +204,7 @@ def compared(own: list[bytes], others: list[bytes] | None = None) -> tuple[np.nd
         table[of[some], column[some] - at] = 1
         common += (table if others is None else table[m:]) @ table[:m].T
     size = n if others is None else n[m:]
-    linked = 100 * common >= PERCENT * (size[:, None] + n[None, :m] - common)
+    linked = 100 * common >= percent * (size[:, None] + n[None, :m] - common)
     if others is None:
         linked = np.tril(linked, -1)
     return np.nonzero(linked)
@@ -228,7 +229,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (gid, part, query, node, tokens) sorted by gid and part to links (a, b), group by group.
 
     A group without queries is compared with itself; else its queries with its members.
@@ -239,10 +240,10 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> None:
         own, others = rows
         if len(own) > 1 and not others:
-            a, b = compared([t for _, t in own])
+            a, b = compared([t for _, t in own], None, percent)
             out.extend((own[x][0], own[y][0]) for x, y in forest(a, b))
         elif own and others:
-            a, b = compared([t for _, t in own], [t for _, t in others])
+            a, b = compared([t for _, t in own], [t for _, t in others], percent)
             out.extend((others[x][0], own[y][0]) for x, y in forest(a + len(own), b) for x in [x - len(own)])
 
     def flush() -> pa.RecordBatch:
@@ -276,24 +277,24 @@ def _slot(parts: Column) -> Column:
     return F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * parts / F.lit(1 << 40))
 
 
-def _links(texts: DataFrame, rows: DataFrame) -> DataFrame:
+def _links(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all nodes which any links connect."""
-    # two different sets link from a union of ten on, so the smaller has nine at least
-    base = rows.where(F.col("n") >= -(-PERCENT // (100 - PERCENT)))
+    # of two different sets that link, the smaller lacks one token of the union at least (at 0.9: nine of ten)
+    base = rows.where(F.col("n") >= -(-percent // max(1, 100 - percent)))
     large = base.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > GROUP)
     base = base.join(_small(written(large, "large-keys")), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce(F.ceil(F.col("members") / GROUP), F.lit(1)))))
 
     member = base.select("gid", "node", "n", F.explode("prefix").alias("token"))
     several = member.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
     asked = written(member.join(_small(written(several, "shared-tokens"), MOST_TOKENS), "token", "left_semi").distinct(), "asked")
-    able = written(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {OVERLAP}").select("node", "gid"), "able")
+    able = written(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {overlap(percent)}").select("node", "gid"), "able")
     asked = asked.join(_small(able.select("node")), "node", "left_semi")
     matrix = written(asked.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.min("node") < F.max("node")).alias("twice")), "matrix")
 
     q, g = asked.alias("q"), matrix.alias("g")
-    fits = f"q.token = g.token and 100 * q.n >= {PERCENT} * g.low and 100 * g.high >= {PERCENT} * q.n and (q.gid > g.gid or q.gid = g.gid and g.twice)"
+    fits = f"q.token = g.token and 100 * q.n >= {percent} * g.low and 100 * g.high >= {percent} * q.n and (q.gid > g.gid or q.gid = g.gid and g.twice)"
     open_ = q.join(g, F.expr(fits)).groupBy("q.node", "q.n", "g.gid", (F.col("q.gid") == F.col("g.gid")).alias("own")).agg(F.count("*").alias("overlap"))
-    open_ = written(open_.where(f"overlap >= {OVERLAP}").select("node", "gid", "own"), "open-groups")
+    open_ = written(open_.where(f"overlap >= {overlap(percent)}").select("node", "gid", "own"), "open-groups")
 
     # what each node's set is needed for: in its own group (part -1), as a member of an opened one, as a query to one
     zero, none = F.lit(0).cast("long"), F.lit(-1).cast("long")
@@ -308,16 +309,16 @@ def _links(texts: DataFrame, rows: DataFrame) -> DataFrame:
     few = (needed.agg(F.sum(F.size("roles"))).first()[0] or 0) <= MOST_ROWS
     sets = texts.withColumn("id", F.coalesce("id", F.lit(NO_ID))).join(F.broadcast(needed) if few else needed, "id").select("text", "node", "roles")
     kind = "array<struct<gid: long, part: long, query: int>>"
-    sets = sets.mapInArrow(_token_sets, f"node long, tokens binary, roles {kind}").select(F.explode("roles").alias("r"), "node", "tokens").select("r.gid", "r.part", "r.query", "node", "tokens")
-    return sets.repartition(_parts(texts.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(_linked, "a long, b long")
+    sets = sets.mapInArrow(lambda it: _token_sets(it, shingle), f"node long, tokens binary, roles {kind}").select(F.explode("roles").alias("r"), "node", "tokens").select("r.gid", "r.part", "r.query", "node", "tokens")
+    return sets.repartition(_parts(texts.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(lambda it: _linked(it, percent), "a long, b long")
 
 
-def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Each row's id, n_shingles and component_id; all links with enough similarity are found."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(texts, "text"))
-    rows = written(texts.mapInArrow(lambda it: _sets(it, hot.value), "id long, node long, n long, key long, prefix array<long>"), "sets")
-    roots = written(components(_links(texts, rows)), "roots")
+    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(texts, "text", shingle))
+    rows = written(texts.mapInArrow(lambda it: _sets(it, hot.value, shingle, percent), "id long, node long, n long, key long, prefix array<long>"), "sets")
+    roots = written(components(_links(texts, rows, shingle, percent)), "roots")
     rooted = rows.select("id", "node", "n").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # a document alone in its component needs no look-up
     first = rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("c")).where("c > 1").drop("c")
@@ -325,14 +326,14 @@ def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return both.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Callable = self_join) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without later members of each component, with all their columns; rows that repeat an id stay together."""
-    gone = written(join(docs, id_col, text_col).where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(), "later-members")
+    gone = written(self_join(docs, id_col, text_col, **options).where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(), "later-members")
     return docs.join(_small(gone), docs[id_col] == gone["_gone"], "left_anti")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return self_join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return self_join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), shingle=3, percent=90)
 
 
 ORACLE_OP8 = r"""
