@@ -45,6 +45,8 @@ SIDE = WINDOW - GRAM
 WIDTH = WINDOW + SIDE
 #: Segments that are sorted at once, and the most that one anchor may have there.
 TOGETHER, HOT = 30_000, 200_000
+#: Bytes of texts, segments and texts that a step of a worker holds beside its batch.
+BYTES, CUT, TEXTS = 1 << 20, 6_000, 250
 #: Most rows of a table that is broadcast.
 MOST_ROWS = 300_000
 
@@ -54,30 +56,40 @@ def anchors(block: Block) -> tuple[np.ndarray, np.ndarray]:
     n = len(block.data)
     if n < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(n - GRAM + 1)
-    h = block.hashes(at, at + GRAM)
-    # the least hash with its leftmost place among 1, 2, 4, .. grams, then among all of a string's
-    least, place, span = h, at, 1
-    while True:
-        step = min(span, SIDE + 1 - span)
-        left, right = least[: len(least) - step], least[step:]
-        place = np.where(left <= right, place[: len(place) - step], place[step:])
-        least, span = np.minimum(left, right), span + step
-        if span == SIDE + 1:
-            break
-    starts = np.arange(len(place))
-    text = np.searchsorted(block.offsets, starts, "right") - 1
-    whole = starts + WINDOW <= block.offsets[text + 1]
-    place = place[whole]
+    h = block.hashes(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
+    out = [_least(h[a : a + _PIECE + SIDE]) + a for a in range(0, max(1, len(h) - SIDE), _PIECE)]
+    least = np.concatenate(out)  # for each start of a string, the place of its anchor
+    inside = np.zeros(n + 1, np.int32)  # starts of strings that end within their text
+    np.add.at(inside, block.offsets[:-1], 1)
+    np.add.at(inside, np.maximum(block.offsets[:-1], block.offsets[1:] - WINDOW + 1), -1)
+    place = least[np.cumsum(inside)[: len(least)] > 0]
     place = place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
     return place, h[place]
 
 
+#: Places that fit beside a hash's upper bits.
+_PLACE_BITS = 22
+_PIECE = (1 << _PLACE_BITS) - SIDE
+
+
+def _least(h: np.ndarray) -> np.ndarray:
+    """The place of the least of each SIDE + 1 neighbours, the leftmost of equals: least before and after block edges."""
+    width, mask = SIDE + 1, np.uint64((1 << _PLACE_BITS) - 1)
+    rows = -(-len(h) // width)
+    keyed = np.full(rows * width, np.uint64(2**64 - 1))
+    keyed[: len(h)] = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
+    table = keyed.reshape(rows, width)
+    before = np.minimum.accumulate(table, axis=1).ravel()
+    after = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
+    n = len(h) - SIDE
+    return (np.minimum(after[:n], before[SIDE : SIDE + n]) & mask).astype(np.int64)
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, text) to (h, row, at) of each anchor; at counts bytes from the text's start."""
     for batch in batches:
         rows = batch.column(0).to_numpy()
-        for a, _, data, offsets in blocks(batch.column(1)):
+        for a, _, data, offsets in blocks(batch.column(1), BYTES):
             place, h = anchors(Block(data, offsets))
             text = np.searchsorted(offsets, place, "right") - 1
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rows[a + text]), pa.array((place - offsets[text]).astype(np.int32))], ["h", "row", "at"])
@@ -143,18 +155,18 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, rows = batch.column(0), batch.column(1).to_numpy()
         spots = batch.column(3)
-        for a, b, data, offsets in blocks(batch.column(2)):
+        for a, b, data, offsets in blocks(batch.column(2), BYTES):
             found = spots.slice(a, b - a)
             n = np.diff(found.offsets.to_numpy())
             flat = found.flatten()
             at, h, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("at", "h", "hot"))
             text = np.repeat(np.arange(b - a), n)
-            for c in range(0, len(at), TOGETHER):  # memory: WIDTH bytes for each
-                s = slice(c, c + TOGETHER)
+            for c in range(0, len(at), CUT):
+                s = slice(c, c + CUT)
                 place = offsets[text[s]] + at[s]
                 left = np.minimum(SIDE, at[s])
                 right = np.minimum(SIDE, offsets[text[s] + 1] - place - GRAM)
-                column = place[:, None] + np.arange(-SIDE, WIDTH - SIDE)[None, :]
+                column = place.astype(np.int32)[:, None] + np.arange(-SIDE, WIDTH - SIDE, dtype=np.int32)[None, :]
                 cut = data[np.clip(column, 0, max(0, len(data) - 1))]
                 cut[(column < (place - left)[:, None]) | (column >= (place + GRAM + right)[:, None])] = 0
                 full = np.flatnonzero((left == SIDE) & (right == SIDE))
@@ -303,8 +315,9 @@ def _covered(docs: DataFrame, id_col: str, text_col: str, hot: int) -> tuple[Dat
     later = F.col("_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     once = texts.join(_small(owners.withColumnRenamed("md", "_md")), F.col("md") == F.col("_md"), "left").where(~later).select("id", "row", "text")
 
+    # repeated rows give each place twice: a set
     found = once.select("row", "text").mapInArrow(_anchored, "h long, row long, at int").repartition(parts, "h").sortWithinPartitions("h")
-    spots = found.mapInArrow(lambda it: _repeated(it, hot), "h long, row long, at int, hot boolean").groupBy("row").agg(F.collect_list(F.struct("at", "h", "hot")).alias("spots"))
+    spots = found.mapInArrow(lambda it: _repeated(it, hot), "h long, row long, at int, hot boolean").groupBy("row").agg(F.collect_set(F.struct("at", "h", "hot")).alias("spots"))
     kinds = "h long, hot boolean, id long, row long, at int, left int, right int, bytes binary"
     segments = once.join(spots, "row").select("id", "row", "text", "spots").mapInArrow(_segments, kinds)
 
@@ -316,7 +329,8 @@ def _covered(docs: DataFrame, id_col: str, text_col: str, hot: int) -> tuple[Dat
     first = strings.groupBy("x", "y").agg(F.min(who).alias("first"), F.max(who).alias("_last")).where("first <> _last").drop("_last")
     later = strings.join(first, ["x", "y"]).where(who > F.col("first"))
     spans = found.where("x is null").select("row", "start", "stop").union(later.select("row", "start", "stop"))
-    return written(spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "row-spans"), owners
+    each = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return written(each.mapInArrow(_runs, "row long, spans array<struct<start: int, stop: int>>"), "row-spans"), owners
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -330,13 +344,21 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, spans) to (row, maximal runs)."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    for batch in batches:
+        runs = [[{"start": a, "stop": b} for a, b in merged(x)] for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(runs, kind)], ["row", "spans"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
     """(id, text, later, spans) to the id, the bytes left, and what went."""
-    for batch in batches:
+    for batch in (whole.slice(k, TEXTS) for whole in batches for k in range(0, whole.num_rows, TEXTS)):
         sizes, spans, kept = [], [], []
         for text, later, found in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
             data = text.encode()
-            runs = ([(0, len(data))] if len(data) >= WINDOW else []) if later else merged(found or [])
+            runs = ([(0, len(data))] if len(data) >= WINDOW else []) if later else [(x["start"], x["stop"]) for x in found or []]
             edges = [0, *(x for run in runs for x in run), len(data)]
             kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             sizes.append(len(data))
@@ -350,7 +372,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     spans, owners = _covered(docs, id_col, text_col, hot)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     owners, spans = owners.withColumnRenamed("md", "_md"), spans.withColumnRenamed("row", "_row")
-    rows = texts.join(_small(owners), F.md5("text") == F.col("_md"), "left").join(_small(spans), F.xxhash64("id", "text") == F.col("_row"), "left")
+    few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= MOST_ROWS
+    rows = texts.join(_small(owners), F.md5("text") == F.col("_md"), "left").join(F.broadcast(spans) if few else spans, F.xxhash64("id", "text") == F.col("_row"), "left")
     later = F.col("_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     schema = f"`{id_col}` long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
     return rows.select("id", "text", later.alias("later"), "spans").mapInArrow(lambda it: _cut(it, id_col), schema)
