@@ -5,7 +5,8 @@ excess reshared by weight. A target is whole copies of the source, which are cer
 fixed-size sample with unequal inclusion probabilities: a document's rank is q = (u / (1 - u)) / (p / (1 - p)) with u a
 uniform number hashed from its id and p / (1 - p) its inclusion odds (the source's f / (1 - f), times the document's
 own odds), and the smallest ranks are taken. The size that is fixed is that in words: the sample ends where the next
-rank would pass the target, and its last FILLS members are those further documents that come nearest to what is left.
+rank would pass the target, and FILLS documents at most are then put in or left out, each the one that brings the sum
+nearest to the target.
 
 What comes out is a plan with one row for each source (target, whole copies, the last rank taken), so the documents,
 texts and all, are never shuffled: each row is decided where it is read.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tarnwheel.session import written
 
 MAX_COPIES = 3
-FILLS = 2
+FILLS = 4
 SEED = "mix-1"
 #: A list of sources up to this length is broadcast (its rows are under 300 bytes); a longer one is joined by salted keys.
 MOST_BROADCAST, SALTS = 20_000, 64
@@ -106,7 +107,7 @@ def _with_plan(df: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
 
 
 def _plan(sizes: DataFrame) -> tuple[DataFrame, int]:
-    """One row for each source: its target, whole copies, last rank taken and the keys that fill the rest."""
+    """One row for each source: its target, whole copies, last rank taken and the keys that go the other way."""
     spark = sizes.sparkSession
     sources = written(targets(sizes), "mix-sources")
     n_sources = sources.count()
@@ -124,19 +125,21 @@ def _plan(sizes: DataFrame) -> tuple[DataFrame, int]:
     small = F.broadcast if n_sources <= MOST_BROADCAST else (lambda x: x)
     summed = ranked.join(offsets, ["sid", "part"]).join(small(rest), "sid").withColumn("fits", F.col("before") + F.col("run") <= F.col("rest"))
     cut = summed.where("fits").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("cut"), F.sum("words").alias("got"))
-    plan = sources.join(cut, "sid", "left").select(*sources.columns, F.col("cut.q").alias("cut_q"), F.col("cut.key").alias("cut_key"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("gap"), F.array().cast("array<string>").alias("fills"))
+    plan = sources.join(cut, "sid", "left").select(*sources.columns, F.col("cut.q").alias("cut_q"), F.col("cut.key").alias("cut_key"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("gap"), F.array().cast("array<string>").alias("flips"))
     for _ in range(FILLS):
         plan = written(plan, "mix-plan")
-        left = ranked.join(small(plan.select("sid", "cut_q", "cut_key", "gap", "fills")), "sid").where(~_taken(F.col("q"), F.col("key")) & (F.abs(F.col("gap") - F.col("words")) < F.col("gap")))
-        best = left.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("words")).alias("miss"), "q", "key", "words")).alias("best"))
-        fills = F.when(F.col("best").isNull(), F.col("fills")).otherwise(F.concat("fills", F.array("best.key")))
-        plan = plan.join(best, "sid", "left").withColumns({"fills": fills, "gap": F.col("gap") - F.coalesce("best.words", F.lit(0))}).drop("best")
+        left = ranked.join(small(plan.select("sid", "cut_q", "cut_key", "gap", "flips")), "sid").where(~F.array_contains("flips", F.col("key")))
+        left = left.withColumn("change", F.when(_taken(F.col("q"), F.col("key")), -F.col("words")).otherwise(F.col("words"))).withColumn("miss", F.abs(F.col("gap") - F.col("change")))
+        best = left.where(F.col("miss") < F.abs("gap")).groupBy("sid").agg(F.min(F.struct("miss", "q", "key", "change")).alias("best"))
+        flips = F.when(F.col("best").isNull(), F.col("flips")).otherwise(F.concat("flips", F.array("best.key")))
+        plan = plan.join(best, "sid", "left").withColumns({"flips": flips, "gap": F.col("gap") - F.coalesce("best.change", F.lit(0))}).drop("best")
     return written(plan, "mix-plan"), n_sources
 
 
 def _taken(q: Column, key: Column) -> Column:
     """Whether a document is in the sample of its source's remainder."""
-    return F.coalesce((q < F.col("cut_q")) | ((q == F.col("cut_q")) & (key <= F.col("cut_key"))), F.lit(False)) | F.array_contains("fills", key)
+    within = F.coalesce((q < F.col("cut_q")) | ((q == F.col("cut_q")) & (key <= F.col("cut_key"))), F.lit(False))
+    return within != F.array_contains("flips", key)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", odds: Column | None = None) -> DataFrame:
@@ -168,7 +171,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs, odds=short_odds()).select("doc.doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-ORACLE_OP1 = r"""
+_ORACLE = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
 ), k AS (
@@ -195,20 +198,21 @@ WITH RECURSIVE d AS (
   SELECT *, (x / (1 - x)) / ((share / (1 - share)) * odds) AS q FROM u WHERE share > 0 AND share < 1
 ), c AS (
   SELECT *, sum(words) OVER (PARTITION BY sid ORDER BY q, h ROWS UNBOUNDED PRECEDING) <= rest AS fits FROM q
-), g1 AS (
-  SELECT sid, any_value(rest) - coalesce(sum(words) FILTER (fits), 0)::BIGINT AS gap FROM c GROUP BY sid
-), b1 AS (
-  SELECT c.sid, arg_min(struct_pack(h := h, words := words), struct_pack(miss := abs(gap - words), q := q, h := h)) AS best
-  FROM c JOIN g1 USING (sid) WHERE NOT fits AND abs(gap - words) < gap GROUP BY c.sid
-), g2 AS (
-  SELECT g1.sid, gap - coalesce(best.words, 0) AS gap, best.h AS h1 FROM g1 LEFT JOIN b1 USING (sid)
-), b2 AS (
-  SELECT c.sid, arg_min(h, struct_pack(miss := abs(gap - words), q := q, h := h)) AS h2
-  FROM c JOIN g2 USING (sid) WHERE NOT fits AND h IS DISTINCT FROM h1 AND abs(gap - words) < gap GROUP BY c.sid
-), chosen AS (
-  SELECT c.sid, c.h FROM c LEFT JOIN g2 USING (sid) LEFT JOIN b2 USING (sid) WHERE fits OR h = h1 OR h = h2
+), g0 AS (
+  SELECT sid, any_value(rest) - coalesce(sum(words) FILTER (fits), 0)::BIGINT AS gap, []::VARCHAR[] AS flips FROM c GROUP BY sid
+), ROUNDSchosen AS (
+  SELECT c.sid, c.h FROM c JOIN gLAST USING (sid) WHERE fits <> list_contains(flips, h)
 )
 SELECT doc_id, size, source_size, target, size * (whole + (chosen.h IS NOT NULL)::BIGINT) AS taken,
   whole + (chosen.h IS NOT NULL)::BIGINT AS copies, k.source
 FROM k JOIN f ON k.source IS NOT DISTINCT FROM f.source LEFT JOIN chosen ON chosen.sid = f.sid AND chosen.h = k.h
 """
+_ROUND = """b{0} AS (
+  SELECT c.sid, arg_min(struct_pack(h := h, change := change), struct_pack(miss := abs(gap - change), q := q, h := h)) AS best
+  FROM (SELECT *, CASE WHEN fits THEN -words ELSE words END AS change FROM c) c JOIN g{1} USING (sid)
+  WHERE NOT list_contains(flips, h) AND abs(gap - change) < abs(gap) GROUP BY c.sid
+), g{0} AS (
+  SELECT g{1}.sid, gap - coalesce(best.change, 0) AS gap, CASE WHEN best IS NULL THEN flips ELSE list_append(flips, best.h) END AS flips
+  FROM g{1} LEFT JOIN b{0} USING (sid)
+), """
+ORACLE_OP1 = _ORACLE.replace("ROUNDS", "".join(_ROUND.format(k + 1, k) for k in range(FILLS))).replace("gLAST", f"g{FILLS}")

@@ -61,7 +61,7 @@ def test_ranks_are_pareto_ranks(spark):
 
 def test_inclusion_follows_the_odds(spark):
     """Over many documents, those with half the odds are taken less often."""
-    docs = spark.range(6000).selectExpr("id as doc_id", "if(id % 3 = 0, 'a', 'b') as source", "repeat('w ', if(id % 2 = 0, 49, 51)) as text")
+    docs = spark.range(6000).selectExpr("id as doc_id", "if(id % 4 = 0, 'a', 'b') as source", "repeat('w ', if(id % 5 < 2, 49, 51)) as text")
     rows = mixing.mixed(docs, odds=mixing.short_odds()).where("source = 'b'").selectExpr("size", "copies").collect()
     mean = {n: sum(r.copies for r in rows if r.size == n) / sum(r.size == n for r in rows) for n in (49, 51)}
     assert mean[51] > mean[49] and all(x in (0, 1, 2, 3) for x in {r.copies for r in rows})
@@ -70,7 +70,7 @@ def test_inclusion_follows_the_odds(spark):
 def test_targets_nearly_met_on_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     for r in mixing.mixed(docs).groupBy("source").agg({"taken": "sum", "target": "max"}).toDF("source", "a", "b").collect():
-        assert {r.a, r.b} and abs(r.a - r.b) <= 0.02 * max(r.a, r.b)
+        assert abs(r.a - r.b) <= 0.015 * max(r.a, r.b) + 20
 
 
 def test_repeat_keeps_columns(spark):
