@@ -320,7 +320,7 @@ def extracted(pages: DataFrame, field: Field | None = None, html_col: str = "htm
     shared = pages.sparkSession.sparkContext.broadcast(field or trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             texts = [text_of(page, shared.value) for page in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*keep, "text", "n_chars"])
 

@@ -1,12 +1,12 @@
 """License scans by conditional compression.
 
-Lines of a text that use a license's vocabulary are candidates, with GAP lines before and after; candidates less than GAP apart
-are one block. A candidate is compressed on its own and with each wording as zstandard's
-raw dictionary; the bytes saved, as a share of the size on its own, rank the wordings. Those that save MIN_SAVED or
-more are confirmed, best first, by the exact differences: the block's and the wording's words are aligned, and the
-wording is found where at most MAX_DIFFERENT of its words are missing or come with others between them, and none of
-the words that tell licenses apart (numbers and the like) differs. A confirmed wording takes its words, and the next
-ones have to be found in what is left.
+Lines of a text that use a license's vocabulary are candidates, with GAP lines before and after; candidates less than
+2 GAP apart are one block. A block, and each candidate line in it, is compressed on its own and with each wording as
+zstandard's raw dictionary; the most bytes saved, as a share of the size on its own or of the wording's if that is
+less, rank the wordings. Those that save MIN_SAVED or more are confirmed, best first, by the exact differences: the
+block's and the wording's words are aligned, and the wording is found where at most MAX_DIFFERENT of its words are
+missing or come with others between them, and none of the words that tell licenses apart (numbers and the like)
+differs. A confirmed wording takes its words, and the next ones have to be found in what is left.
 
 Defined results: a null or empty text has no candidates; a document without a license has no row; repeated rows are
 scanned each; an empty table gives no rows; other columns don't matter.
@@ -145,10 +145,10 @@ def scan(text: str) -> list[tuple[int, int, str, int, float, str, str]]:
     """(first line, last line, license, wording, share saved, missing words, strange words) of each license found."""
     out = []
     for first, lines in candidates(text):
-        data = "\n".join(lines).encode()
-        alone = len(_plain().compress(data))
-        # of a long block a wording saves a small share, so the share is that of the wording's own length at most
-        saved = sorted(((alone - len(c.compress(data))) / min(alone, max(1, len(" ".join(w)))), name, k, w) for name, k, w, c in _wordings())
+        # the whole block, and each of its candidate lines, which a long block would dilute
+        parts = [x.encode() for x in dict.fromkeys(["\n".join(lines), *filter(_CANDIDATE.search, lines)])]
+        alone = [len(_plain().compress(x)) for x in parts]
+        saved = sorted((max((n - len(c.compress(x))) / min(n, len(" ".join(w))) for n, x in zip(alone, parts, strict=True)), name, k, w) for name, k, w, c in _wordings())
         left = [w for line in lines for w in words(line)]
         of = [first + k for k, line in enumerate(lines) for _ in words(line)]
         for share, name, k, wording in reversed(saved):

@@ -163,7 +163,7 @@ def train(rows: list[tuple], steps: int = 120, penalty: float = 2e-3, stretch: f
         index, value, begin, y = packed(held)
         z = np.bincount(np.repeat(np.arange(len(y)), np.diff(begin)), value * w[index], len(y)) + bias
         scale, shift = calibrated(z, y)
-    return Model((w * stretch).astype(np.float32), float(bias), scale, shift)
+    return Model(w * stretch, float(bias), scale, shift)
 
 
 def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:

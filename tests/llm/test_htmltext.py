@@ -26,7 +26,7 @@ def test_broken_pages_never_fail(page, field):
 
 
 def test_long_pages_take_time_in_proportion():
-    assert len(leaves("<p class=a>" + "word " * 10 + "</p>" + "<" * 10)) == 1
+    assert [b.text for b in leaves("<p>a</p>" + "<" * 10)] == ["a", "<" * 10]
     assert len(leaves("<p>x</p>" * 100_000)) == 100_000
     leaves("<p title='" * 20_000)
 
