@@ -83,13 +83,16 @@ def features(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     pair, at = grams(h, of, 2)
     chars = np.append(np.flatnonzero((block.data & 0xC0) != 0x80), len(block.data))
     char_firsts = np.searchsorted(chars[:-1], block.offsets)
-    char_of = owners(char_firsts)
-    rows = [(h, firsts), (pair, np.searchsorted(at, firsts))]
+    for k, (values, begin) in enumerate(_families(block, h, firsts, pair, at, chars, char_firsts, owners(char_firsts))):
+        yield (values & mask).astype(np.int64) + (k << BITS), begin
+
+
+def _families(block: Block, h, firsts, pair, at, chars, char_firsts, char_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    yield h, firsts
+    yield pair, np.searchsorted(at, firsts)
     for n in CHARS:
         from_ = np.flatnonzero(char_of[: max(0, len(char_of) - n + 1)] == char_of[n - 1 :])
-        rows.append((block.hashes(chars[from_], chars[from_ + n]), np.searchsorted(from_, char_firsts)))
-    for k, (values, begin) in enumerate(rows):
-        yield (values & mask).astype(np.int64) + (k << BITS), begin
+        yield block.hashes(chars[from_], chars[from_ + n]), np.searchsorted(from_, char_firsts)
 
 
 def scores(block: Block, weights: np.ndarray) -> np.ndarray:
@@ -101,7 +104,7 @@ def scores(block: Block, weights: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, held, text) to (label, held, buckets as int32 bytes, relative frequencies as float32 bytes)."""
+    """(label, by, text) to (label, by, buckets as int32 bytes, relative frequencies as float32 bytes)."""
     for batch in batches:
         out: list[tuple] = []
         for at, to, data, offsets in blocks(batch.column("text")):
@@ -111,7 +114,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bucket, n = np.unique(index[begin[r] : begin[r + 1]], return_counts=True)
                     parts[r].append((bucket, n / max(1, n.sum())))
             out += [(np.concatenate([b for b, _ in p]).astype(np.int32).tobytes(), np.concatenate([v for _, v in p]).astype(np.float32).tobytes()) for p in parts]
-        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("held"), pa.array([b for b, _ in out], pa.binary()), pa.array([v for _, v in out], pa.binary())], ["label", "held", "buckets", "shares"])
+        yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("by"), pa.array([b for b, _ in out], pa.binary()), pa.array([v for _, v in out], pa.binary())], ["label", "by", "buckets", "shares"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model | None:
@@ -124,45 +127,58 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .limit(sample)  # the bound of the sample, and so of what is broadcast
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = (
-        texts.join(F.broadcast(chosen), "id")
-        .select("label", ((F.pmod(F.shiftright("by", 8), F.lit(100)) < int(100 * HELD))).alias("held"), "text")
-        .mapInArrow(_counted, "label double, held boolean, buckets binary, shares binary")
-        .collect()
-    )
-    return train([(r[0], r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in rows])
-
-
-def train(rows: list[tuple], steps: int = 120, penalty: float = 2e-3, stretch: float = 30.0) -> Model | None:
-    """Logistic regression by accelerated gradient steps over (label, held, buckets, shares); then Platt's calibration."""
-    rows = sorted(rows, key=lambda r: (r[0], bool(r[1]), len(r[2]), r[2].tobytes(), r[3].tobytes()))
-    seen = [r for r in rows if not r[1]]
-    if len({r[0] > 0.5 for r in seen}) < 2:
+    rows = texts.join(F.broadcast(chosen), "id").select("label", "by", "text")
+    return train(rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary").toArrow())
+
+
+class _Rows:
+    """Sparse rows in blocks of some hundred, so that no pass over them holds more than a block's worth of numbers."""
+
+    def __init__(self, table: pa.Table, order: np.ndarray, stretch: float):
+        self.y = table.column("label").to_numpy()[order] > 0.5
+        self.blocks = []
+        buckets, shares = (table.column(k) for k in ("buckets", "shares"))
+        for a in range(0, len(order), 250):
+            some = order[a : a + 250].tolist()
+            index = [np.frombuffer(buckets[k].as_buffer(), np.int32) for k in some]
+            value = [np.frombuffer(shares[k].as_buffer(), np.float32) for k in some]
+            row = np.repeat(np.arange(len(some), dtype=np.int32), [len(x) for x in index])
+            self.blocks.append((slice(a, a + len(some)), np.concatenate(index), np.concatenate(value) * np.float32(stretch), row))
+
+    def scores(self, w: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        for at, index, value, row in self.blocks:
+            yield at, index, value, row, np.bincount(row, value * w[index], at.stop - at.start)
+
+
+def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3, stretch: float = 30.0) -> Model | None:
+    """Logistic regression by accelerated gradient steps over (label, by, buckets, shares); then Platt's calibration.
+
+    The rows are sorted by the hash `by`, which also chooses those that are held back, so the partitions don't matter.
+    """
+    by = table.column("by").to_numpy()
+    order = np.lexsort((np.array([len(x.as_buffer()) for x in table.column("buckets")], dtype=np.int64), table.column("label").to_numpy(), by))
+    held = ((by >> 8) % 100 < int(100 * HELD))[order]
+    seen, kept = (_Rows(table, order[k], stretch) for k in (~held, held))
+    del table  # the rows have copies
+    if len(set(seen.y.tolist())) < 2:
         return None
-
-    def packed(part: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        size = np.array([len(r[2]) for r in part])
-        return np.concatenate([r[2] for r in part]), np.concatenate([r[3] for r in part]) * np.float32(stretch), np.concatenate([[0], np.cumsum(size)]), np.array([r[0] > 0.5 for r in part], float)
-
-    index, value, begin, y = packed(seen)
-    row = np.repeat(np.arange(len(y)), np.diff(begin))
-    dims = FAMILIES << BITS
-    class_weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    dims, n, share = FAMILIES << BITS, len(seen.y), seen.y.mean()
+    class_weight = np.where(seen.y, 0.5 / share, 0.5 / (1 - share)) / n
     w, bias, mean, square = np.zeros(dims), 0.0, np.zeros(dims + 1), np.zeros(dims + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(row, value * w[index], len(y)) + bias
-        error = class_weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
-        grad = np.append(np.bincount(index, value * error[row], dims) + penalty * w / len(y), error.sum())
+        grad = np.append(penalty * w / n, 0.0)
+        for at, index, value, row, z in seen.scores(w):
+            error = class_weight[at] * (1 / (1 + np.exp(-np.clip(z + bias, -40, 40))) - seen.y[at])
+            grad[:-1] += np.bincount(index, value * error[row], dims)
+            grad[-1] += error.sum()
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
         step = 0.1 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-7)
         w, bias = w - step[:-1], bias - step[-1]
-    held = [r for r in rows if r[1]]
     scale, shift = 1.0, 0.0
-    if len({r[0] > 0.5 for r in held}) == 2:
-        index, value, begin, y = packed(held)
-        z = np.bincount(np.repeat(np.arange(len(y)), np.diff(begin)), value * w[index], len(y)) + bias
-        scale, shift = calibrated(z, y)
+    if len(set(kept.y.tolist())) == 2:
+        z = np.concatenate([z for *_, z in kept.scores(w)]) + bias
+        scale, shift = calibrated(z, kept.y.astype(float))
     return Model(w * stretch, float(bias), scale, shift)
 
 
@@ -215,7 +231,7 @@ def keep(docs: DataFrame, model: Model | None, text_col: str = "text", threshold
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, whole.num_rows, 1000)):
             yield batch.filter(pa.array(judged(batch.column(at), shared.value, threshold)["kept"], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

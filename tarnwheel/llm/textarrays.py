@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once; a longer text makes a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
@@ -31,7 +31,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash base to the powers 0 .. n, and its inverse to them."""
     if len(_powers.get("up", ())) < n + 1:
-        size = max(n + 1, BLOCK // 4)
+        size = max(n + 1, BLOCK + 1)
         for name, base in (("up", _STEP), ("down", _BACK)):
             row = np.full(size, base, U64)
             row[0] = 1
