@@ -34,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwheel.llm.textarrays import Block, blocks
+from tarnwheel.llm.textarrays import Block, blocks, mix
 from tarnwheel.session import written
 
 WINDOW, GRAM = 100, 36
@@ -46,7 +47,7 @@ WIDTH = WINDOW + SIDE
 #: Segments that are sorted at once, and the most that one anchor may have there.
 TOGETHER, HOT = 30_000, 200_000
 #: Bytes of texts, segments and texts that a step of a worker holds beside its batch.
-BYTES, CUT, TEXTS = 1 << 20, 6_000, 250
+BYTES, CUT, TEXTS = 1 << 19, 4_000, 250
 #: Most rows of a table that is broadcast.
 MOST_ROWS = 300_000
 
@@ -85,25 +86,60 @@ def _least(h: np.ndarray) -> np.ndarray:
     return (np.minimum(after[:n], before[SIDE : SIDE + n]) & mask).astype(np.int64)
 
 
+def _cuts(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The WIDTH bytes around each place; outside of the data, whatever is there."""
+    column = place.astype(np.int32)[:, None] + np.arange(-SIDE, WIDTH - SIDE, dtype=np.int32)[None, :]
+    return data[np.clip(column, 0, max(0, len(data) - 1), out=column)]
+
+
+def _again(block: Block, place: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places whose segment is whole and the same, byte for byte, as an earlier one of its text."""
+    out = np.zeros(len(place), bool)
+    full = np.flatnonzero((place - SIDE >= block.offsets[text]) & (place + GRAM + SIDE <= block.offsets[text + 1]))
+    key = block.hashes(place[full] - SIDE, place[full] + GRAM + SIDE)
+    order = full[np.lexsort((place[full], key, text[full]))]
+    for a in range(0, len(order) - 1, CUT):
+        one, two = order[a : a + CUT], order[a + 1 : a + CUT + 1]
+        one = one[: len(two)]
+        same = (text[one] == text[two]) & (_cuts(block.data, place[one]) == _cuts(block.data, place[two])).all(1)
+        out[two[same]] = True
+    return out
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, text) to (h, row, at) of each anchor; at counts bytes from the text's start."""
+    """(row, text) to (h, row, at, again) of each anchor; at counts bytes from the text's start.
+
+    again: whether the text has the same segment before, so that all strings at the anchor are later copies. Such
+    anchors need no partner and come with any h, or a periodic text would send one anchor over and over.
+    """
     for batch in batches:
         rows = batch.column(0).to_numpy()
         for a, _, data, offsets in blocks(batch.column(1), BYTES):
-            place, h = anchors(Block(data, offsets))
+            block = Block(data, offsets)
+            place, h = anchors(block)
             text = np.searchsorted(offsets, place, "right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rows[a + text]), pa.array((place - offsets[text]).astype(np.int32))], ["h", "row", "at"])
+            at, again = (place - offsets[text]).astype(np.int32), _again(block, place, text)
+            h = np.where(again, mix(rows[a + text].view(np.uint64) + at.astype(np.uint64)), h)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rows[a + text]), pa.array(at), pa.array(again)], ["h", "row", "at", "again"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Sorted (h, row, at) to those whose h isn't alone, with `hot`: whether there are more than `most` of it."""
+    """Sorted (h, row, at, again) to those whose h isn't alone, with `hot`: whether there are more than `most` of it.
+
+    Those that are `again` come out as they are and count for nothing.
+    """
     held: list[pa.RecordBatch] = []
     last, n, hot = None, 0, False
 
     def out(part: pa.RecordBatch, flag: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*part.columns, pa.array(flag)], ["h", "row", "at", "hot"])
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(flag)], ["h", "row", "at", "again", "hot"])
 
     for batch in batches:
+        again = batch.column(3)
+        if again.true_count:
+            part = batch.filter(again)
+            yield out(part, np.full(part.num_rows, False))
+            batch = batch.filter(pc.invert(again))
         h = batch.column(0).to_numpy()
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else []
         ends = [*first[1:], len(h)] if len(h) else []
@@ -149,8 +185,8 @@ def _repeated(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, row, text, anchors) to a row for each anchor: h, hot, id, row, at, left, right, bytes.
 
-    left and right: how many bytes there are on either side, SIDE at most; the rest of `bytes` is filled up. Of one
-    text's equal segments only the first is sent; the others are its later copies already, and come with left = -1.
+    left and right: how many bytes there are on either side, SIDE at most; the rest of `bytes` is filled up. Anchors
+    that are `again` come with left = -1 and no bytes.
     """
     for batch in batches:
         ids, rows = batch.column(0), batch.column(1).to_numpy()
@@ -159,22 +195,15 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = spots.slice(a, b - a)
             n = np.diff(found.offsets.to_numpy())
             flat = found.flatten()
-            at, h, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("at", "h", "hot"))
+            at, h, hot, again = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("at", "h", "hot", "again"))
             text = np.repeat(np.arange(b - a), n)
             for c in range(0, len(at), CUT):
                 s = slice(c, c + CUT)
                 place = offsets[text[s]] + at[s]
-                left = np.minimum(SIDE, at[s])
+                left = np.where(again[s], -1, np.minimum(SIDE, at[s]))
                 right = np.minimum(SIDE, offsets[text[s] + 1] - place - GRAM)
-                column = place.astype(np.int32)[:, None] + np.arange(-SIDE, WIDTH - SIDE, dtype=np.int32)[None, :]
-                cut = data[np.clip(column, 0, max(0, len(data) - 1))]
-                cut[(column < (place - left)[:, None]) | (column >= (place + GRAM + right)[:, None])] = 0
-                full = np.flatnonzero((left == SIDE) & (right == SIDE))
-                owner, start = text[s][full], np.arange(len(full) + 1) * WIDTH
-                key = Block(cut[full].ravel(), start[[0, -1]]).hashes(start[:-1], start[1:])
-                order = np.lexsort((at[s][full], key, owner))
-                same = (owner[order][1:] == owner[order][:-1]) & (cut[full[order[1:]]] == cut[full[order[:-1]]]).all(1)
-                left[full[order[1:][same]]] = -1
+                cut, column = _cuts(data, place), np.arange(-SIDE, WIDTH - SIDE)[None, :]
+                cut[(column < -left[:, None]) | (column >= (GRAM + right)[:, None]) | again[s][:, None]] = 0
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(cut), [None, pa.py_buffer(np.ascontiguousarray(cut))]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[s]), pa.array(hot[s]), ids.take(pa.array(a + text[s])), pa.array(rows[a + text[s]]), pa.array(at[s]), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), raw],
@@ -316,8 +345,8 @@ def _covered(docs: DataFrame, id_col: str, text_col: str, hot: int) -> tuple[Dat
     once = texts.join(_small(owners.withColumnRenamed("md", "_md")), F.col("md") == F.col("_md"), "left").where(~later).select("id", "row", "text")
 
     # repeated rows give each place twice: a set
-    found = once.select("row", "text").mapInArrow(_anchored, "h long, row long, at int").repartition(parts, "h").sortWithinPartitions("h")
-    spots = found.mapInArrow(lambda it: _repeated(it, hot), "h long, row long, at int, hot boolean").groupBy("row").agg(F.collect_set(F.struct("at", "h", "hot")).alias("spots"))
+    found = once.select("row", "text").mapInArrow(_anchored, "h long, row long, at int, again boolean").repartition(parts, "h").sortWithinPartitions("h")
+    spots = found.mapInArrow(lambda it: _repeated(it, hot), "h long, row long, at int, again boolean, hot boolean").groupBy("row").agg(F.collect_set(F.struct("at", "h", "hot", "again")).alias("spots"))
     kinds = "h long, hot boolean, id long, row long, at int, left int, right int, bytes binary"
     segments = once.join(spots, "row").select("id", "row", "text", "spots").mapInArrow(_segments, kinds)
 

@@ -67,13 +67,13 @@ def test_small_collections(spark, monkeypatch, together):
     monkeypatch.setattr(s, "TOGETHER", together)
     rng = np.random.default_rng(1)
     h = np.sort(rng.integers(0, 40, 300))
-    batches = [pa.RecordBatch.from_arrays([pa.array(h[a : a + 11]), pa.array(np.arange(a, min(300, a + 11))), pa.array(np.zeros(min(11, 300 - a), np.int32))], ["h", "row", "at"]) for a in range(0, 300, 11)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(h[a : a + 11]), pa.array(np.arange(a, min(300, a + 11))), pa.array(np.zeros(min(11, 300 - a), np.int32)), pa.array(np.arange(a, min(300, a + 11)) % 50 == 0)], ["h", "row", "at", "again"]) for a in range(0, 300, 11)]
     for most in (1, 5, 1000):
         table = pa.Table.from_batches(list(s._repeated(iter(batches), most)))
-        counts = np.bincount(h)
-        assert sorted(table.column("row").to_pylist()) == [k for k in range(300) if counts[h[k]] > 1]
-        for x, hot in zip(table.column("h").to_pylist(), table.column("hot").to_pylist(), strict=True):
-            assert hot == (counts[x] > most)
+        counts = np.bincount(h[np.arange(300) % 50 > 0], minlength=40)
+        assert sorted(table.column("row").to_pylist()) == [k for k in range(300) if k % 50 == 0 or counts[h[k]] > 1]
+        for x, hot, again in zip(*(table.column(k).to_pylist() for k in ("h", "hot", "again")), strict=True):
+            assert hot == (not again and counts[x] > most)
 
 
 def test_column_wise_order_and_common_prefixes():
