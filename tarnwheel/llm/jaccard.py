@@ -39,9 +39,9 @@ SHINGLE, PERCENT = 5, 80
 SHARE, LEAST_SHARED = 32, 3
 HOT_BITS = 22
 GROUP = 1024
-#: A table is broadcast up to so many rows (of 40 bytes at most), one of tokens up to more (8 bytes each); beyond,
-#: both sides are shuffled.
-MOST_ROWS, MOST_TOKENS = 500_000, 1_500_000
+#: A table is broadcast up to so many rows (of 40 bytes at most), the list of shared tokens up to fewer; beyond, both
+#: sides are shuffled.
+MOST_ROWS, MOST_TOKENS = 500_000, 100_000
 NO_ID = -(1 << 63)
 _HOT_TABLE = 1 << 21
 
