@@ -33,6 +33,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Hash buckets for each family of features: words, word pairs, characters in threes and in fives.
 BITS, CHARS = 15, (3, 5)
 FAMILIES = 2 + len(CHARS)
+#: What relative frequencies are multiplied by in the fit, so that half precision holds them well.
+STRETCH = 30.0
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -104,7 +106,7 @@ def scores(block: Block, weights: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, by, text) to (label, by, buckets as int32 bytes, relative frequencies as float32 bytes)."""
+    """(label, by, text) to (label, by, buckets as int32 bytes, relative frequencies as float16 bytes)."""
     for batch in batches:
         out: list[tuple] = []
         for at, to, data, offsets in blocks(batch.column("text")):
@@ -113,7 +115,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for r in range(to - at):
                     bucket, n = np.unique(index[begin[r] : begin[r + 1]], return_counts=True)
                     parts[r].append((bucket, n / max(1, n.sum())))
-            out += [(np.concatenate([b for b, _ in p]).astype(np.int32).tobytes(), np.concatenate([v for _, v in p]).astype(np.float32).tobytes()) for p in parts]
+            out += [(np.concatenate([b for b, _ in p]).astype(np.int32).tobytes(), (np.concatenate([v for _, v in p]) * STRETCH).astype(np.float16).tobytes()) for p in parts]
         yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("by"), pa.array([b for b, _ in out], pa.binary()), pa.array([v for _, v in out], pa.binary())], ["label", "by", "buckets", "shares"])
 
 
@@ -134,23 +136,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 class _Rows:
     """Sparse rows in blocks of some hundred, so that no pass over them holds more than a block's worth of numbers."""
 
-    def __init__(self, table: pa.Table, order: np.ndarray, stretch: float):
+    def __init__(self, table: pa.Table, order: np.ndarray):
         self.y = table.column("label").to_numpy()[order] > 0.5
         self.blocks = []
         buckets, shares = (table.column(k) for k in ("buckets", "shares"))
-        for a in range(0, len(order), 250):
-            some = order[a : a + 250].tolist()
+        for a in range(0, len(order), 100):
+            some = order[a : a + 100].tolist()
             index = [np.frombuffer(buckets[k].as_buffer(), np.int32) for k in some]
-            value = [np.frombuffer(shares[k].as_buffer(), np.float32) for k in some]
-            row = np.repeat(np.arange(len(some), dtype=np.int32), [len(x) for x in index])
-            self.blocks.append((slice(a, a + len(some)), np.concatenate(index), np.concatenate(value) * np.float32(stretch), row))
+            value = [np.frombuffer(shares[k].as_buffer(), np.float16) for k in some]
+            self.blocks.append((slice(a, a + len(some)), np.concatenate(index), np.concatenate(value), np.array([len(x) for x in index])))
 
     def scores(self, w: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        for at, index, value, row in self.blocks:
-            yield at, index, value, row, np.bincount(row, value * w[index], at.stop - at.start)
+        """Each block's rows; its buckets, values and rows entry by entry; its rows' scores."""
+        for at, index, value, sizes in self.blocks:
+            row, value = np.repeat(np.arange(len(sizes)), sizes), value.astype(np.float64)
+            yield at, index, value, row, np.bincount(row, value * w[index], len(sizes))
 
 
-def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3, stretch: float = 30.0) -> Model | None:
+def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3) -> Model | None:
     """Logistic regression by accelerated gradient steps over (label, by, buckets, shares); then Platt's calibration.
 
     The rows are sorted by the hash `by`, which also chooses those that are held back, so the partitions don't matter.
@@ -158,8 +161,9 @@ def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3, stretch: flo
     by = table.column("by").to_numpy()
     order = np.lexsort((np.array([len(x.as_buffer()) for x in table.column("buckets")], dtype=np.int64), table.column("label").to_numpy(), by))
     held = ((by >> 8) % 100 < int(100 * HELD))[order]
-    seen, kept = (_Rows(table, order[k], stretch) for k in (~held, held))
+    seen, kept = (_Rows(table, order[k]) for k in (~held, held))
     del table  # the rows have copies
+    pa.default_memory_pool().release_unused()
     if len(set(seen.y.tolist())) < 2:
         return None
     dims, n, share = FAMILIES << BITS, len(seen.y), seen.y.mean()
@@ -179,7 +183,7 @@ def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3, stretch: flo
     if len(set(kept.y.tolist())) == 2:
         z = np.concatenate([z for *_, z in kept.scores(w)]) + bias
         scale, shift = calibrated(z, kept.y.astype(float))
-    return Model(w * stretch, float(bias), scale, shift)
+    return Model(w * STRETCH, float(bias), scale, shift)
 
 
 def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
