@@ -41,9 +41,31 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Paths that this driver has handed out, oldest first.
+_handed_out: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tarnwheel/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tarnwheel/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def marked() -> int:
+    """How many paths have been handed out, for `sweep`."""
+    return len(_handed_out)
+
+
+def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Deletes what was written below paths handed out after `since`, but for the files of the table `keep`.
+
+    To be called when nothing that is still to be computed reads them.
+    """
+    files = [Path(f).parent.name for f in keep.inputFiles()]
+    for path in _handed_out[since:]:
+        if path.rsplit("/", 1)[1] not in files:
+            remove(spark, path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -60,8 +82,16 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Arrow batches for Python workers, where the session has Spark's defaults (10,000 rows, 64 MB): a worker holds some
+#: copies of a batch, and the JVM buffers of its size beside the heap.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors unless their PYTHONPATH or working folder has it already."""
+    """Sends this package to the executors unless their PYTHONPATH or working folder has it; keeps Arrow batches small."""
+    for key, (usual, ours) in BATCH.items():
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, ours)
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")]
     if any(p and Path(p).resolve() == ROOT for p in known) or getattr(spark.sparkContext, "_tarnwheel_sent", False):
         return
