@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tarnwheel.llm import decontaminate, jaccard, mixing, quality, records
-from tarnwheel.session import ship, written
+from tarnwheel.session import marked, ship, sweep, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        since = marked()
         docs = written(stage(spark, docs, sf_dir), f"stage-{k}")
-    return docs
+        sweep(spark, since, docs)  # the stage's own tables; its rows are written
+    return written(STAGES[-1][1](spark, docs, sf_dir), "stage-last")
