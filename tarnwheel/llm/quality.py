@@ -12,6 +12,9 @@ the id and text columns are read, so other columns can have any name.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -130,27 +133,35 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select("label", "by", "text")
-    return train(rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary").toArrow())
+    model = train(rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary").toArrow())
+    _released()
+    return model
 
 
 class _Rows:
-    """Sparse rows in blocks of some hundred, so that no pass over them holds more than a block's worth of numbers."""
+    """Sparse rows of an Arrow table; a pass takes some hundred at a time, and nothing is kept but views of the table."""
 
     def __init__(self, table: pa.Table, order: np.ndarray):
         self.y = table.column("label").to_numpy()[order] > 0.5
-        self.blocks = []
         buckets, shares = (table.column(k) for k in ("buckets", "shares"))
-        for a in range(0, len(order), 100):
-            some = order[a : a + 100].tolist()
-            index = [np.frombuffer(buckets[k].as_buffer(), np.int32) for k in some]
-            value = [np.frombuffer(shares[k].as_buffer(), np.float16) for k in some]
-            self.blocks.append((slice(a, a + len(some)), np.concatenate(index), np.concatenate(value), np.array([len(x) for x in index])))
+        self.index = [np.frombuffer(buckets[k].as_buffer(), np.int32) for k in order.tolist()]
+        self.value = [np.frombuffer(shares[k].as_buffer(), np.float16) for k in order.tolist()]
 
     def scores(self, w: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Each block's rows; its buckets, values and rows entry by entry; its rows' scores."""
-        for at, index, value, sizes in self.blocks:
-            row, value = np.repeat(np.arange(len(sizes)), sizes), value.astype(np.float64)
-            yield at, index, value, row, np.bincount(row, value * w[index], len(sizes))
+        """Each hundred rows; their buckets, values and rows entry by entry; their scores."""
+        for a in range(0, len(self.index), 100):
+            at = slice(a, min(a + 100, len(self.index)))
+            index, value = np.concatenate(self.index[at]), np.concatenate(self.value[at]).astype(np.float64)
+            row = np.repeat(np.arange(at.stop - a), [len(x) for x in self.index[at]])
+            yield at, index, value, row, np.bincount(row, value * w[index], at.stop - a)
+
+
+def _released() -> None:
+    """Gives freed memory back to the system, where the C library can: the driver lives on after the fit."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3) -> Model | None:
@@ -162,8 +173,6 @@ def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3) -> Model | N
     order = np.lexsort((np.array([len(x.as_buffer()) for x in table.column("buckets")], dtype=np.int64), table.column("label").to_numpy(), by))
     held = ((by >> 8) % 100 < int(100 * HELD))[order]
     seen, kept = (_Rows(table, order[k]) for k in (~held, held))
-    del table  # the rows have copies
-    pa.default_memory_pool().release_unused()
     if len(set(seen.y.tolist())) < 2:
         return None
     dims, n, share = FAMILIES << BITS, len(seen.y), seen.y.mean()
