@@ -38,6 +38,12 @@ def test_clean_texts_have_none(spark):
     assert licenses.scanned(empty(spark)).collect() == []
 
 
+def test_hints_leave_nothing_out(spark):
+    ways = ["LICENCE", "Licensed", "CopyRight", "copyleft", "WARRANTY", "redistribute", "Permissions", "spdx", "Public Domain", "ALL rights", "creative Commons", "CC BY", "CC-BY", "CCBY", "cc 0", "cc-0", "CC0", "AS IS"]
+    assert all(licenses._CANDIDATE.search(w) for w in ways)
+    assert all(any(h in w.lower() for h in licenses.HINTS) for w in ways)
+
+
 def test_query_against_lines_known_by_sight(spark):
     import duckdb
 
