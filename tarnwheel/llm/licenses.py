@@ -3,7 +3,8 @@
 Lines of a text that use a license's vocabulary are candidates, with GAP lines before and after; candidates less than
 2 GAP apart are one block. A block, and each candidate line in it, is compressed on its own and with each wording as
 zstandard's raw dictionary; the most bytes saved, as a share of the size on its own or of the wording's if that is
-less, rank the wordings. Those that save MIN_SAVED or more are confirmed, best first, by the exact differences: the
+less, rank the wordings. With a dictionary a long input is parsed worse than without, so what is over SHORT bytes is
+compressed in windows instead, around every match of the vocabulary and as wide as the wording needs. Those that save MIN_SAVED or more are confirmed, best first, by the exact differences: the
 block's and the wording's words are aligned, and the wording is found where at most MAX_DIFFERENT of its words are
 missing or come with others between them, and none of the words that tell licenses apart (numbers and the like)
 differs. A confirmed wording takes its words, and the next ones have to be found in what is left.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache, reduce
 
@@ -27,6 +29,8 @@ from pyspark.sql import types as T
 GAP = 4
 MIN_SAVED = 0.15
 MAX_DIFFERENT = 0.12
+#: Blocks and lines up to so many bytes are compressed whole.
+SHORT = 500
 VOCABULARY = r"(?i)licen[cs]|copyright|copyleft|warrant|redistribut|permission|spdx|public domain|all rights|creative commons|\bCC[ -]?(?:BY|0)|as is"
 #: Strings of which any match of VOCABULARY holds one, in lower case; they are much cheaper to look for.
 HINTS = ("licen", "copyright", "copyleft", "warrant", "redistribut", "permission", "spdx", "public domain", "all rights", "creative commons", "cc by", "cc-by", "ccby", "cc 0", "cc-0", "cc0", "as is")
@@ -118,6 +122,22 @@ def candidates(text: str) -> list[tuple[int, list[str]]]:
     return [(a, lines[a:b]) for a, b in runs]
 
 
+def windows(text: str, hits: list[tuple[int, int]], spans: list[tuple[int, int]], wording: list[str]) -> set[bytes]:
+    """The pieces of text that hold the wording if it is at any of the hits, which are numbers of first and last words."""
+    room = len(wording) + int(MAX_DIFFERENT * len(wording)) + 1
+    most = 2 * len(" ".join(wording)) + 100  # bytes of very long words would dilute it
+    out, served = set(), -1
+    for first, last in hits:
+        if last <= served:
+            continue
+        served = last + room // 2
+        end = min(served, len(spans) - 1)
+        a = max(spans[max(0, first - room)][0], spans[first][0] - most)
+        b = min(spans[min(len(spans) - 1, end + room)][1], spans[end][1] + most, spans[last][1] + 2 * most)
+        out.add(text[a:b].encode())
+    return out
+
+
 def differences(block: list[str], wording: list[str]) -> tuple[int, int, list[str], list[str]] | None:
     """Where the wording lies in the block, its missing words and the strange ones between; None if not in it."""
     match = difflib.SequenceMatcher(None, block, wording, autojunk=False)
@@ -148,9 +168,24 @@ def scan(text: str) -> list[tuple[int, int, str, int, float, str, str]]:
     out = []
     for first, lines in candidates(text):
         # the whole block, and each of its candidate lines, which a long block would dilute
-        parts = [x.encode() for x in dict.fromkeys(["\n".join(lines), *filter(_CANDIDATE.search, lines)])]
-        alone = [len(_plain().compress(x)) for x in parts]
-        saved = sorted((max((n - len(c.compress(x))) / min(n, len(" ".join(w))) for n, x in zip(alone, parts, strict=True)), name, k, w) for name, k, w, c in _wordings())
+        text = "\n".join(lines)
+        parts = {x.encode() for x in (text, *filter(_CANDIDATE.search, lines))}
+        whole = {x for x in parts if len(x) <= SHORT}
+        hits: list[tuple[int, int]] = []
+        spans: list[tuple[int, int]] = []
+        if len(whole) < len(parts):
+            spans = [m.span() for m in _WORD.finditer(text)]
+            starts, ends = [a for a, _ in spans], [b for _, b in spans]
+            hits = [(bisect_right(ends, m.start()), bisect_left(starts, m.end()) - 1) for m in _CANDIDATE.finditer(text)]
+        alone: dict[bytes, int] = {}
+        saved = []
+        for name, k, w, c in _wordings():
+            share = float("-inf")
+            for x in whole | windows(text, hits, spans, w):
+                n = alone[x] if x in alone else alone.setdefault(x, len(_plain().compress(x)))
+                share = max(share, (n - len(c.compress(x))) / min(n, len(" ".join(w))))
+            saved.append((share, name, k, w))
+        saved.sort()
         left = [w for line in lines for w in words(line)]
         of = [first + k for k, line in enumerate(lines) for _ in words(line)]
         for share, name, k, wording in reversed(saved):

@@ -51,3 +51,27 @@ def test_query_against_lines_known_by_sight(spark):
         where regexp_matches(l, '(GNU General Public License, version 3|CC BY-NC 4.0|under the MIT License|Apache License, Version 2.0|All rights reserved)') group by 1""").fetchall()
     found = licenses.op7_license_scan(spark, "/root/testdata/sf0.01").groupBy("doc_id").count().collect()
     assert sorted(tuple(r) for r in found) == sorted(want) and want
+
+
+def test_every_wording_is_found_in_a_long_line():
+    rng = random.Random(7)
+    a, b = prose(rng, 12_000)[:50_000], prose(rng, 12_000)[:50_000]
+    assert len(a) + len(b) == 100_000
+    for name, texts in licenses.WORDINGS.items():
+        for text in texts:
+            assert name in {r[2] for r in licenses.scan(f"{a} {text} {b}")}, (name, text)
+
+
+def test_every_wording_is_found_in_any_length_among_other_hits():
+    """Matches of the vocabulary close to the wording, long words beside it, and a block of many long lines."""
+    rng = random.Random(8)
+    hits = " ".join(f"{prose(rng, 3)} permission {prose(rng, 2)} licensed" for _ in range(60))
+    for name, texts in licenses.WORDINGS.items():
+        for text in texts:
+            for n in (20, 80, 140, 200, 300, 500, 800):
+                assert name in {r[2] for r in licenses.scan(f"{prose(rng, n)} {text} {prose(rng, n)}")}, (name, text, n)
+            assert name in {r[2] for r in licenses.scan(f"{hits} {text} {hits}")}, (name, text)
+            assert name in {r[2] for r in licenses.scan(f"{'x' * 9000} {text} {'y' * 9000}")}, (name, text)
+            half = text.index(" ", len(text) // 2)
+            lines = [prose(rng, 400), prose(rng, 400), text[:half], text[half + 1 :], prose(rng, 400)]
+            assert name in {r[2] for r in licenses.scan("\n".join(lines))}, (name, text)
