@@ -5,8 +5,10 @@ excess reshared by weight. A target is whole copies of the source, which are cer
 fixed-size sample with unequal inclusion probabilities: a document's rank is q = (u / (1 - u)) / (p / (1 - p)) with u a
 uniform number hashed from its id and p / (1 - p) its inclusion odds (the source's f / (1 - f), times the document's
 own odds), and the smallest ranks are taken. The size that is fixed is that in words: the sample ends where the next
-rank would pass the target, and FILLS documents at most are then put in or left out, each the one that brings the sum
-nearest to the target.
+rank would pass the target; where that leaves more than NEAR of the remainder to take, documents too large for what is
+left are passed over and the ranks go on, again and again until it is less or nothing fits. FILLS documents at most are
+then put in or left out, each the one that brings the sum nearest to the target. op1's DuckDB twin doesn't pass over, so
+op1 doesn't either (`pass_over`).
 
 What comes out is a plan with one row for each source (target, whole copies, the last rank taken), so the documents,
 texts and all, are never shuffled: each row is decided where it is read.
@@ -30,6 +32,8 @@ from tarnwheel.session import written
 
 MAX_COPIES = 3
 FILLS = 4
+#: Share of a remainder that may be left to the fills.
+NEAR = 0.01
 SEED = "mix-1"
 #: A list of sources up to this length is broadcast (its rows are under 300 bytes); a longer one is joined by salted keys.
 MOST_BROADCAST, SALTS = 20_000, 64
@@ -106,9 +110,32 @@ def _with_plan(df: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
     return dealt.join(salted, (dealt["_salt"] == salted["_salt"]) & dealt["source"].eqNullSafe(salted["source"])).drop(salted["source"]).drop("_salt")
 
 
-def _plan(sizes: DataFrame) -> tuple[DataFrame, int]:
+def _summed(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sid, q, key, words) rows as they are ranked, written; and these with `total`, the words of a source up to each."""
+    parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranked = written(units.repartitionByRange(parts, "sid", "q", "key").sortWithinPartitions("sid", "q", "key").mapInArrow(_running, "sid long, q double, key string, words long, part long, run long"), "mix-ranked")
+    before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranked.groupBy("sid", "part").agg(F.max("run").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return ranked, ranked.join(offsets, ["sid", "part"]).withColumn("total", F.col("before") + F.col("run"))
+
+
+def _passed_over(plan: DataFrame, ranked: DataFrame, small) -> DataFrame:
+    """The plan with its cuts moved on past documents larger than the gap, which go into flips."""
+    while True:
+        open_ = plan.where((F.col("gap") >= 1) & (F.col("gap") > NEAR * F.col("rest"))).select("sid", "cut_q", "cut_key", "gap")
+        beyond = ranked.join(small(open_), "sid").where(~_within(F.col("q"), F.col("key")))
+        _, summed = _summed(beyond.where("words <= gap").select("sid", "q", "key", "words"))
+        step = summed.join(small(open_.select("sid", "gap")), "sid").where("total <= gap").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("to"), F.sum("words").alias("more"))
+        step = written(step, "mix-step")
+        if step.isEmpty():
+            return plan
+        passed = beyond.join(small(step.select("sid", "to")), "sid").where((F.col("words") > F.col("gap")) & (F.struct("q", "key") < F.col("to"))).groupBy("sid").agg(F.collect_list("key").alias("passed"))
+        moved = {"cut_q": F.coalesce("to.q", "cut_q"), "cut_key": F.coalesce("to.key", "cut_key"), "gap": F.col("gap") - F.coalesce("more", F.lit(0)), "flips": F.concat("flips", F.coalesce("passed", F.array().cast("array<string>")))}
+        plan = written(plan.join(step, "sid", "left").join(passed, "sid", "left").withColumns(moved).drop("to", "more", "passed"), "mix-plan")
+
+
+def _plan(sizes: DataFrame, pass_over: bool) -> tuple[DataFrame, int]:
     """One row for each source: its target, whole copies, last rank taken and the keys that go the other way."""
-    spark = sizes.sparkSession
     sources = written(targets(sizes), "mix-sources")
     n_sources = sources.count()
     units = sizes.groupBy("source", "_key", "odds").agg(F.sum("size").alias("words")).where("words > 0")
@@ -117,40 +144,46 @@ def _plan(sizes: DataFrame) -> tuple[DataFrame, int]:
         .select("sid", _rank(F.col("_key"), F.col("share"), F.col("odds")).alias("q"), F.col("_key").alias("key"), "words")
         .where("q is not null")
     )
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranked = written(ranked.repartitionByRange(parts, "sid", "q", "key").sortWithinPartitions("sid", "q", "key").mapInArrow(_running, "sid long, q double, key string, words long, part long, run long"), "mix-ranked")
-    before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranked.groupBy("sid", "part").agg(F.max("run").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    ranked, summed = _summed(ranked)
     rest = sources.select("sid", "rest")
     small = F.broadcast if n_sources <= MOST_BROADCAST else (lambda x: x)
-    summed = ranked.join(offsets, ["sid", "part"]).join(small(rest), "sid").withColumn("fits", F.col("before") + F.col("run") <= F.col("rest"))
-    cut = summed.where("fits").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("cut"), F.sum("words").alias("got"))
+    cut = summed.join(small(rest), "sid").where("total <= rest").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("cut"), F.sum("words").alias("got"))
     plan = sources.join(cut, "sid", "left").select(*sources.columns, F.col("cut.q").alias("cut_q"), F.col("cut.key").alias("cut_key"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("gap"), F.array().cast("array<string>").alias("flips"))
+    if pass_over:
+        plan = _passed_over(written(plan, "mix-plan"), ranked, small)
+    plan = plan.withColumn("filled", F.array().cast("array<string>"))
     for _ in range(FILLS):
         plan = written(plan, "mix-plan")
-        left = ranked.join(small(plan.select("sid", "cut_q", "cut_key", "gap", "flips")), "sid").where(~F.array_contains("flips", F.col("key")))
+        left = ranked.join(small(plan.select("sid", "cut_q", "cut_key", "gap", "flips", "filled")), "sid").where(~F.array_contains("filled", F.col("key")))
         left = left.withColumn("change", F.when(_taken(F.col("q"), F.col("key")), -F.col("words")).otherwise(F.col("words"))).withColumn("miss", F.abs(F.col("gap") - F.col("change")))
         best = left.where(F.col("miss") < F.abs("gap")).groupBy("sid").agg(F.min(F.struct("miss", "q", "key", "change")).alias("best"))
-        flips = F.when(F.col("best").isNull(), F.col("flips")).otherwise(F.concat("flips", F.array("best.key")))
-        plan = plan.join(best, "sid", "left").withColumns({"flips": flips, "gap": F.col("gap") - F.coalesce("best.change", F.lit(0))}).drop("best")
-    return written(plan, "mix-plan"), n_sources
+        turned = F.array("best.key")
+        flips = F.when(F.col("best").isNull(), F.col("flips")).when(F.array_contains("flips", F.col("best.key")), F.array_except("flips", turned)).otherwise(F.concat("flips", turned))
+        filled = F.when(F.col("best").isNull(), F.col("filled")).otherwise(F.concat("filled", turned))
+        plan = plan.join(best, "sid", "left").withColumns({"flips": flips, "filled": filled, "gap": F.col("gap") - F.coalesce("best.change", F.lit(0))}).drop("best")
+    return written(plan.drop("filled"), "mix-plan"), n_sources
+
+
+def _within(q: Column, key: Column) -> Column:
+    """Whether a document's rank is up to the last one of its source."""
+    return F.coalesce((q < F.col("cut_q")) | ((q == F.col("cut_q")) & (key <= F.col("cut_key"))), F.lit(False))
 
 
 def _taken(q: Column, key: Column) -> Column:
     """Whether a document is in the sample of its source's remainder."""
-    within = F.coalesce((q < F.col("cut_q")) | ((q == F.col("cut_q")) & (key <= F.col("cut_key"))), F.lit(False))
-    return within != F.array_contains("flips", key)
+    return _within(q, key) != F.array_contains("flips", key)
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", odds: Column | None = None) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", odds: Column | None = None, pass_over: bool = True) -> DataFrame:
     """All rows of docs as struct `doc`, with source, size, source_size, target, copies and taken.
 
     odds: the documents' own factor on their inclusion odds, from their size in the column `size`; 1 by default.
+    pass_over: whether ranks go on behind documents that are too large for what is left to take.
     """
     odds = F.lit(1.0) if odds is None else odds
     rows = docs.select(F.struct("*").alias("doc")).withColumns({"source": F.col(f"doc.`{source_col}`"), "size": n_words(F.col(f"doc.`{text_col}`"))})
     rows = rows.withColumns({"_key": _key(F.col(f"doc.`{id_col}`"), F.col("size")), "odds": odds.cast("double")})
-    plan, n_sources = _plan(written(rows.select("source", "size", "_key", "odds"), "mix-sizes"))
+    plan, n_sources = _plan(written(rows.select("source", "size", "_key", "odds"), "mix-sizes"), pass_over)
     out = _with_plan(rows, plan, n_sources)
     copies = F.col("whole") + _taken(_rank(F.col("_key"), F.col("share"), F.col("odds")), F.col("_key")).cast("long")
     return out.withColumn("copies", copies).select("doc", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
@@ -168,7 +201,7 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mixed(docs, odds=short_odds()).select("doc.doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return mixed(docs, odds=short_odds(), pass_over=False).select("doc.doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
 _ORACLE = r"""

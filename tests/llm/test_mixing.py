@@ -1,7 +1,9 @@
 import hashlib
+import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tarnwheel.llm import mixing
 
@@ -98,3 +100,19 @@ def test_oracle(spark):
     duckdb.sql(f"create or replace view documents as select * from '{SF}/documents.parquet'")
     want = sorted(duckdb.sql(mixing.ORACLE_OP1).fetchall(), key=repr)
     assert sorted((tuple(r) for r in mixing.op1_mix_sources(spark, SF).collect()), key=repr) == want
+
+
+def test_a_document_with_a_third_of_the_words(spark):
+    """Alone, and as one row repeated: targets are met whatever its rank."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(24):
+        sizes = [rng.randint(20, 400) for _ in range(100)]
+        rows += [(f"{k}-{j}", n, f"s{k:02}") for j, n in enumerate(sizes)]
+        third = sum(sizes) // 2
+        rows += [(f"{k}-long", third, f"s{k:02}")] if k % 2 else [(f"{k}-same", 50, f"s{k:02}")] * (third // 50)
+    docs = spark.createDataFrame(rows, "doc_id string, n int, source string").selectExpr("doc_id", "source", "repeat('w ', n) as text")
+    found = mixing.mixed(docs).groupBy("source").agg({"taken": "sum", "target": "max", "source_size": "max"}).select("source", F.col("sum(taken)").alias("taken"), F.col("max(target)").alias("target"), F.col("max(source_size)").alias("have")).collect()
+    assert len(found) == 24
+    for r in found:
+        assert abs(r.taken - r.target) <= 0.01 * (r.target % r.have) + 1, r
