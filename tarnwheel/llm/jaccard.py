@@ -327,9 +327,23 @@ def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without later members of each component, with all their columns; rows that repeat an id stay together."""
-    gone = written(self_join(docs, id_col, text_col, **options).where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(), "later-members")
-    return docs.join(_small(gone), docs[id_col] == gone["_gone"], "left_anti")
+    """One row of each component, with all its columns: the one with the least id, null ids last.
+
+    Rows are told apart by a hash of all their columns, which breaks ties between equal ids; of equal rows one stays.
+    """
+    rows = docs.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    marks = written(self_join(rows, "_row", text_col, **options).where("n_shingles > 0").select("_row", F.col("component_id").alias("_component")), "marks")
+    several = marks.groupBy("_component").agg(F.count("*").alias("_n")).where("_n > 1").select("_component")
+    members = written(marks.join(_small(written(several, "components-of-several")), "_component").groupBy("_row", "_component").agg(F.count("*").alias("_n")), "members")
+    found = rows.select("_row", F.col(id_col).alias("_id")).join(_small(members), "_row").select("_component", "_row", "_id", "_n")
+    first = written(found.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first")), "first-rows")
+    fates = members.join(_small(first), "_component").select("_row", "_n", (F.col("_row") == F.col("_first._row")).alias("_stays"))
+    gone = written(fates.where("not _stays").select("_row"), "later-members")
+    equal = written(fates.where("_stays and _n > 1").select("_row"), "equal-rows")
+    left = rows.join(_small(gone), "_row", "left_anti")
+    if not equal.isEmpty():
+        left = left.join(_small(equal), "_row", "left_anti").unionByName(left.join(_small(equal), "_row", "left_semi").dropDuplicates(["_row"]))
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,17 @@ def test_oracle(spark):
     duckdb.sql(f"create or replace view documents as select * from '{SF}/documents.parquet'")
     want = sorted(duckdb.sql(j.ORACLE_OP8).fetchall())
     assert sorted(tuple(r) for r in j.op8_jaccard_join(spark, SF).collect()) == want
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    rng = random.Random(12)
+    a, b, c, d, e, clean = (prose(rng, 100) for _ in range(6))
+    near = a.rsplit(" ", 1)[0] + " zz"
+    rows = [(7, a), (7, a), (7, near), (3, near)]  # a repeated row, a shared id, a near copy with a lower one
+    rows += [(9, clean), (9, near)]  # a clean text that shares its id with a near copy
+    rows += [(None, b), (None, b), (None, b), (None, c), (5, c)]  # null ids alone, and beside another
+    rows += [(4, d), (4, d), (1, e), (2, None), (2, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, r.text) for r in j.one_of_each(docs).collect()), key=repr)
+    assert got == sorted([(3, near), (9, clean), (None, b), (5, c), (4, d), (1, e), (2, None), (2, None), (6, ""), (6, "")], key=repr)
+    assert j.one_of_each(docs).columns == docs.columns
