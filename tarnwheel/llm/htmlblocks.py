@@ -48,7 +48,7 @@ def marks(rest: str) -> tuple[str, ...]:
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
             found.append("hidden")
         elif name in ("class", "id", "role", "itemprop", "aria-label"):
-            for part in _PART.findall(_CAMEL.sub(" ", value)[:400]):
+            for part in _PART.findall(_CAMEL.sub(" ", value)):
                 found.append(part.lower())
     return tuple(dict.fromkeys(found))
 

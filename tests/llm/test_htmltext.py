@@ -86,3 +86,11 @@ def test_pages_of_the_table(spark, field):
         article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         lines = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(x for x in lines if x) and r.n_chars == len(r.text)
+
+
+def test_attribute_values_are_read_whole():
+    from tarnwheel.llm.htmlblocks import marks
+
+    classes = " ".join(f"utility-{k}" for k in range(200))
+    for name in ("class", "id", "role", "itemprop", "aria-label"):
+        assert "sidebar" in marks(f' {name}="{classes} sidebar"')
