@@ -68,6 +68,29 @@ def sweep(spark: SparkSession, since: int, keep: DataFrame) -> None:
             remove(spark, path)
 
 
+class Held:
+    """Tables of one operator: each is written to the shared folder and read back, and goes when nothing needs it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: list[tuple[str, DataFrame]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((path, table))
+        return table
+
+    def release(self, *keep: DataFrame) -> None:
+        """Deletes the tables, but for those that are read by `keep`."""
+        files = {Path(f).parent.name for df in keep for f in df.inputFiles()}
+        for path, _ in self.tables:
+            if path.rsplit("/", 1)[1] not in files:
+                remove(self.spark, path)
+        self.tables.clear()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back, which cuts its lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
