@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-from tarnwheel.llm.textarrays import blocks, mix, powers
+from tarnwheel.llm.textarrays import blocks, range_hashes
 
 #: Code points that are split here: Basic Latin to Latin Extended-B.
 LIMIT = 0x250
@@ -23,7 +23,6 @@ REMEMBERED = 1_500_000
 SPACE, LETTER, NUMBER, OTHER = range(4)
 _WHITE = (*range(9, 14), 32, 0x85, 0xA0)
 _CLASS = np.array([SPACE if c in _WHITE else LETTER if unicodedata.category(chr(c))[0] == "L" else NUMBER if unicodedata.category(chr(c))[0] == "N" else OTHER for c in range(LIMIT)], np.uint8)
-_WEIGHT = mix(np.arange(1, LIMIT + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 _SHORT = np.zeros(LIMIT, bool)
 _SHORT[[ord(c) for c in "stmd"]] = True
 
@@ -109,10 +108,7 @@ class Encoder:
     def _plain(self, text: str, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = split(points, at)
         ends = np.append(starts[1:], len(points))[: len(starts)]
-        up, down = powers(len(points))
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(_WEIGHT[points] * up[: len(points)], dtype=np.uint64, out=sums[1:])
-        keys, one, each = np.unique(mix((sums[ends] - sums[starts]) * down[starts]), return_index=True, return_inverse=True)
+        keys, one, each = np.unique(range_hashes(points, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self._forget()
         where = np.searchsorted(self.keys, keys)

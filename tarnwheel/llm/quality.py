@@ -97,7 +97,7 @@ def _families(block: Block, h, firsts, pair, at, chars, char_firsts, char_of) ->
     yield pair, np.searchsorted(at, firsts)
     for n in CHARS:
         from_ = np.flatnonzero(char_of[: max(0, len(char_of) - n + 1)] == char_of[n - 1 :])
-        yield block.hashes(chars[from_], chars[from_ + n]), np.searchsorted(from_, char_firsts)
+        yield block.rolling(chars[from_], chars[from_ + n]), np.searchsorted(from_, char_firsts)
 
 
 def scores(block: Block, weights: np.ndarray) -> np.ndarray:

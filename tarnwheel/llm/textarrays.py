@@ -1,7 +1,9 @@
 """Whole Arrow batches of text as byte arrays: words, lines and n-gram hashes without a loop over rows.
 
-Hashes are 64-bit polynomial sums over random byte weights, mixed afterwards. One prefix sum over a block of texts
-gives the hash of any substring in it, so words, lines, shingles and character n-grams share one pass.
+Hashes of words and lines (`range_hashes`) are sums of bytes times a random 64-bit weight for each place, mixed
+afterwards: two different strings have equal sums by chance alone, of 2**-57 at most, whatever their length. `rolling`
+hashes are polynomials modulo 2**64 from one prefix sum, for grams that overlap; regular strings of a thousand bytes can
+collide there by construction, so they only choose (features, anchors) and never decide that two strings are equal.
 A null text is an empty one everywhere.
 """
 
@@ -49,6 +51,36 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Weights of the first places, which is all that most words and lines have.
+_WEIGHTS = 1 << 16
+_table: dict[str, np.ndarray] = {}
+
+
+def _weights(place: np.ndarray, most: int) -> np.ndarray:
+    """A random odd weight for each place, the same at every call."""
+    if "weights" not in _table:
+        _table["weights"] = mix(np.arange(1, _WEIGHTS + 1, dtype=U64) * _STEP) | U64(1)
+    return _table["weights"][place] if most <= _WEIGHTS else mix((place.astype(U64) + U64(1)) * _STEP) | U64(1)
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each range starts .. ends of an array of small numbers, by values and their places in the range."""
+    size = ends - starts
+    total = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(len(starts), U64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + BLOCK, "right")) - 1)  # so much at once
+        n, begin = size[a:b], total[a:b] - total[a]
+        place = np.arange(int(total[b] - total[a])) - np.repeat(begin, n)
+        term = _weights(place, int(n.max())) * (values[place + np.repeat(starts[a:b], n)].astype(U64) + U64(1))
+        run = np.zeros(len(place) + 1, U64)
+        np.cumsum(term, dtype=U64, out=run[1:])
+        out[a:b] = run[begin + n] - run[begin] + n.astype(U64) * _MIX[1]
+        a = b
+    return mix(out)
+
+
 def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cuts a string column into (first row, row after the last, bytes, offsets) blocks of about `limit` bytes."""
     if isinstance(column, pa.ChunkedArray):
@@ -82,7 +114,11 @@ class Block:
         return self._sums
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """One hash for each substring starts .. ends."""
+        """One hash for each of the words or lines starts .. ends."""
+        return range_hashes(self.data, starts, ends)
+
+    def rolling(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """One hash for each of the overlapping substrings starts .. ends, for choosing only."""
         return mix((self.sums[ends] - self.sums[starts]) * powers(len(self.data))[1][starts])
 
     def cut(self, white: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
