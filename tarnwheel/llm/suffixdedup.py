@@ -17,11 +17,13 @@ same one) is removed; strings are judged on the input, overlaps count, and no st
    are later copies, and their bytes are covered.
 
 A task takes its segments in sorted order, some ten thousand at a time, so all of an anchor's are together. An anchor
-with over HOT segments goes another way, with all else equal: its strings are grouped by a 128-bit hash each, summed
-up where they are, so that no task gets all of a hot group.
+with over HOT segments goes another way, with all else equal: its strings are grouped by a 128-bit BLAKE2 digest each,
+summed up where they are, so that no task gets all of a hot group.
 
 Exact copies of whole texts are found by their digest first; the later ones are removed whole if they have WINDOW bytes.
-64-bit hashes choose anchors only: two grams that fall together cost time, never a wrong byte.
+64-bit hashes choose anchors only: two grams that fall together cost time, never a wrong byte. Rows are known by id and
+a 64-bit hash of id and text, so what goes is decided for that id alone; two rows of one id whose hashes fall together
+(a chance of 2**-64 for each such pair) would share their fate.
 
 Defined results: a null text is an empty one; rows with equal ids and texts share their fate and are no copies of each
 other; null ids come first, and equal ids fall back on a hash of the text; an empty table gives no rows; other columns
@@ -31,6 +33,7 @@ don't matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +60,7 @@ def anchors(block: Block) -> tuple[np.ndarray, np.ndarray]:
     n = len(block.data)
     if n < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = block.hashes(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
+    h = block.rolling(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
     out = [_least(h[a : a + _PIECE + SIDE]) + a for a in range(0, max(1, len(h) - SIDE), _PIECE)]
     least = np.concatenate(out)  # for each start of a string, the place of its anchor
     inside = np.zeros(n + 1, np.int32)  # starts of strings that end within their text
@@ -96,7 +99,7 @@ def _again(block: Block, place: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Places whose segment is whole and the same, byte for byte, as an earlier one of its text."""
     out = np.zeros(len(place), bool)
     full = np.flatnonzero((place - SIDE >= block.offsets[text]) & (place + GRAM + SIDE <= block.offsets[text + 1]))
-    key = block.hashes(place[full] - SIDE, place[full] + GRAM + SIDE)
+    key = block.rolling(place[full] - SIDE, place[full] + GRAM + SIDE)
     order = full[np.lexsort((place[full], key, text[full]))]
     for a in range(0, len(order) - 1, CUT):
         one, two = order[a : a + CUT], order[a + 1 : a + CUT + 1]
@@ -289,27 +292,29 @@ def _pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
     rows, at, left, right, hot = (x.to_numpy(zero_copy_only=False) for x in (rows, at, left, right, hot))
     symbols = np.frombuffer(raw.buffers()[2], np.uint8, len(rows) * WIDTH, np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]).reshape(-1, WIDTH)
     again = np.flatnonzero(left < 0)
-    yield _out(rows[again], at[again] - SIDE, at[again] + GRAM + SIDE)
+    of = lambda k: ids.take(pa.array(k))
+    yield _out(of(again), rows[again], at[again] - SIDE, at[again] + GRAM + SIDE)
     usual = np.flatnonzero((left >= 0) & ~hot)
     if len(usual) > 1:
-        rank = _order(ids.take(pa.array(usual)), rows[usual], at[usual])
+        rank = _order(of(usual), rows[usual], at[usual])
         seg, a, b = _spans(copies(symbols[usual], left[usual], right[usual], rank), at[usual])
-        yield _out(rows[usual][seg], a, b)
+        yield _out(of(usual[seg]), rows[usual[seg]], a, b)
     some = np.flatnonzero((left >= 0) & hot)
     if len(some):
         columns = np.arange(SIDE + 1)[None, :]
         seg, column = np.nonzero((SIDE - columns <= left[some, None]) & (columns <= right[some, None]))
         seg = some[seg]
-        begin, flat = seg * WIDTH + column, symbols.ravel()
-        x, y = (Block(flat ^ np.uint8(k), np.array([0, len(flat)])).hashes(begin, begin + WINDOW).view(np.int64) for k in (0, 0x5A))
+        flat = symbols.tobytes()
+        named = b"".join(blake2b(flat[a : a + WINDOW], digest_size=16).digest() for a in (seg * WIDTH + column).tolist())
+        name = np.frombuffer(named, np.int64).reshape(-1, 2)
         start = at[seg] - SIDE + column
-        yield _out(rows[seg], start, start + WINDOW, x, y, ids.take(pa.array(seg)))
+        yield _out(of(seg), rows[seg], start, start + WINDOW, name)
 
 
-def _out(row: np.ndarray, start: np.ndarray, stop: np.ndarray, x=None, y=None, ids=None) -> pa.RecordBatch:
+def _out(ids: pa.Array, row: np.ndarray, start: np.ndarray, stop: np.ndarray, name: np.ndarray | None = None) -> pa.RecordBatch:
     none = pa.nulls(len(row), pa.int64())
-    more = [none] * 3 if x is None else [pa.array(x), pa.array(y), ids]
-    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), *more], ["row", "start", "stop", "x", "y", "id"])
+    x, y = (none, none) if name is None else (pa.array(name[:, 0]), pa.array(name[:, 1]))
+    return pa.RecordBatch.from_arrays([ids, pa.array(row), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), x, y], ["id", "row", "start", "stop", "x", "y"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +339,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _covered(docs: DataFrame, id_col: str, text_col: str, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(row, spans) for rows by hash of id and text; (md, owner) of texts with copies."""
+    """(id, row, spans) for rows by id and hash of id and text; (md, owner) of texts with copies."""
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumns({"md": F.md5("text"), "row": F.xxhash64("id", "text")})
@@ -352,14 +357,14 @@ def _covered(docs: DataFrame, id_col: str, text_col: str, hot: int) -> tuple[Dat
 
     # those that need no partner, or meet theirs later, are dealt by text
     dealt = segments.withColumn("h", F.when((F.col("left") < 0) | F.col("hot"), F.col("row")).otherwise(F.col("h")))
-    found = written(dealt.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_compared, "row long, start int, stop int, x long, y long, id long"), "spans")
+    found = written(dealt.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_compared, "id long, row long, start int, stop int, x long, y long"), "spans")
     strings = found.where("x is not null")
     who = F.struct(F.col("id").isNotNull().alias("some"), "id", "row", "start")
     first = strings.groupBy("x", "y").agg(F.min(who).alias("first"), F.max(who).alias("_last")).where("first <> _last").drop("_last")
     later = strings.join(first, ["x", "y"]).where(who > F.col("first"))
-    spans = found.where("x is null").select("row", "start", "stop").union(later.select("row", "start", "stop"))
-    each = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return written(each.mapInArrow(_runs, "row long, spans array<struct<start: int, stop: int>>"), "row-spans"), owners
+    spans = found.where("x is null").select("id", "row", "start", "stop").union(later.select("id", "row", "start", "stop"))
+    each = spans.groupBy("id", "row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return written(each.mapInArrow(_runs, "id long, row long, spans array<struct<start: int, stop: int>>"), "row-spans"), owners
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -374,11 +379,11 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, spans) to (row, maximal runs)."""
+    """(id, row, spans) to (id, row, maximal runs)."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
     for batch in batches:
-        runs = [[{"start": a, "stop": b} for a, b in merged(x)] for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(runs, kind)], ["row", "spans"])
+        runs = [[{"start": a, "stop": b} for a, b in merged(x)] for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, kind)], ["id", "row", "spans"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
@@ -400,9 +405,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     """Each row's id, n_bytes, the maximal removed spans (start, stop) in bytes, and the remaining bytes as `kept`."""
     spans, owners = _covered(docs, id_col, text_col, hot)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    owners, spans = owners.withColumnRenamed("md", "_md"), spans.withColumnRenamed("row", "_row")
+    owners, spans = owners.withColumnRenamed("md", "_md"), spans.withColumnsRenamed({"row": "_row", "id": "_id"})
     few = (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= MOST_ROWS
-    rows = texts.join(_small(owners), F.md5("text") == F.col("_md"), "left").join(F.broadcast(spans) if few else spans, F.xxhash64("id", "text") == F.col("_row"), "left")
+    rows = texts.join(_small(owners), F.md5("text") == F.col("_md"), "left").join(F.broadcast(spans) if few else spans, (F.xxhash64("id", "text") == F.col("_row")) & F.col("id").eqNullSafe(F.col("_id")), "left")
     later = F.col("_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     schema = f"`{id_col}` long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
     return rows.select("id", "text", later.alias("later"), "spans").mapInArrow(lambda it: _cut(it, id_col), schema)
