@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnwheel.session import written
+from tarnwheel.session import Held
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,17 +19,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return sent.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(sent.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, held: Held | None = None) -> DataFrame:
     """Links (a, b) of comparable ids to (node, root): the least node of each node's component; roots have no row.
 
     Alternating large and small stars; every round is written to the shared folder, and the rounds grow with the
-    logarithm of the number of nodes.
+    logarithm of the number of nodes. The rounds' tables belong to `held`.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    held = held or Held(edges.sparkSession)
+    now = held(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark[0] == 0 or mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = mark
-        now = written(_star(_star(now, True), False), "links")
+        now = held(_star(_star(now, True), False), "links")

@@ -1,23 +1,32 @@
 """Exact n-gram Jaccard self-join by a token-group matrix.
 
 Documents with equal sets of shingles are one node. Nodes are dealt into groups of similar ones: all with the same key
-token, cut into parts of about GROUP nodes. Inside a group every pair is compared exactly, by products of incidence
-matrices. The matrix has a row (token, group) for each token in the union of a group's prefixes. Each node queries it
-with its own prefix; a group can hold a partner only where the overlap is large enough and the sizes allow it, and
-only such groups are opened and their members compared exactly.
+token, cut into parts of about GROUP nodes or TOKENS tokens, whichever is less. The matrix has a row (token, group) for
+each token in the union of a group's prefixes. Each node queries it with its own prefix; a group can hold a partner
+only where the overlap is large enough and the sizes allow it, and only such groups are opened.
+
+Groups are opened in three steps, since what comes out are components and not all pairs:
+
+1. Every group is compared with itself, all pairs exactly by products of incidence matrices, and what links is joined.
+2. Of the nodes of one component that ask for the same group, one asks.
+3. The other ones ask where the group still holds a node of another component than theirs.
+
+A group whose nodes are all of the asking node's component is never opened, as no link to it could join anything. So a
+cluster of near copies over many parts is sent out about twice, and not once for each of its parts.
 
 Prefixes: a pair has at least `least(n)` tokens in common, n the size of either (at 0.9, ceil(0.9 n)), so of the first
 n - least(n) + k tokens of both, in one order for all, at least k agree. k is `shared(n)`; a partner has at least
-least(n) tokens, so shared(least(n)) agree whatever the partner is. The order puts common tokens last:
-tokens that make up over 1 / 2**HOT_BITS of all occurrences are listed by a full count (so there are fewer than
-2**HOT_BITS of them, which bounds what is broadcast) and sorted by it. The order decides how many groups are opened,
-never which links are found.
+least(n) tokens, so shared(least(n)) agree whatever the partner is. The order puts common tokens last: tokens that
+tasks find to make up over 1 / 2**HOT_BITS of what they see are listed with their counts, and sorted by them. The list
+can leave out a token that is rare in every task, and its counts are lower bounds; the order decides how many groups
+are opened, never which links are found.
 
 Hashes have 64 bits: two of n shingles, or two of n sets, fall together with a chance of n**2 / 2**65.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; rows with
-equal ids are separate documents; a component's id is its least non-null id; an empty table gives no rows; columns
-other than id and text don't matter.
+equal ids are separate documents; ids are cast to long (an id that is no number is an error); a component's id is its
+least non-null id; a very long text is a group of its own; an empty table gives no rows; columns other than id and text
+don't matter.
 """
 
 from __future__ import annotations
@@ -31,19 +40,21 @@ from pyspark.sql import functions as F
 
 from tarnwheel.llm.components import components
 from tarnwheel.llm.textarrays import Block, blocks, grams, mix, owners, sums_by
-from tarnwheel.session import written
+from tarnwheel.session import Held, written
 
 #: Words in a shingle, and the least percentage of the union that two linked sets have in common.
 SHINGLE, PERCENT = 5, 80
 #: A prefix has so many tokens more than can be missing: one in SHARE, and LEAST_SHARED at least.
 SHARE, LEAST_SHARED = 32, 3
 HOT_BITS = 22
-GROUP = 1024
+#: Most nodes and tokens of a part of a group (or of the queries to it), but for a part of one node.
+GROUP, TOKENS = 1024, 1 << 20
 #: A table is broadcast up to so many rows (of 40 bytes at most), the list of shared tokens up to fewer; beyond, both
 #: sides are shuffled.
 MOST_ROWS, MOST_TOKENS = 500_000, 100_000
 NO_ID = -(1 << 63)
-_HOT_TABLE = 1 << 21
+#: Tokens that a task counts at once; beyond, the rarer half is forgotten.
+_HOT_TABLE = 1 << 19
 
 
 def least(n: np.ndarray, percent: int) -> np.ndarray:
@@ -107,10 +118,9 @@ def _counted(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Rec
 
 
 def hot_tokens(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens with over 1 / 2**HOT_BITS of all occurrences, sorted, and their counts."""
-    # one task for each core, so that a task sees enough of a token to tell that it is frequent
-    counted = docs.select(text_col).coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
-    counts = written(counted.mapInArrow(lambda it: _counted(it, shingle), "token long, n long, total boolean").groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
+    """Tokens with over 1 / 2**HOT_BITS of all occurrences, sorted, and their counts; fewer than 2**HOT_BITS."""
+    counted = docs.select(text_col).mapInArrow(lambda it: _counted(it, shingle), "token long, n long, total boolean")
+    counts = written(counted.groupBy("token", "total").agg(F.sum("n").alias("n")), "hot-tokens")
     total = counts.where("total").agg(F.sum("n")).first()[0] or 0
     hot = counts.where(~F.col("total") & (F.col("n") > max(8, total >> HOT_BITS))).select("token", "n").toArrow()
     keys = hot.column("token").to_numpy().view(np.uint64)
@@ -119,7 +129,7 @@ def hot_tokens(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray
 
 
 def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, node, n, key, prefix)."""
+    """(id, text, hash of the text) to (id, hash, node, n, key, prefix)."""
     for batch in batches:
         parts = []
         for _, _, data, offsets in blocks(batch.column(1)):
@@ -144,7 +154,7 @@ def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray],
         if parts:
             node, n, key, prefix, size = (np.concatenate(x) for x in zip(*parts, strict=True))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64)), lists], ["id", "node", "n", "key", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64)), lists], ["id", "hash", "node", "n", "key", "prefix"])
 
 
 def _distinct(found: np.ndarray, of: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,48 +287,78 @@ def _slot(parts: Column) -> Column:
     return F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) * parts / F.lit(1 << 40))
 
 
-def _links(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) that connect all nodes which any links connect."""
+def _needed_parts() -> Column:
+    """How many parts nodes with their sizes `n` are cut into."""
+    return F.greatest(F.ceil(F.count("*") / F.lit(GROUP)), F.ceil(F.sum("n") / F.lit(TOKENS)))
+
+
+def _links(texts: DataFrame, base: DataFrame, roles: DataFrame, shingle: int, percent: int, held: Held) -> DataFrame:
+    """Links (a, b) among the nodes that `roles` (node, gid, part, query) brings together; sets are made from texts."""
+    each = held(roles.groupBy("node").agg(F.collect_list(F.struct("gid", "part", "query")).alias("roles")), "roles")
+    sources = base.select("node", "id", "hash").join(_small(each.select("node")), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "hash")).alias("s"))
+    needed = held(each.join(sources, "node").select("s.id", "s.hash", "node", "roles"), "needed")
+    few = (needed.agg(F.sum(F.size("roles"))).first()[0] or 0) <= MOST_ROWS
+    sets = texts.withColumn("id", F.coalesce("id", F.lit(NO_ID))).join(F.broadcast(needed) if few else needed, ["id", "hash"]).select("text", "node", "roles")
+    kind = "array<struct<gid: long, part: long, query: int>>"
+    sets = sets.mapInArrow(lambda it: _token_sets(it, shingle), f"node long, tokens binary, roles {kind}").select(F.explode("roles").alias("r"), "node", "tokens").select("r.gid", "r.part", "r.query", "node", "tokens")
+    return sets.repartition(_parts(texts.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(lambda it: _linked(it, percent), "a long, b long")
+
+
+def _roots(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, root) for the nodes that any links connect to a lesser one."""
+    held = Held(rows.sparkSession)
     # of two different sets that link, the smaller lacks one token of the union at least (at 0.9: nine of ten)
     base = rows.where(F.col("n") >= -(-percent // max(1, 100 - percent)))
-    large = base.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > GROUP)
-    base = base.join(_small(written(large, "large-keys")), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce(F.ceil(F.col("members") / GROUP), F.lit(1)))))
+    large = base.groupBy("key").agg(_needed_parts().alias("parts")).where("parts > 1")
+    base = base.join(_small(held(large, "large-keys")), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce("parts", F.lit(1)))))
 
     member = base.select("gid", "node", "n", F.explode("prefix").alias("token"))
     several = member.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
-    asked = written(member.join(_small(written(several, "shared-tokens"), MOST_TOKENS), "token", "left_semi").distinct(), "asked")
-    able = written(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {overlap(percent)}").select("node", "gid"), "able")
+    asked = held(member.join(_small(held(several, "shared-tokens"), MOST_TOKENS), "token", "left_semi").distinct(), "asked")
+    able = held(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {overlap(percent)}").select("node", "gid"), "able")
     asked = asked.join(_small(able.select("node")), "node", "left_semi")
-    matrix = written(asked.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.min("node") < F.max("node")).alias("twice")), "matrix")
+    matrix = asked.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.min("node") < F.max("node")).alias("twice"))
 
     q, g = asked.alias("q"), matrix.alias("g")
     fits = f"q.token = g.token and 100 * q.n >= {percent} * g.low and 100 * g.high >= {percent} * q.n and (q.gid > g.gid or q.gid = g.gid and g.twice)"
     open_ = q.join(g, F.expr(fits)).groupBy("q.node", "q.n", "g.gid", (F.col("q.gid") == F.col("g.gid")).alias("own")).agg(F.count("*").alias("overlap"))
-    open_ = written(open_.where(f"overlap >= {overlap(percent)}").select("node", "gid", "own"), "open-groups")
-
-    # what each node's set is needed for: in its own group (part -1), as a member of an opened one, as a query to one
-    zero, none = F.lit(0).cast("long"), F.lit(-1).cast("long")
-    counts = written(open_.where("not own").groupBy("gid").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "open-parts")
-    inside = open_.where("own").select("node", "gid", none.alias("part"), F.lit(0).alias("query"))
-    members = able.join(counts, "gid").select("node", "gid", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(0).alias("query"))
-    queries = open_.where("not own").join(counts, "gid").select("node", "gid", _slot(F.col("parts")).alias("part"), F.lit(1).alias("query"))
-    roles = inside.union(members).union(queries).groupBy("node").agg(F.collect_list(F.struct("gid", "part", "query")).alias("roles"))
-    roles = written(roles, "roles")
-    ids = base.select("node", "id").join(_small(roles.select("node")), "node", "left_semi").groupBy("node").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("id"))
-    needed = written(roles.join(ids, "node").select("id", "node", "roles"), "needed")
-    few = (needed.agg(F.sum(F.size("roles"))).first()[0] or 0) <= MOST_ROWS
-    sets = texts.withColumn("id", F.coalesce("id", F.lit(NO_ID))).join(F.broadcast(needed) if few else needed, "id").select("text", "node", "roles")
-    kind = "array<struct<gid: long, part: long, query: int>>"
-    sets = sets.mapInArrow(lambda it: _token_sets(it, shingle), f"node long, tokens binary, roles {kind}").select(F.explode("roles").alias("r"), "node", "tokens").select("r.gid", "r.part", "r.query", "node", "tokens")
-    return sets.repartition(_parts(texts.sparkSession), "gid", "part").sortWithinPartitions("gid", "part").mapInArrow(lambda it: _linked(it, percent), "a long, b long")
+    open_ = held(open_.where(f"overlap >= {overlap(percent)}").select("node", "n", "gid", "own"), "open-groups")
+
+    zero, alone = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    inside = open_.where("own").select("node", "gid", alone.alias("part"), F.lit(0).alias("query"))
+    roots = components(_links(texts, base, inside, shingle, percent, held), held)
+
+    others, done = open_.where("not own").select("node", "n", "gid"), None
+    while True:
+        rooted = lambda df: df.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))  # noqa: E731, B023
+        spread = rooted(able).groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        left = rooted(others).join(spread, "gid").where("low <> high or low <> root")
+        if done is None:
+            left = left.groupBy("root", "gid").agg(F.min(F.struct("node", "n")).alias("q")).select("q.node", "q.n", "gid")
+        else:
+            left = left.join(_small(done), ["node", "gid"], "left_anti").select("node", "n", "gid")
+        queries = held(left, "queries")
+        if queries.isEmpty():
+            break
+        counts = queries.groupBy("gid").agg(_needed_parts().alias("parts"))
+        members = able.join(counts, "gid").select("node", "gid", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(0).alias("query"))
+        asking = queries.join(counts, "gid").select("node", "gid", _slot(F.col("parts")).alias("part"), F.lit(1).alias("query"))
+        found = _links(texts, base, members.union(asking), shingle, percent, held)
+        roots = components(roots.toDF("a", "b").union(found), held)
+        if done is not None:
+            break
+        done = queries.select("node", "gid")
+    held.release(roots)
+    return roots
 
 
 def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Each row's id, n_shingles and component_id; all links with enough similarity are found."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(texts, "text", shingle))
-    rows = written(texts.mapInArrow(lambda it: _sets(it, hot.value, shingle, percent), "id long, node long, n long, key long, prefix array<long>"), "sets")
-    roots = written(components(_links(texts, rows, shingle, percent)), "roots")
+    kinds = "id long, hash long, node long, n long, key long, prefix array<long>"
+    rows = written(texts.select("id", "text", "hash").mapInArrow(lambda it: _sets(it, hot.value, shingle, percent), kinds), "sets")
+    roots = _roots(texts, rows, shingle, percent)
     rooted = rows.select("id", "node", "n").join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     # a document alone in its component needs no look-up
     first = rooted.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("c")).where("c > 1").drop("c")
@@ -330,16 +370,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of each component, with all its columns: the one with the least id, null ids last.
 
     Rows are told apart by a hash of all their columns, which breaks ties between equal ids; of equal rows one stays.
+    Rows without shingles (null, empty and wordless texts) all stay. Columns can have any name but _row.
     """
+    held = Held(docs.sparkSession)
     rows = docs.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    marks = written(self_join(rows, "_row", text_col, **options).where("n_shingles > 0").select("_row", F.col("component_id").alias("_component")), "marks")
+    marks = held(self_join(rows, "_row", text_col, **options).where("n_shingles > 0").select("_row", F.col("component_id").alias("_component")), "marks")
     several = marks.groupBy("_component").agg(F.count("*").alias("_n")).where("_n > 1").select("_component")
-    members = written(marks.join(_small(written(several, "components-of-several")), "_component").groupBy("_row", "_component").agg(F.count("*").alias("_n")), "members")
+    members = held(marks.join(_small(held(several, "components-of-several")), "_component").groupBy("_row", "_component").agg(F.count("*").alias("_n")), "members")
     found = rows.select("_row", F.col(id_col).alias("_id")).join(_small(members), "_row").select("_component", "_row", "_id", "_n")
-    first = written(found.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first")), "first-rows")
-    fates = members.join(_small(first), "_component").select("_row", "_n", (F.col("_row") == F.col("_first._row")).alias("_stays"))
+    first = found.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first"))
+    fates = held(members.join(_small(held(first, "first-rows")), "_component").select("_row", "_n", (F.col("_row") == F.col("_first._row")).alias("_stays")), "fates")
     gone = written(fates.where("not _stays").select("_row"), "later-members")
     equal = written(fates.where("_stays and _n > 1").select("_row"), "equal-rows")
+    held.release()
     left = rows.join(_small(gone), "_row", "left_anti")
     if not equal.isEmpty():
         left = left.join(_small(equal), "_row", "left_anti").unionByName(left.join(_small(equal), "_row", "left_semi").dropDuplicates(["_row"]))

@@ -116,3 +116,36 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
     got = sorted(((r.doc_id, r.text) for r in j.one_of_each(docs).collect()), key=repr)
     assert got == sorted([(3, near), (9, clean), (None, b), (5, c), (4, d), (1, e), (2, None), (2, None), (6, ""), (6, "")], key=repr)
     assert j.one_of_each(docs).columns == docs.columns
+
+
+def test_what_is_sent_grows_with_a_cluster_of_near_copies(spark, monkeypatch):
+    """A cluster over many parts: sets are sent a few times each, not once for each part."""
+    monkeypatch.setattr(j, "GROUP", 32)
+    sent, plain_links = [], j._links
+
+    def counted(texts, base, roles, *rest):
+        sent[-1] += roles.count()
+        return plain_links(texts, base, roles, *rest)
+
+    monkeypatch.setattr(j, "_links", counted)
+    base = prose(random.Random(21), 300).split()
+    for n in (160, 640):
+        texts = [" ".join([*base[: k % 290], f"w{k}", *base[k % 290 + 1 :]]) for k in range(n)]
+        sent.append(0)
+        got = j.self_join(documents(spark, texts)).collect()
+        assert {r.component_id for r in got} == {0}
+    assert sent[1] <= 5 * sent[0] and sent[1] <= 4 * 640
+
+
+def test_long_sets_make_parts_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(j, "TOKENS", 500)
+    docs = documents(spark, near_texts(8))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(tuple(r) for r in j.self_join(docs).collect()) == plain(rows, 5, 80)
+
+
+def test_null_and_equal_ids_are_not_multiplied(spark):
+    rows = [(None, prose(random.Random(k), 40)) for k in range(60)] + [(None, prose(random.Random(0), 40) + " zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.component_id is None for r in j.self_join(docs).collect())
+    assert j.one_of_each(docs).count() == 60
