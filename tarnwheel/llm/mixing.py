@@ -4,36 +4,39 @@ Each source gets a target number of words: a share of all words by weight, at mo
 excess reshared by weight. A target is whole copies of the source, which are certain, and a remainder, which is a
 fixed-size sample with unequal inclusion probabilities: a document's rank is q = (u / (1 - u)) / (p / (1 - p)) with u a
 uniform number hashed from its id and p / (1 - p) its inclusion odds (the source's f / (1 - f), times the document's
-own odds), and the smallest ranks are taken. The size that is fixed is that in words: the sample ends where the next
-rank would pass the target; where that leaves more than NEAR of the remainder to take, documents too large for what is
-left are passed over and the ranks go on, again and again until it is less or nothing fits. FILLS documents at most are
-then put in or left out, each the one that brings the sum nearest to the target. op1's DuckDB twin doesn't pass over, so
-op1 doesn't either (`pass_over`).
+own odds), and the smallest ranks are taken. The size that is fixed is that in words: from the least rank up, each
+document is taken that fits in what is left of the remainder.
 
-What comes out is a plan with one row for each source (target, whole copies, the last rank taken), so the documents,
-texts and all, are never shuffled: each row is decided where it is read.
+Where over NEAR of a remainder is left by that, what is left are documents larger than the gap. Then the smallest of
+them is taken too, and from the greatest taken rank down each document is dropped that fits in the excess; this holds if
+it brings the words nearer to the target (which they may then exceed, by less than the gap was).
 
-Defined results: a null text has no words; a null source is a source of its own, last in order; rows that agree in id,
+`_walked` does both without walking: a step takes all documents up to the rank where their sum would pass the gap, then
+goes on behind it with those that fit in the new gap. A step sums by parts of the ranks first, and row by row only in
+the part where the gap ends, so no task has more than a part, and the steps grow with the logarithm of the gap.
+
+What comes out is a plan with one row for each source (target, whole copies, the steps), so the documents, texts and
+all, are never shuffled: each row is decided where it is read.
+
+Defined results: a null text has no words; a very long text counts whole; ids can be of any type; a null source is a source of its own, last in order; rows that agree in id,
 source and number of words share their fate; equal ranks fall back on the hash; a document without words is taken
 with its whole copies at most; an empty table gives no rows; other columns can have any name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnwheel.session import written
+from tarnwheel.session import Held
 
 MAX_COPIES = 3
-FILLS = 4
-#: Share of a remainder that may be left to the fills.
+#: Share of a remainder that may be left without a swap.
 NEAR = 0.01
+#: Documents in a part of the ranks, about.
+PART = 250_000
 SEED = "mix-1"
 #: A list of sources up to this length is broadcast (its rows are under 300 bytes); a longer one is joined by salted keys.
 MOST_BROADCAST, SALTS = 20_000, 64
@@ -84,22 +87,6 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the part's number and the words of a source so far in this part; rows come sorted by source and rank."""
-    part, last, carry = TaskContext.get().partitionId(), None, 0
-    for batch in batches:
-        sid, words = (np.asarray(batch.column(k)) for k in (0, 3))
-        if len(sid):
-            total = np.cumsum(words)
-            first = np.flatnonzero(np.concatenate([[True], sid[1:] != sid[:-1]]))
-            base = np.repeat(total[first] - words[first], np.diff(np.append(first, len(sid))))
-            run = total - base
-            if sid[0] == last:
-                run[: first[1] if len(first) > 1 else len(run)] += carry
-            last, carry = sid[-1], int(run[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(sid), part)), pa.array(run)], ["sid", "q", "key", "words", "part", "run"])
-
-
 def _with_plan(df: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
     """Joins rows to their source's row of the plan; no row of df moves unless the plan is too long to broadcast."""
     same = df["source"].eqNullSafe(plan["source"])
@@ -110,82 +97,103 @@ def _with_plan(df: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
     return dealt.join(salted, (dealt["_salt"] == salted["_salt"]) & dealt["source"].eqNullSafe(salted["source"])).drop(salted["source"]).drop("_salt")
 
 
-def _summed(units: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sid, q, key, words) rows as they are ranked, written; and these with `total`, the words of a source up to each."""
-    parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranked = written(units.repartitionByRange(parts, "sid", "q", "key").sortWithinPartitions("sid", "q", "key").mapInArrow(_running, "sid long, q double, key string, words long, part long, run long"), "mix-ranked")
-    before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranked.groupBy("sid", "part").agg(F.max("run").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return ranked, ranked.join(offsets, ["sid", "part"]).withColumn("total", F.col("before") + F.col("run"))
-
-
-def _passed_over(plan: DataFrame, ranked: DataFrame, small) -> DataFrame:
-    """The plan with its cuts moved on past documents larger than the gap, which go into flips."""
-    while True:
-        open_ = plan.where((F.col("gap") >= 1) & (F.col("gap") > NEAR * F.col("rest"))).select("sid", "cut_q", "cut_key", "gap")
-        beyond = ranked.join(small(open_), "sid").where(~_within(F.col("q"), F.col("key")))
-        _, summed = _summed(beyond.where("words <= gap").select("sid", "q", "key", "words"))
-        step = summed.join(small(open_.select("sid", "gap")), "sid").where("total <= gap").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("to"), F.sum("words").alias("more"))
-        step = written(step, "mix-step")
-        if step.isEmpty():
-            return plan
-        passed = beyond.join(small(step.select("sid", "to")), "sid").where((F.col("words") > F.col("gap")) & (F.struct("q", "key") < F.col("to"))).groupBy("sid").agg(F.collect_list("key").alias("passed"))
-        moved = {"cut_q": F.coalesce("to.q", "cut_q"), "cut_key": F.coalesce("to.key", "cut_key"), "gap": F.col("gap") - F.coalesce("more", F.lit(0)), "flips": F.concat("flips", F.coalesce("passed", F.array().cast("array<string>")))}
-        plan = written(plan.join(step, "sid", "left").join(passed, "sid", "left").withColumns(moved).drop("to", "more", "passed"), "mix-plan")
-
-
-def _plan(sizes: DataFrame, pass_over: bool) -> tuple[DataFrame, int]:
-    """One row for each source: its target, whole copies, last rank taken and the keys that go the other way."""
-    sources = written(targets(sizes), "mix-sources")
+def _by_source(n_sources: int) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Joins rows with `sid` and `key` to a table with one row a source; a long table goes out by salted keys."""
+    if n_sources <= MOST_BROADCAST:
+        return lambda df, table: df.join(F.broadcast(table), "sid")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    return lambda df, table: df.withColumn("_salt", salt).join(table.withColumn("_salt", salts), ["sid", "_salt"]).drop("_salt")
+
+
+def _walked(ranked: DataFrame, gaps: DataFrame, down: bool, join: Callable, held: Held) -> DataFrame:
+    """(sid, gap) to (sid, gap, steps): from the least rank up (or from the greatest down) what fits is taken.
+
+    A step (q, key, most): from the step before to this rank, documents of at most `most` words are taken; q is null in
+    the last step of a source whose documents all fit.
+    """
+    way = F.desc if down else F.asc
+    ends = F.min if down else F.max
+    state = held(gaps.select("sid", "gap", F.lit(None).cast("double").alias("q"), F.lit(None).cast("string").alias("key"), F.array().cast("array<struct<q: double, key: string, most: double>>").alias("steps"), F.lit(True).alias("open")), "mix-walk")
+    while not (now := state.where("open").select("sid", "gap", F.col("q").alias("from_q"), F.col("key").alias("from_key"))).isEmpty():
+        here, start = F.struct("q", "key"), F.struct(F.col("from_q").alias("q"), F.col("from_key").alias("key"))
+        left = join(ranked, now).where("words <= gap").where(F.col("from_q").isNull() | ((here < start) if down else (here > start)))
+        parts = left.groupBy("sid", "part", "gap").agg(F.sum("words").alias("words"), ends(here).alias("end"))
+        along = Window.partitionBy("sid").orderBy(way("part"))
+        parts = held(parts.withColumn("before", F.coalesce(F.sum("words").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("end_before", F.lag("end").over(along)), "mix-parts")
+        crossed = parts.where("before <= gap and before + words > gap").select("sid", "part", "before", "end_before")
+        rows = join(left, crossed.withColumnRenamed("part", "at")).where("part = at")
+        rows = rows.withColumn("run", F.col("before") + F.sum("words").over(Window.partitionBy("sid", "part").orderBy(way("q"), way("key")).rowsBetween(Window.unboundedPreceding, 0)))
+        cut = rows.where("run <= gap").groupBy("sid").agg(ends(here).alias("to"), F.max("run").alias("run"))
+        total = parts.groupBy("sid").agg(F.sum("words").alias("all"))
+        step = total.join(crossed.drop("part"), "sid", "left").join(cut, "sid", "left").withColumn("to", F.coalesce("to", "end_before")).withColumn("got", F.coalesce("run", "before", "all"))
+        moved = {
+            "steps": F.when(F.col("got").isNull(), F.col("steps")).otherwise(F.concat("steps", F.array(F.struct(F.col("to.q").alias("q"), F.col("to.key").alias("key"), F.col("gap").alias("most"))))),
+            "open": F.col("open") & F.col("before").isNotNull(),
+            "gap": F.col("gap") - F.coalesce("got", F.lit(0)),
+            "q": F.coalesce("to.q", "q"),
+            "key": F.coalesce("to.key", "key"),
+        }
+        state = held(state.join(step.select("sid", "to", "got", "before"), "sid", "left").withColumns(moved).select(*state.columns), "mix-walk")
+    return state.select("sid", "gap", "steps")
+
+
+def _fits(steps: str, q: Column, key: Column, words: Column, down: bool = False) -> Column:
+    """Whether a document is taken by the steps: by the first that reaches its rank."""
+    here = F.struct(q.alias("q"), key.alias("key"))
+    there = lambda s: F.struct(s["q"].alias("q"), s["key"].alias("key"))
+    first = F.get(F.filter(steps, lambda s: s["q"].isNull() | ((here >= there(s)) if down else (here <= there(s)))), 0)
+    return F.coalesce(q.isNotNull() & (words <= first["most"]), F.lit(False))
+
+
+def _taken(q: Column, key: Column, words: Column) -> Column:
+    """Whether a document is in the sample of its source's remainder."""
+    own = _fits("steps", q, key, words) & ~_fits("drops", q, key, words, down=True)
+    return own | F.coalesce((q == F.col("extra.q")) & (key == F.col("extra.key")), F.lit(False))
+
+
+def _plan(sizes: DataFrame, held: Held) -> tuple[DataFrame, int]:
+    """One row for each source: its target, whole copies, and which ranks are taken."""
+    sources = held(targets(sizes), "mix-sources")
     n_sources = sources.count()
-    units = sizes.groupBy("source", "_key", "odds").agg(F.sum("size").alias("words")).where("words > 0")
+    units = sizes.groupBy("source", "_key", "odds").agg(F.sum("size").alias("words"), F.max("size").alias("size")).where("words > 0")
     ranked = (
         _with_plan(units, sources.select("sid", "source", "share"), n_sources)
-        .select("sid", _rank(F.col("_key"), F.col("share"), F.col("odds")).alias("q"), F.col("_key").alias("key"), "words")
+        .select("sid", _rank(F.col("_key"), F.col("share"), F.col("odds")).alias("q"), F.col("_key").alias("key"), "words", "size")
         .where("q is not null")
     )
-    ranked, summed = _summed(ranked)
-    rest = sources.select("sid", "rest")
-    small = F.broadcast if n_sources <= MOST_BROADCAST else (lambda x: x)
-    cut = summed.join(small(rest), "sid").where("total <= rest").groupBy("sid").agg(F.max(F.struct("q", "key")).alias("cut"), F.sum("words").alias("got"))
-    plan = sources.join(cut, "sid", "left").select(*sources.columns, F.col("cut.q").alias("cut_q"), F.col("cut.key").alias("cut_key"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("gap"), F.array().cast("array<string>").alias("flips"))
-    if pass_over:
-        plan = _passed_over(written(plan, "mix-plan"), ranked, small)
-    plan = plan.withColumn("filled", F.array().cast("array<string>"))
-    for _ in range(FILLS):
-        plan = written(plan, "mix-plan")
-        left = ranked.join(small(plan.select("sid", "cut_q", "cut_key", "gap", "flips", "filled")), "sid").where(~F.array_contains("filled", F.col("key")))
-        left = left.withColumn("change", F.when(_taken(F.col("q"), F.col("key")), -F.col("words")).otherwise(F.col("words"))).withColumn("miss", F.abs(F.col("gap") - F.col("change")))
-        best = left.where(F.col("miss") < F.abs("gap")).groupBy("sid").agg(F.min(F.struct("miss", "q", "key", "change")).alias("best"))
-        turned = F.array("best.key")
-        flips = F.when(F.col("best").isNull(), F.col("flips")).when(F.array_contains("flips", F.col("best.key")), F.array_except("flips", turned)).otherwise(F.concat("flips", turned))
-        filled = F.when(F.col("best").isNull(), F.col("filled")).otherwise(F.concat("filled", turned))
-        plan = plan.join(best, "sid", "left").withColumns({"flips": flips, "filled": filled, "gap": F.col("gap") - F.coalesce("best.change", F.lit(0))}).drop("best")
-    return written(plan.drop("filled"), "mix-plan"), n_sources
-
-
-def _within(q: Column, key: Column) -> Column:
-    """Whether a document's rank is up to the last one of its source."""
-    return F.coalesce((q < F.col("cut_q")) | ((q == F.col("cut_q")) & (key <= F.col("cut_key"))), F.lit(False))
-
-
-def _taken(q: Column, key: Column) -> Column:
-    """Whether a document is in the sample of its source's remainder."""
-    return _within(q, key) != F.array_contains("flips", key)
-
-
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", odds: Column | None = None, pass_over: bool = True) -> DataFrame:
+    parts = sizes.count() // PART + 1
+    ranked = held(ranked.repartitionByRange(parts, "sid", "q", "key").withColumn("part", F.spark_partition_id()), "mix-ranked")
+    join = _by_source(n_sources)
+    up = held(_walked(ranked, sources.select("sid", F.col("rest").alias("gap")), False, join, held), "mix-up")
+
+    far = sources.select("sid", "rest").join(up, "sid").where((F.col("gap") >= 1) & (F.col("gap") > F.lit(NEAR) * F.col("rest")))
+    there = join(ranked, far).withColumn("taken", _fits("steps", F.col("q"), F.col("key"), F.col("words")))
+    extra = held(there.where("not taken").groupBy("sid", "gap").agg(F.min(F.struct("words", "q", "key")).alias("extra")), "mix-extra")
+    need = extra.select("sid", (F.col("extra.words") - F.col("gap")).alias("gap"))
+    down = _walked(there.where("taken").select(*ranked.columns), need, True, join, held).withColumnsRenamed({"gap": "over", "steps": "drops"})
+    swaps = extra.join(down, "sid").where("over < gap").select("sid", "extra", "drops")
+    plan = held(sources.join(up.select("sid", "steps"), "sid", "left").join(swaps, "sid", "left"), "mix-plan")
+    # a row doesn't know how many rows are the same, so where that decides, the plan says it
+    several = join(ranked.where("words <> size"), plan.select("sid", "steps", "extra", "drops"))
+    odd = several.where(_taken(F.col("q"), F.col("key"), F.col("words")) != _taken(F.col("q"), F.col("key"), F.col("size")))
+    return plan.join(odd.groupBy("sid").agg(F.collect_list("key").alias("odd")), "sid", "left"), n_sources
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", odds: Column | None = None) -> DataFrame:
     """All rows of docs as struct `doc`, with source, size, source_size, target, copies and taken.
 
     odds: the documents' own factor on their inclusion odds, from their size in the column `size`; 1 by default.
-    pass_over: whether ranks go on behind documents that are too large for what is left to take.
     """
-    odds = F.lit(1.0) if odds is None else odds
+    odds, held = F.lit(1.0) if odds is None else odds, Held(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("doc")).withColumns({"source": F.col(f"doc.`{source_col}`"), "size": n_words(F.col(f"doc.`{text_col}`"))})
     rows = rows.withColumns({"_key": _key(F.col(f"doc.`{id_col}`"), F.col("size")), "odds": odds.cast("double")})
-    plan, n_sources = _plan(written(rows.select("source", "size", "_key", "odds"), "mix-sizes"), pass_over)
+    plan, n_sources = _plan(held(rows.select("source", "size", "_key", "odds"), "mix-sizes"), held)
+    plan = held(plan, "mix-plan")
+    held.release(plan)
     out = _with_plan(rows, plan, n_sources)
-    copies = F.col("whole") + _taken(_rank(F.col("_key"), F.col("share"), F.col("odds")), F.col("_key")).cast("long")
+    alone = _taken(_rank(F.col("_key"), F.col("share"), F.col("odds")), F.col("_key"), F.col("size"))
+    copies = F.col("whole") + (alone != F.coalesce(F.array_contains("odd", F.col("_key")), F.lit(False))).cast("long")
     return out.withColumn("copies", copies).select("doc", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -201,10 +209,10 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mixed(docs, odds=short_odds(), pass_over=False).select("doc.doc_id", "size", "source_size", "target", "taken", "copies", "source")
+    return mixed(docs, odds=short_odds()).select("doc.doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-_ORACLE = r"""
+ORACLE_OP1 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
 ), k AS (
@@ -229,23 +237,33 @@ WITH RECURSIVE d AS (
   FROM k JOIN f ON k.source IS NOT DISTINCT FROM f.source GROUP BY f.sid, h, odds HAVING sum(size) > 0
 ), q AS (
   SELECT *, (x / (1 - x)) / ((share / (1 - share)) * odds) AS q FROM u WHERE share > 0 AND share < 1
-), c AS (
-  SELECT *, sum(words) OVER (PARTITION BY sid ORDER BY q, h ROWS UNBOUNDED PRECEDING) <= rest AS fits FROM q
-), g0 AS (
-  SELECT sid, any_value(rest) - coalesce(sum(words) FILTER (fits), 0)::BIGINT AS gap, []::VARCHAR[] AS flips FROM c GROUP BY sid
-), ROUNDSchosen AS (
-  SELECT c.sid, c.h FROM c JOIN gLAST USING (sid) WHERE fits <> list_contains(flips, h)
+), o AS (
+  SELECT sid, h, words, rest, q, row_number() OVER (PARTITION BY sid ORDER BY q, h) AS k FROM q
+), up(sid, k, gap, hit) AS (
+  SELECT DISTINCT sid, 0::BIGINT, rest, false FROM o
+  UNION ALL
+  SELECT o.sid, o.k, CASE WHEN o.words <= up.gap THEN up.gap - o.words ELSE up.gap END, o.words <= up.gap
+  FROM up JOIN o ON o.sid = up.sid AND o.k = up.k + 1
+), e AS (
+  SELECT sid, min(gap) AS gap FROM up GROUP BY sid
+), x AS (
+  SELECT o.sid, e.gap, min(struct_pack(words := o.words, q := o.q, h := o.h)) AS s
+  FROM o JOIN up USING (sid, k) JOIN e ON e.sid = o.sid WHERE NOT hit AND e.gap >= 1 AND e.gap > 0.01::DOUBLE * o.rest GROUP BY ALL
+), y AS (
+  SELECT o.sid, o.h, o.words, row_number() OVER (PARTITION BY o.sid ORDER BY o.k DESC) AS k FROM o JOIN up USING (sid, k) JOIN x ON x.sid = o.sid WHERE hit
+), down(sid, k, gap, h, hit) AS (
+  SELECT sid, 0::BIGINT, s.words - gap, NULL::VARCHAR, false FROM x
+  UNION ALL
+  SELECT y.sid, y.k, CASE WHEN y.words <= down.gap THEN down.gap - y.words ELSE down.gap END, y.h, y.words <= down.gap
+  FROM down JOIN y ON y.sid = down.sid AND y.k = down.k + 1
+), swap AS (
+  SELECT x.sid, s.h AS h FROM x WHERE (SELECT min(gap) FROM down WHERE down.sid = x.sid) < gap
+), chosen AS (
+  SELECT o.sid, o.h FROM o JOIN up USING (sid, k) LEFT JOIN swap ON swap.sid = o.sid
+  WHERE o.h IS NOT DISTINCT FROM swap.h
+    OR hit AND NOT (swap.h IS NOT NULL AND EXISTS (SELECT 1 FROM down WHERE down.sid = o.sid AND down.h = o.h AND down.hit))
 )
 SELECT doc_id, size, source_size, target, size * (whole + (chosen.h IS NOT NULL)::BIGINT) AS taken,
   whole + (chosen.h IS NOT NULL)::BIGINT AS copies, k.source
 FROM k JOIN f ON k.source IS NOT DISTINCT FROM f.source LEFT JOIN chosen ON chosen.sid = f.sid AND chosen.h = k.h
 """
-_ROUND = """b{0} AS (
-  SELECT c.sid, arg_min(struct_pack(h := h, change := change), struct_pack(miss := abs(gap - change), q := q, h := h)) AS best
-  FROM (SELECT *, CASE WHEN fits THEN -words ELSE words END AS change FROM c) c JOIN g{1} USING (sid)
-  WHERE NOT list_contains(flips, h) AND abs(gap - change) < abs(gap) GROUP BY c.sid
-), g{0} AS (
-  SELECT g{1}.sid, gap - coalesce(best.change, 0) AS gap, CASE WHEN best IS NULL THEN flips ELSE list_append(flips, best.h) END AS flips
-  FROM g{1} LEFT JOIN b{0} USING (sid)
-), """
-ORACLE_OP1 = _ORACLE.replace("ROUNDS", "".join(_ROUND.format(k + 1, k) for k in range(FILLS))).replace("gLAST", f"g{FILLS}")
