@@ -331,8 +331,8 @@ def _roots(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> Dat
     others, done = open_.where("not own").select("node", "n", "gid"), None
     while True:
         rooted = lambda df: df.join(_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))  # noqa: E731, B023
-        spread = rooted(able).groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        left = rooted(others).join(spread, "gid").where("low <> high or low <> root")
+        spread = held(rooted(able).groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high")), "spread")
+        left = rooted(others).join(_small(spread), "gid").where("low <> high or low <> root")
         if done is None:
             left = left.groupBy("root", "gid").agg(F.min(F.struct("node", "n")).alias("q")).select("q.node", "q.n", "gid")
         else:
@@ -340,7 +340,7 @@ def _roots(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> Dat
         queries = held(left, "queries")
         if queries.isEmpty():
             break
-        counts = queries.groupBy("gid").agg(_needed_parts().alias("parts"))
+        counts = _small(held(queries.groupBy("gid").agg(_needed_parts().alias("parts")), "open-parts"))
         members = able.join(counts, "gid").select("node", "gid", F.explode(F.sequence(zero, F.col("parts") - 1)).alias("part"), F.lit(0).alias("query"))
         asking = queries.join(counts, "gid").select("node", "gid", _slot(F.col("parts")).alias("part"), F.lit(1).alias("query"))
         found = _links(texts, base, members.union(asking), shingle, percent, held)
