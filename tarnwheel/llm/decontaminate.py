@@ -1,20 +1,23 @@
 """Benchmark decontamination by SimHash windows of item size. DataFrame functions only.
 
-1. Windows. A match shares a shingle with its item, so a document's windows are laid where it does: at the place, and
-   with the number of words, that the item would have if the shared shingle were part of a copy. Every shared shingle
-   of every document lays its window; equal windows are one.
+1. Windows. A window has as many words as an item and begins at any place where the document has a shingle of an item
+   of that size. No better one begins elsewhere: moving a window on to its first shared shingle keeps all its shared
+   shingles. Of these, the windows are taken that have as many shared places as a match needs, which leaves out the
+   chance phrases; which items they are compared with is left to the fingerprints.
 2. Fingerprints. A window's and an item's 64-bit SimHash over their words. The fingerprints are cut into RADIUS + 1
    blocks, and the index holds each item once for each block: two fingerprints at most RADIUS bits apart agree in a
    whole block, so looking up all blocks of a window finds every item of its size within the radius.
-3. Verification. Of those pairs, the ones whose shingles agree to LEAST: the sum of the smaller counts over the sum of
-   the larger counts of each shingle.
+3. Verification. Of those pairs, the ones whose shingles agree to LEAST_PERCENT: the sum of the smaller counts over the
+   sum of the larger counts of each shingle. A window counts for an item whose shingle it begins with.
 
 Words are runs of letters, marks and digits, in lower case; shingles have SHINGLE words, and an item with fewer words
-is one shingle.
+is one shingle. SimHash and similarity take any order of sentences alike, so a copy with its parts moved is a match.
 
-Defined results: a null or empty text or item has no words and matches nothing; repeated rows count once; a null id is
-an id like others; a document's best window for an item is its most similar one, then its first; empty tables give no
-rows; other columns don't matter.
+Documents are known by two 64-bit hashes of id and text.
+
+Defined results: a null or empty text or item has no words and matches nothing; a very long text costs in proportion to
+its words; repeated rows count once; a null id is an id like others, of any type; a document's best window for an item
+is its most similar one, then its first; empty tables give no rows; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -24,13 +27,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwheel.session import written
+from tarnwheel.session import Held, written
 
 SHINGLE = 5
 LEAST_PERCENT = 80
 BITS, RADIUS = 64, 15
-#: Most rows of a table that is broadcast: item shingles (24 bytes each) and windows (40 bytes each).
-MOST_ROWS = 200_000
+#: Most rows of a table that is broadcast: item shingles (24 bytes each) and the like (50 bytes each at most).
+MOST_ROWS = 500_000
 NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
 
 
@@ -54,7 +57,7 @@ def _shingles(hashes: Column, k: int) -> Column:
 
 
 def _row(id_col: Column, text: Column) -> Column:
-    return F.xxhash64(id_col, text)
+    return F.struct(F.xxhash64(id_col, text).alias("a"), F.xxhash64(F.lit(1), text, id_col).alias("b"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -63,10 +66,15 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _fingerprints(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, hashes) to (keys, fingerprint): bit k is set where most of the words' hashes have it."""
-    bit = lambda k: F.sum(2 * F.shiftright("h", k).bitwiseAND(1) - 1).alias(f"b{k}")
-    counted = df.select(*keys, F.explode("hashes").alias("h")).groupBy(*keys).agg(*(bit(k) for k in range(BITS)))
-    return counted.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), (F.when(F.col(f"b{k}") > 0, F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")) for k in range(BITS))).alias("fingerprint"))
+    """(keys, hashes) to (keys, fingerprint): bit k is set where most of the words' hashes have it.
+
+    Bits k and k + 32 are counted in the halves of one number, which holds up to 2**31 words.
+    """
+    both = lambda k: F.sum(F.shiftrightunsigned("h", k).bitwiseAND((1 << 32) + 1)).alias(f"b{k}")
+    counted = df.select(*keys, F.explode("hashes").alias("h")).groupBy(*keys).agg(F.count("*").alias("n"), *(both(k) for k in range(BITS // 2)))
+    halves = [(F.col(f"b{k}").bitwiseAND((1 << 32) - 1), k) for k in range(BITS // 2)] + [(F.shiftrightunsigned(f"b{k}", 32), k + 32) for k in range(BITS // 2)]
+    bits = (F.when(2 * count > F.col("n"), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")) for count, k in halves)
+    return counted.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("fingerprint"))
 
 
 def _blocks(df: DataFrame) -> DataFrame:
@@ -76,54 +84,61 @@ def _blocks(df: DataFrame) -> DataFrame:
     return df.withColumn("_b", F.explode(F.array(*cut))).select(*df.columns, "_b.block", "_b.value")
 
 
-def _counted(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, hashes, k) to (keys, g, c): each shingle's count."""
-    grams = reduce(lambda rest, k: F.when(F.col("k") == k, _shingles(F.col("hashes"), k)).otherwise(rest), range(1, SHINGLE + 1), F.array().cast("array<bigint>"))
-    return df.select(*keys, F.explode(grams).alias("g")).groupBy(*keys, "g").agg(F.count("*").alias("c"))
+def _any_shingles(hashes: Column, k: Column) -> Column:
+    """Shingles of k words, k from 1 to SHINGLE."""
+    return reduce(lambda rest, n: F.when(k == n, _shingles(hashes, n)).otherwise(rest), range(1, SHINGLE + 1), F.array().cast("array<bigint>"))
+
+
+def _least(size: Column, k: Column) -> Column:
+    """Fewest shared shingles of a match with an item of that size."""
+    return F.floor((LEAST_PERCENT * (size - k + 1) + 99) / 100).cast("int")
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """A row for each document and item that it has: row (hash of id and text), id, item, similarity, start."""
+    """A row for each document and item that it has: row (hashes of id and text), id, item, similarity, start."""
+    held = Held(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", _row(F.col("id"), F.col("text")))
-    held = written(
-        items.select(F.col(item_col).alias("item"), _hashes(F.col(item_text)).alias("hashes")).where("size(hashes) > 0").withColumn("size", F.size("hashes")).withColumn("k", F.least("size", F.lit(SHINGLE))).distinct(),
-        "items",
-    )
-    lengths = sorted(r[0] for r in held.select("k").distinct().collect())  # SHINGLE values at most
+    asked = items.select(F.col(item_col).alias("item"), _hashes(F.col(item_text)).alias("hashes")).where("size(hashes) > 0")
+    asked = held(asked.withColumn("size", F.size("hashes")).withColumn("k", F.least("size", F.lit(SHINGLE))).distinct(), "items")
+    lengths = sorted(r[0] for r in asked.select("k").distinct().collect())  # SHINGLE values at most
+    if not lengths:
+        return texts.where("false").select("row", F.col("id").alias(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias(item_col), F.lit(0.0).alias("similarity"), F.lit(0).alias("start"))
 
     laid = []
     for k in lengths:
-        wanted = held.where(F.col("k") == k).select("size", F.posexplode(_shingles(F.col("hashes"), k)).alias("offset", "g")).distinct()
+        wanted = held(asked.where(F.col("k") == k).select("size", F.explode(_shingles(F.col("hashes"), k)).alias("g")).distinct(), "wanted")
         found = texts.select("row", F.posexplode(_shingles(_hashes(F.col("text")), k)).alias("at", "g")).join(_small(wanted), "g")
-        laid.append(found.select("row", "size", F.lit(k).alias("k"), (F.col("at") - F.col("offset")).alias("start")).distinct())
-    if not laid:
-        return texts.where("false").select("row", F.col("id").alias(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias(item_col), F.lit(0.0).alias("similarity"), F.lit(0).alias("start"))
-    windows = written(reduce(DataFrame.union, laid), "windows")
+        hits = found.groupBy("row", "size").agg(F.sort_array(F.collect_set("at")).alias("at"))
+        # a window holds enough places where the one that many hits on is inside it
+        last = lambda at, i: F.get("at", i + _least(F.col("size"), F.lit(k)) - 1) <= at + F.col("size") - k  # noqa: E731, B023
+        laid.append(hits.select("row", "size", F.lit(k).alias("k"), F.filter("at", last).alias("starts")).where("size(starts) > 0"))
+    windows = held(reduce(DataFrame.union, laid).groupBy("row").agg(F.collect_list(F.struct("size", "k", "starts")).alias("laid")), "windows")
+    owned = texts.join(_small(windows), "row").select("row", "id", _hashes(F.col("text")).alias("all"), "laid").dropDuplicates(["row"])
+    owned = held(owned, "window-owners")
 
-    owner = texts.join(_small(windows.select("row").distinct()), "row", "left_semi").select("row", "id", _hashes(F.col("text")).alias("all")).dropDuplicates(["row"])
     own = ["row", "size", "start"]
-    last = F.least(F.col("start") + F.col("size"), F.size("all"))
-    cut = windows.join(owner, "row").select(*own, "k", "id", F.slice("all", F.greatest("start", F.lit(0)) + 1, last - F.greatest("start", F.lit(0))).alias("hashes"))
-    cut = written(cut, "window-words")
-
-    asked = _blocks(_fingerprints(cut, own))
-    index = _blocks(_fingerprints(held, ["item", "size"])).withColumnRenamed("fingerprint", "item_fingerprint")
-    pairs = (
-        asked.join(_small(written(index, "index")), ["size", "block", "value"])
-        .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS)
-        .select(*own, "item")
-        .distinct()
-    )
-    pairs = written(pairs, "pairs")
-    ours = _counted(cut.join(pairs.select(*own).distinct(), own, "left_semi"), own)
-    theirs = _counted(held, ["item", "size"]).withColumnRenamed("c", "d")
-    n_ours = ours.groupBy(*own).agg(F.sum("c").alias("n"))
+    words_in = F.slice("all", F.col("start") + 1, F.col("size"))
+    each = owned.select("row", "all", F.explode("laid").alias("w")).select("row", "all", "w.size", F.explode("w.starts").alias("start"))
+    prints = _blocks(_fingerprints(each.select(*own, words_in.alias("hashes")), own))
+    index = _blocks(_fingerprints(asked, ["item", "size"])).withColumnRenamed("fingerprint", "item_fingerprint")
+    near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS
+    pairs = prints.join(_small(held(index, "index")), ["size", "block", "value"]).where(near).select(*own, "item").distinct()
+
+    grams = asked.select("item", "size", F.explode(_any_shingles(F.col("hashes"), F.col("k"))).alias("g"))
+    theirs = held(grams.groupBy("item", "size", "g").agg(F.count("*").alias("d")), "item-shingles")
     n_theirs = theirs.groupBy("item", "size").agg(F.sum("d").alias("m"))
-    common = pairs.join(ours, own).join(_small(written(theirs, "item-shingles")), ["item", "size", "g"]).groupBy(*own, "item").agg(F.sum(F.least("c", "d")).alias("common"))
-    rated = common.join(n_ours, own).join(_small(n_theirs), ["item", "size"]).withColumn("all", F.col("n") + F.col("m") - F.col("common"))
-    sure = rated.where(100 * F.col("common") >= LEAST_PERCENT * F.col("all")).withColumn("similarity", F.col("common") / F.col("all"))
-    best = sure.groupBy("row", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-    return best.join(cut.select("row", "id").distinct(), "row").select("row", F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"))
+    cut = held(pairs, "pairs").join(owned, "row").select(*own, "item", "id", words_in.alias("hashes"))
+    ours = cut.select(*own, "item", "id", F.posexplode(_any_shingles(F.col("hashes"), F.least("size", F.lit(SHINGLE)))).alias("at", "g"))
+    ours = ours.groupBy(*own, "item", "g").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.first("id").alias("id"))
+    rated = ours.join(_small(theirs), ["item", "size", "g"], "left").groupBy(*own, "item").agg(
+        F.sum(F.when(F.col("d").isNotNull(), F.least("c", "d")).otherwise(0)).alias("common"), F.sum("c").alias("n"), F.max((F.col("at") == 0) & F.col("d").isNotNull()).alias("begins"), F.first("id").alias("id")
+    )
+    rated = rated.where("begins").join(_small(n_theirs), ["item", "size"]).withColumn("union", F.col("n") + F.col("m") - F.col("common"))
+    sure = rated.where(100 * F.col("common") >= LEAST_PERCENT * F.col("union")).withColumn("similarity", F.col("common") / F.col("union"))
+    best = sure.groupBy("row", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"), F.first("id").alias("id"))
+    out = held(best.select("row", F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start")), "matches")
+    held.release(out)
+    return out
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -147,9 +162,9 @@ WITH i AS (
 ), dg AS (
   SELECT doc_id, unnest(range(0, len(w) - 4)) AS pos, w[pos + 1:pos + 5] AS g FROM d
 ), win AS (
-  SELECT DISTINCT doc_id, item_id, size, pos - o AS start FROM dg JOIN ig ON dg.g = ig.g
+  SELECT DISTINCT doc_id, item_id, size, pos AS start FROM dg JOIN ig ON dg.g = ig.g
 ), cut AS (
-  SELECT win.*, w[greatest(start, 0) + 1:start + size] AS l FROM win JOIN d USING (doc_id)
+  SELECT win.*, w[start + 1:start + size] AS l FROM win JOIN d USING (doc_id)
 ), wg AS (
   SELECT doc_id, item_id, start, g, count(*) AS c FROM (SELECT doc_id, item_id, start, unnest(range(0, len(l) - 4)) AS j, l[j + 1:j + 5] AS g FROM cut) GROUP BY ALL
 ), ic AS (

@@ -61,10 +61,65 @@ def test_fingerprints_are_majorities(spark):
     assert got == sum(1 << bit for bit, n in votes.items() if n > 2)
 
 
-def test_no_python_on_the_main_path(spark):
+def test_no_python_on_the_main_path(spark, monkeypatch):
+    """Neither in the result nor in any table that is written on the way."""
+    plans, keep = [], d.Held.__call__
+
+    def noted(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df, name)
+
+    monkeypatch.setattr(d.Held, "__call__", noted)
     docs, asked = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    plan = d.matches(docs, asked)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    plans.append(d.matches(docs, asked)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5
+    for plan in plans:
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def similarity(a, b, k=5):
+    x, y = (Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) for w in (a, b))
+    return sum((x & y).values()) / sum((x | y).values())
+
+
+def test_moved_parts_are_found(spark):
+    """Halves swapped, thirds swapped, and sentences in another order."""
+    rng = random.Random(31)
+    w = prose(rng, 120).split()
+    sentences = [w[k : k + 40] for k in (0, 40, 80)]
+    moved = [w[60:] + w[:60], w[80:] + w[40:80] + w[:40], sentences[1] + sentences[2] + sentences[0], w]
+    assert all(similarity(m, w) >= 0.8 for m in moved)
+    texts = [" ".join(prose(rng, 30).split() + m + prose(rng, 30).split()) for m in moved]
+    found = {r.doc_id: r.similarity for r in d.matches(documents(spark, texts, extra=False), items(spark, [" ".join(w)])).collect()}
+    assert set(found) == {0, 1, 2, 3}
+    for k, m in enumerate(moved):
+        assert found[k] >= similarity(m, w) - 1e-9
+
+
+def test_recall_near_the_threshold(spark):
+    """Near copies whose similarity is just over 0.8: nine of ten at least are within the radius."""
+    rng = random.Random(17)
+    lexicon = [prose(rng, 1) + str(k % 7) for k in range(3000)]
+    asked, texts = [], []
+    while len(texts) < 150:
+        w = [lexicon[min(2999, int(rng.paretovariate(0.6)))] for _ in range(rng.randint(40, 160))]
+        copy = list(w)
+        while (s := similarity(copy, w)) > 0.85:
+            copy[rng.randrange(len(copy))] = rng.choice(lexicon)
+        if s >= 0.8:
+            asked.append(" ".join(w))
+            texts.append(" ".join(rng.choices(lexicon, k=40) + copy + rng.choices(lexicon, k=40)))
+    got = {(r.doc_id, r.item_id) for r in d.matches(documents(spark, texts, extra=False), items(spark, asked)).collect()}
+    recall = sum((k, k) in got for k in range(150)) / 150
+    print(f"recall between 0.80 and 0.85: {recall:.3f}")
+    assert recall >= 0.9
+
+
+def test_repetitive_items_and_texts_stay_small(spark):
+    """One window for each place, whatever the number of times that a phrase is repeated on both sides."""
+    item, text = "spam and eggs " * 60, "spam and eggs " * 3000
+    got = d.matches(documents(spark, [text], extra=False), items(spark, [item, "spam " * 100])).collect()
+    assert {r.item_id for r in got} == {0} and got[0].similarity == 1 and got[0].start == 0
 
 
 def test_empty_tables(spark):
