@@ -14,9 +14,12 @@ is a later copy, and its lines are deleted; what is deleted is judged on the inp
    such a run's length m are an interval of the suffix array, named by the ranks at both ends of the run's first and
    last 2**k lines, 2**k <= m. All of the interval but its first suffix start later copies.
 
+A line of MIN_WORDS words is a run by itself; shorter ones go as parts of longer runs only. So what stays of repeated
+lines is stretches of under MIN_WORDS words in all between lines that are not repeated.
+
 Exact copies of whole texts are one document in all this: the later ones are deleted whole, if they have MIN_WORDS.
 
-Defined results: a null or empty text is one empty line; rows with equal ids and texts share their fate and don't count
+Defined results: a null or empty text is one empty line; a very long text costs in proportion to its repeated lines; rows with equal ids and texts share their fate and don't count
 as copies of each other; null ids come first, and equal ids fall back on a hash of the text; an empty table gives no
 rows; other columns don't matter.
 """
@@ -26,9 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnwheel.session import written
+from tarnwheel.session import Held
 
-MIN_WORDS = 30
+#: Words that a run of lines needs: blank lines, headings and short labels are no run.
+MIN_WORDS = 5
 #: Most rows of a table that is broadcast (100 bytes each or so).
 MOST_ROWS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,52 +63,58 @@ def _runs(lines: DataFrame) -> DataFrame:
     return cut.select("id", "row", "first", F.explode(F.array_distinct(both)).alias("r")).select("id", "row", (F.col("first") + F.col("r.i")).alias("at"), F.col("r.m").alias("m"))
 
 
-def _several(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _row() -> Column:
+    """What a document is known by: two 64-bit hashes of its id and text."""
+    return F.struct(F.xxhash64("id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "id").alias("b"))
+
+
+def _several(df: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """Keys of two different suffixes or more, and the first suffix of each; counted where the rows are."""
     where = F.struct(F.col("id"), F.col("row"), F.col("at"))
-    return written(df.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("_last")).where("first <> _last").drop("_last"), name)
+    return df.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("_last"), *more).where("first <> _last").drop("_last")
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(row, gone: places of the lines to delete) for rows by hash of id and text; (md, owner) of texts with copies."""
-    spark = docs.sparkSession
+    """(row, gone: places of the lines to delete) for rows by hashes of id and text; (md, owner) of texts with copies."""
+    spark, held = docs.sparkSession, Held(docs.sparkSession)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.withColumns({"md": F.md5("text"), "row": F.xxhash64("id", "text")})
+    texts = texts.withColumns({"md": F.md5("text"), "row": _row()})
     owners = texts.groupBy("md").agg(F.min(F.struct(F.col("id").isNotNull().alias("some"), "id")).alias("owner"), F.max(F.struct(F.col("id").isNotNull().alias("some"), "id")).alias("_last"))
-    owners = written(owners.where("owner <> _last").select("md", F.col("owner.id").alias("owner")), "line-owners")
+    owners = held(owners.where("owner <> _last").select("md", F.col("owner.id").alias("owner")), "line-owners")
     later = F.col("owner_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     once = texts.join(_small(owners.withColumnRenamed("md", "owner_md")), F.col("md") == F.col("owner_md"), "left").where(~later)
 
     every = once.select("id", "row", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("id", "row", "at", F.xxhash64("line").alias("h"), F.regexp_count("line", F.lit(WORD)).cast("long").alias("w"))
-    twice = _several(every, ["h"], "repeated-lines").select("h")
-    lines = written(every.join(_small(twice), "h", "left_semi").distinct(), "lines")
-    runs = written(_runs(lines), "runs")
+    twice = held(_several(every, ["h"]).select("h"), "repeated-lines")
+    lines = held(every.join(_small(twice), "h", "left_semi").distinct(), "lines")
+    runs = held(_runs(lines), "runs")
     longest = runs.agg(F.max("m")).first()[0] or 0
 
-    ranked = {0: written(lines.join(_small(runs.select("row").distinct()), "row", "left_semi").select("id", "row", "at", F.col("h").alias("rank")), "ranks")}
+    ranked = {0: held(lines.join(_small(runs.select("row").distinct()), "row", "left_semi").select("id", "row", "at", F.col("h").alias("rank")), "ranks")}
     level = 0
     while 2 << level <= longest:
         now = ranked[level]
         then = now.select("row", (F.col("at") - (1 << level)).alias("at"), F.col("rank").alias("next"))
         order = ("rank", "next", "id", "row", "at")
-        array = written(now.join(then, ["row", "at"]).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "suffixes")
-        equal = _several(array, ["rank", "next"], "equal-suffixes").select("rank", "next")
-        first = array.join(_small(equal), ["rank", "next"], "left_semi").groupBy("rank", "next").agg(F.min("place").alias("place"))
+        array = held(now.join(then, ["row", "at"]).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "suffixes")
+        first = held(_several(array, ["rank", "next"], F.min("place").alias("first_place")).drop("first"), "first-places")
         level += 1
-        ranked[level] = written(array.drop("place").join(_small(written(first, "first-places")), ["rank", "next"]).select("id", "row", "at", F.col("place").alias("rank")), "ranks")
+        ranked[level] = held(array.drop("place").join(_small(first), ["rank", "next"]).select("id", "row", "at", F.col("first_place").alias("rank")), "ranks")
 
     found = None
     for k, ranks in ranked.items():
         some = runs.where((F.col("m") >= 1 << k) & (F.col("m") < 2 << k))
         head = some.join(ranks.select("row", "at", F.col("rank").alias("head")), ["row", "at"])
         ends = ranks.select("row", F.col("at").alias("_at"), F.col("rank").alias("tail"))
-        named = written(head.withColumn("_at", F.col("at") + F.col("m") - (1 << k)).join(ends, ["row", "_at"]).drop("_at"), "intervals")
-        firsts = _several(named, ["m", "head", "tail"], "interval-firsts")
+        named = held(head.withColumn("_at", F.col("at") + F.col("m") - (1 << k)).join(ends, ["row", "_at"]).drop("_at"), "intervals")
+        firsts = held(_several(named, ["m", "head", "tail"]), "interval-firsts")
         copies = named.join(_small(firsts), ["m", "head", "tail"]).where(F.struct("id", "row", "at") > F.col("first")).select("row", "at", "m")
         found = copies if found is None else found.union(copies)
     gone = found.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.col("m") - 1))))).alias("gone"))
-    return written(gone, "gone-lines"), owners
+    gone = held(gone, "gone-lines")
+    held.release(gone, owners)
+    return gone, owners
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,7 +122,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     gone, owners = repeated(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     owners = owners.withColumnRenamed("md", "owner_md")
-    rows = texts.join(_small(owners), F.md5("text") == F.col("owner_md"), "left").join(_small(gone.withColumnRenamed("row", "_row")), F.xxhash64("id", "text") == F.col("_row"), "left")
+    rows = texts.join(_small(owners), F.md5("text") == F.col("owner_md"), "left").join(_small(gone.withColumnRenamed("row", "_row")), _row() == F.col("_row"), "left")
     lines = F.split("text", "\n")
     later = F.col("owner_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner")) & (F.regexp_count("text", F.lit(WORD)) >= MIN_WORDS)
     all_places = F.sequence(F.lit(0), F.size(lines) - 1)
@@ -142,9 +152,9 @@ WITH d AS (
 ), c AS (
   SELECT doc_id, k, w, sum(w) OVER (PARTITION BY doc_id ORDER BY k)::BIGINT AS aft FROM p
 ), f AS (
-  SELECT a.doc_id, a.k AS i, min(b.k) AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.aft - (a.aft - a.w) >= 30 GROUP BY ALL
+  SELECT a.doc_id, a.k AS i, min(b.k) AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.aft - (a.aft - a.w) >= 5 GROUP BY ALL
 ), b AS (
-  SELECT a.doc_id, max(b.k) AS i, a.k AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k <= a.k AND a.aft - (b.aft - b.w) >= 30 GROUP BY ALL
+  SELECT a.doc_id, max(b.k) AS i, a.k AS j FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.k <= a.k AND a.aft - (b.aft - b.w) >= 5 GROUP BY ALL
 ), r AS (
   SELECT doc_id, i, j FROM f UNION SELECT doc_id, i, j FROM b
 ), n AS (
