@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 #: Elements that don't end a block.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mfenced mstyle mpadded mphantom semantics".split()
 )
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template svg iframe object title math canvas audio video head".split())
+#: Controls of forms, in a form or not: what stands in them is no text of the page.
+CONTROLS = frozenset("button select datalist option optgroup meter progress output".split())
 #: Elements that an element of the same kind ends, within the nearest of the second.
 ENDS_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+#: Elements that end each other.
+SAME_KIND = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 _TOKEN = re.compile(
     r"<!--(?:(?!-->).)*+(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|title|math|canvas|audio|video)(?=[\s/>])[^>]*+>(?:(?!</(?P=raw)(?=[\s/>])).)*+(?:</(?P=raw)[^>]*+>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title|textarea|canvas|audio|video)(?=[\s/>])[^>]*+>(?:(?!</(?P=raw)(?=[\s/>])).)*+(?:</(?P=raw)[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)"
     r"|<[a-z][^>]*+\Z",
@@ -29,14 +32,33 @@ _PART = re.compile(r"[a-z]+|\d+", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-class Element(NamedTuple):
-    tag: str
-    marks: tuple[str, ...]
+class Element:
+    """An open element, with what is known of all elements around its content.
+
+    Inline elements without marks share the `around` of the element outside of them, so it grows with what the elements
+    say and not with their number.
+    """
+
+    __slots__ = ("around", "tag")
+
+    def __init__(self, tag: str, around: Around):
+        self.tag, self.around = tag, around
+
+
+class Around:
+    """The elements around a block: their distinct tags and marks, the last three that have any kind, and their number."""
+
+    __slots__ = ("control", "depth", "outer", "said", "tag")
+
+    def __init__(self, tag: str, said: tuple[str, ...], outer: Around | None):
+        self.tag, self.outer, self.said = tag, outer, said
+        self.depth = (outer.depth if outer else 0) + (tag not in ("html", "body", ""))
+        self.control = tag in CONTROLS or bool(outer and outer.control)
 
 
 class Leaf(NamedTuple):
     text: str
-    path: tuple[Element, ...]
+    around: Around
     linked: int
 
 
@@ -54,32 +76,41 @@ def marks(rest: str) -> tuple[str, ...]:
 
 
 def leaves(page: str) -> list[Leaf]:
-    """All blocks with text, in page order."""
+    """All blocks with text, in page order; the cost grows with the page's length, however deep it is nested."""
     out: list[Leaf] = []
+    root = Around("", (), None)
     stack: list[Element] = []
+    open_ = Counter()  # of each tag
     parts: list[str] = []
     linked = at = 0
-    in_link = 0
+
+    def around() -> Around:
+        return stack[-1].around if stack else root
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
-            if text:
-                out.append(Leaf(text, tuple(e for e in stack if e.tag not in INLINE or e.marks), min(linked, len(text))))
+            here = around()
+            if text and not here.control:
+                out.append(Leaf(text, here, min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal in_link
-        in_link -= sum(e.tag == "a" for e in stack[to:])
+        for e in stack[to:]:
+            open_[e.tag] -= 1
         del stack[to:]
 
+    def last(tag: str) -> int:
+        """Where the innermost open element of a tag is; it is open, and what lies above it is about to go."""
+        return next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag)
+
     def add(piece: str) -> None:
         nonlocal linked
         piece = html.unescape(piece) if "&" in piece else piece
         parts.append(piece)
-        if in_link:
+        if open_["a"]:
             linked += len(piece.strip())
 
     for token in _TOKEN.finditer(page):
@@ -97,35 +128,38 @@ def leaves(page: str) -> list[Leaf]:
         if not inline:
             close()
         if token["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    pop(k)
-                    break
-                if inline and stack[k].tag not in INLINE:
-                    break
+            if open_[tag]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag == tag:
+                        pop(k)
+                        break
+                    if inline and stack[k].tag not in INLINE:
+                        break
             continue
         if tag in VOID:
             continue
         if not inline:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == "p":
-                    pop(k)
-                    break
-                if stack[k].tag not in INLINE:
-                    break
-            if tag in ENDS_ITSELF:
+            if open_["p"]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag == "p":
+                        pop(k)
+                        break
+                    if stack[k].tag not in INLINE:
+                        break
+            if tag in ENDS_ITSELF and any(open_[t] for t in SAME_KIND.get(tag, (tag,))):
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k].tag in ENDS_ITSELF[tag]:
                         break
-                    if stack[k].tag == tag or {stack[k].tag, tag} == {"dt", "dd"} or {stack[k].tag, tag} == {"td", "th"}:
+                    if stack[k].tag in SAME_KIND.get(tag, (tag,)):
                         pop(k)
                         break
-        elif tag == "a" and in_link:
-            pop(max(k for k, e in enumerate(stack) if e.tag == "a"))
+        elif tag == "a" and open_["a"]:
+            pop(last("a"))
         rest = token["rest"]
-        if not rest.rstrip().endswith("/") or inline or tag not in VOID:
-            stack.append(Element(tag, marks(rest) if rest.strip() else ()))
-            in_link += tag == "a"
+        said = marks(rest) if rest.strip() else ()
+        outer = around()
+        stack.append(Element(tag, outer if inline and not said else Around(tag, said, outer)))
+        open_[tag] += 1
     if at < len(page):
         add(page[at:])
     close()

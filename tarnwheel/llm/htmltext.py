@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarnwheel.llm.htmlblocks import Element, Leaf, leaves
+from tarnwheel.llm.htmlblocks import Around, Leaf, leaves
 
 #: Pages that `examples` builds.
 EXAMPLES = 700
@@ -184,24 +184,60 @@ def _stem(mark: str) -> str:
     return max(found, key=len) if found else ""
 
 
-def around(path: tuple[Element, ...]) -> list[str]:
-    """Features of the elements around a block."""
-    inner = [e for e in path if e.tag not in ("html", "body")]
-    out = {f"in:{e.tag}" for e in inner}
-    kinds: list[str] = []
-    for e in inner:
-        for m in e.marks:
-            if m == "hidden":
-                out.add("hidden")
-            elif stem := _stem(m):
-                out |= {f"mark:{stem}", f"kind:{_KNOWN[stem]}"}
-                kinds.append(_KNOWN[stem])
-        if e.tag in ("nav", "header", "footer", "aside", "form", "article", "main", "ins", "dialog"):
-            kinds.append(e.tag)
-    out |= {f"own:{inner[-1].tag}" if inner else "own:body", f"near:{kinds[-1] if kinds else 'none'}", f"depth:{min(len(inner), 6)}"}
-    if len(kinds) > 1:
-        out.add(f"near2:{kinds[-2]}>{kinds[-1]}")
-    return sorted(out)
+#: Elements that say by their tag what kind of part they are.
+_KINDS = frozenset("nav header footer aside form article main ins dialog".split())
+
+
+class Context:
+    """The features of the elements around a block: those that all of them give, and the last kinds of part."""
+
+    __slots__ = ("depth", "features", "kinds", "tag")
+
+    def __init__(self, features: frozenset[str], kinds: tuple[str, ...], tag: str, depth: int):
+        self.features, self.kinds, self.tag, self.depth = features, kinds, tag, depth
+
+    def key(self) -> tuple:
+        return self.features, self.kinds, self.tag, self.depth
+
+    def names(self) -> list[str]:
+        """All features, in order."""
+        near = self.kinds[-1] if self.kinds else "none"
+        out = self.features | {f"own:{self.tag or 'body'}", f"near:{near}", f"depth:{self.depth}"}
+        return sorted(out | {f"near2:{self.kinds[-2]}>{near}"} if len(self.kinds) > 1 else out)
+
+
+def contexts(known: frozenset[str] | None = None):
+    """A function from the elements around a block to their context. Each element is looked at once.
+
+    known: features that count; others are left out, so that sets stay as small as the field's own.
+    """
+    seen: dict[Around, Context] = {}
+
+    def of(around: Around) -> Context:
+        todo = []
+        while around is not None and around not in seen:
+            todo.append(around)
+            around = around.outer
+        context = seen[around] if around is not None else Context(frozenset(), (), "", 0)
+        for each in reversed(todo):
+            if each.tag not in ("", "html", "body"):
+                own, kinds = {f"in:{each.tag}"}, []
+                for m in each.said:
+                    if m == "hidden":
+                        own.add("hidden")
+                    elif stem := _stem(m):
+                        own |= {f"mark:{stem}", f"kind:{_KNOWN[stem]}"}
+                        kinds.append(_KNOWN[stem])
+                if each.tag in _KINDS:
+                    kinds.append(each.tag)
+                if known is not None:
+                    own &= known
+                features = context.features if own <= context.features else context.features | own
+                context = Context(features, (*context.kinds, *kinds)[-2:], each.tag, min(each.depth, 6))
+            seen[each] = context
+        return context
+
+    return of
 
 
 def within(leaf: Leaf) -> list[str]:
@@ -216,26 +252,31 @@ class Field:
 
     def __init__(self, weights: dict[str, np.ndarray], moves: np.ndarray, first: np.ndarray, last: np.ndarray):
         self.weights, self.moves, self.first, self.last = weights, moves, first, last
-        self._paths: dict[tuple, float] = {}
-
-    def gain(self, leaf: Leaf) -> float:
-        """How much the features speak for text rather than boilerplate."""
-        known = self._paths.get(leaf.path)
-        if known is None:
-            if len(self._paths) > 50_000:
-                self._paths.clear()
-            known = self._paths[leaf.path] = sum(self.weights.get(f, 0.0) for f in around(leaf.path))
-        return known + sum(self.weights.get(f, 0.0) for f in within(leaf))
+        self._known = frozenset(weights)
+        self._gains: dict[tuple, float] = {}
+
+    def gains(self, blocks: list[Leaf]) -> list[float]:
+        """How much the features of each block of a page speak for text rather than boilerplate."""
+        of, out = contexts(self._known), []
+        for leaf in blocks:
+            context = of(leaf.around)
+            known = self._gains.get(context.key())
+            if known is None:
+                if len(self._gains) > 50_000:
+                    self._gains.clear()
+                known = self._gains[context.key()] = sum(self.weights.get(f, 0.0) for f in context.names())
+            out.append(known + sum(self.weights.get(f, 0.0) for f in within(leaf)))
+        return out
 
     def decode(self, blocks: list[Leaf]) -> list[bool]:
         """Viterbi's best states."""
         if not blocks:
             return []
         (m00, m01), (m10, m11) = self.moves.tolist()
-        a, b = float(self.first[0]), float(self.first[1]) + self.gain(blocks[0])
+        gains = self.gains(blocks)
+        a, b = float(self.first[0]), float(self.first[1]) + gains[0]
         back: list[tuple[bool, bool]] = []
-        for leaf in blocks[1:]:
-            g = self.gain(leaf)
+        for g in gains[1:]:
             to_a, to_b = b + m10 > a + m00, b + m11 > a + m01
             back.append((to_a, to_b))
             a, b = (b + m10 if to_a else a + m00), (b + m11 if to_b else a + m01) + g
@@ -260,7 +301,10 @@ def labels(blocks: list[Leaf], text: str) -> list[bool]:
 def fit(pairs: list[tuple[str, str]], steps: int = 250, penalty: float = 0.02) -> Field:
     """Maximises the conditional likelihood of the labels, less a quadratic penalty, by Adam's method over all pages."""
     pages = [(found, labels(found, text)) for page, text in pairs if (found := leaves(page))]
-    rows = [[around(leaf.path) + within(leaf) for leaf in found] for found, _ in pages]
+    rows = []
+    for found, _ in pages:
+        of = contexts()
+        rows.append([of(leaf.around).names() + within(leaf) for leaf in found])
     names = {f: k for k, f in enumerate(sorted({f for page in rows for block in page for f in block}))}
     longest = max(len(page) for page in rows)
     n = len(pages)
