@@ -2,13 +2,15 @@
 
 1. Windows. A window has as many words as an item and begins at any place where the document has a shingle of an item
    of that size. No better one begins elsewhere: moving a window on to its first shared shingle keeps all its shared
-   shingles. Of these, the windows are taken that have as many shared places as a match needs, which leaves out the
+   shingles. A document may also begin inside of an item: then its first words are a shorter window, up to any place
+   where such a shingle ends (its start is negative: where the item would begin). Of all these, the windows are taken that have as many shared places as a match needs, which leaves out the
    chance phrases; which items they are compared with is left to the fingerprints.
 2. Fingerprints. A window's and an item's 64-bit SimHash over their words. The fingerprints are cut into RADIUS + 1
    blocks, and the index holds each item once for each block: two fingerprints at most RADIUS bits apart agree in a
    whole block, so looking up all blocks of a window finds every item of its size within the radius.
 3. Verification. Of those pairs, the ones whose shingles agree to LEAST_PERCENT: the sum of the smaller counts over the
-   sum of the larger counts of each shingle. A window counts for an item whose shingle it begins with.
+   sum of the larger counts of each shingle. A window counts for an item whose shingle it begins with, or ends with
+   where its start is negative.
 
 Words are runs of letters, marks and digits, in lower case; shingles have SHINGLE words, and an item with fewer words
 is one shingle. SimHash and similarity take any order of sentences alike, so a copy with its parts moved is a match.
@@ -110,14 +112,17 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         found = texts.select("row", F.posexplode(_shingles(_hashes(F.col("text")), k)).alias("at", "g")).join(_small(wanted), "g")
         hits = found.groupBy("row", "size").agg(F.sort_array(F.collect_set("at")).alias("at"))
         # a window holds enough places where the one that many hits on is inside it
-        last = lambda at, i: F.get("at", i + _least(F.col("size"), F.lit(k)) - 1) <= at + F.col("size") - k  # noqa: E731, B023
-        laid.append(hits.select("row", "size", F.lit(k).alias("k"), F.filter("at", last).alias("starts")).where("size(starts) > 0"))
+        least = _least(F.col("size"), F.lit(k))
+        begins = F.filter("at", lambda at, i: F.get("at", i + least - 1) <= at + F.col("size") - k)  # noqa: B023
+        ends = F.filter("at", lambda at, i: (at + k < F.col("size")) & (i + 1 >= least))  # noqa: B023
+        starts = F.concat(begins, F.transform(ends, lambda at: at + k - F.col("size")))  # noqa: B023
+        laid.append(hits.select("row", "size", F.lit(k).alias("k"), starts.alias("starts")).where("size(starts) > 0"))
     windows = held(reduce(DataFrame.union, laid).groupBy("row").agg(F.collect_list(F.struct("size", "k", "starts")).alias("laid")), "windows")
     owned = texts.join(_small(windows), "row").select("row", "id", _hashes(F.col("text")).alias("all"), "laid").dropDuplicates(["row"])
     owned = held(owned, "window-owners")
 
     own = ["row", "size", "start"]
-    words_in = F.slice("all", F.col("start") + 1, F.col("size"))
+    words_in = F.slice("all", F.greatest("start", F.lit(0)) + 1, F.col("size") + F.least("start", F.lit(0)))
     each = owned.select("row", "all", F.explode("laid").alias("w")).select("row", "all", "w.size", F.explode("w.starts").alias("start"))
     prints = _blocks(_fingerprints(each.select(*own, words_in.alias("hashes")), own))
     index = _blocks(_fingerprints(asked, ["item", "size"])).withColumnRenamed("fingerprint", "item_fingerprint")
@@ -129,11 +134,12 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     n_theirs = theirs.groupBy("item", "size").agg(F.sum("d").alias("m"))
     cut = held(pairs, "pairs").join(owned, "row").select(*own, "item", "id", words_in.alias("hashes"))
     ours = cut.select(*own, "item", "id", F.posexplode(_any_shingles(F.col("hashes"), F.least("size", F.lit(SHINGLE)))).alias("at", "g"))
-    ours = ours.groupBy(*own, "item", "g").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.first("id").alias("id"))
+    ours = ours.groupBy(*own, "item", "g").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.max("at").alias("last"), F.first("id").alias("id"))
+    edge = F.when(F.col("start") < 0, F.col("last") == F.col("start") + F.col("size") - F.least("size", F.lit(SHINGLE))).otherwise(F.col("at") == 0)
     rated = ours.join(_small(theirs), ["item", "size", "g"], "left").groupBy(*own, "item").agg(
-        F.sum(F.when(F.col("d").isNotNull(), F.least("c", "d")).otherwise(0)).alias("common"), F.sum("c").alias("n"), F.max((F.col("at") == 0) & F.col("d").isNotNull()).alias("begins"), F.first("id").alias("id")
+        F.sum(F.when(F.col("d").isNotNull(), F.least("c", "d")).otherwise(0)).alias("common"), F.sum("c").alias("n"), F.max(edge & F.col("d").isNotNull()).alias("edge"), F.first("id").alias("id")
     )
-    rated = rated.where("begins").join(_small(n_theirs), ["item", "size"]).withColumn("union", F.col("n") + F.col("m") - F.col("common"))
+    rated = rated.where("edge").join(_small(n_theirs), ["item", "size"]).withColumn("union", F.col("n") + F.col("m") - F.col("common"))
     sure = rated.where(100 * F.col("common") >= LEAST_PERCENT * F.col("union")).withColumn("similarity", F.col("common") / F.col("union"))
     best = sure.groupBy("row", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"), F.first("id").alias("id"))
     out = held(best.select("row", F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start")), "matches")
@@ -162,9 +168,9 @@ WITH i AS (
 ), dg AS (
   SELECT doc_id, unnest(range(0, len(w) - 4)) AS pos, w[pos + 1:pos + 5] AS g FROM d
 ), win AS (
-  SELECT DISTINCT doc_id, item_id, size, pos AS start FROM dg JOIN ig ON dg.g = ig.g
+  SELECT DISTINCT doc_id, item_id, size, unnest(CASE WHEN pos + 5 < size THEN [pos, pos + 5 - size] ELSE [pos] END) AS start FROM dg JOIN ig ON dg.g = ig.g
 ), cut AS (
-  SELECT win.*, w[start + 1:start + size] AS l FROM win JOIN d USING (doc_id)
+  SELECT win.*, w[greatest(start, 0) + 1:start + size] AS l FROM win JOIN d USING (doc_id)
 ), wg AS (
   SELECT doc_id, item_id, start, g, count(*) AS c FROM (SELECT doc_id, item_id, start, unnest(range(0, len(l) - 4)) AS j, l[j + 1:j + 5] AS g FROM cut) GROUP BY ALL
 ), ic AS (

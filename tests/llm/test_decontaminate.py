@@ -96,6 +96,15 @@ def test_moved_parts_are_found(spark):
         assert found[k] >= similarity(m, w) - 1e-9
 
 
+def test_documents_that_begin_or_end_inside_an_item(spark):
+    rng = random.Random(41)
+    w = prose(rng, 100).split()
+    texts = [" ".join(w[12:] + prose(rng, 50).split()), " ".join(prose(rng, 50).split() + w[:88]), " ".join(w[8:92])]
+    found = {r.doc_id: (round(r.similarity, 6), r.start) for r in d.matches(documents(spark, texts, extra=False), items(spark, [" ".join(w)])).collect()}
+    assert found[2][0] == round(80 / 96, 6)
+    assert set(found) == {0, 1, 2} and found[0] == (round(84 / 96, 6), -12) and found[1] == (round(84 / 96, 6), 50)
+
+
 def test_recall_near_the_threshold(spark):
     """Near copies whose similarity is just over 0.8: nine of ten at least are within the radius."""
     rng = random.Random(17)
