@@ -1,11 +1,13 @@
 """Quality rules: counts with fixed limits, then a calibrated logistic regression over hashed n-grams.
 
 The model sees each text as relative frequencies of hashed words, word pairs and character n-grams. It is fitted on a
-bounded sample of labelled rows (SAMPLE, by a hash of the id), calibrated by Platt's method on the part of that sample
-that the fit has not seen, and scores whole texts in Arrow batches against a fixed threshold.
+bounded sample of labelled rows, calibrated by Platt's method on the part of that sample that the fit has not seen, and
+scores whole texts in Arrow batches against a fixed threshold. The sample has SAMPLE different labelled texts at most,
+by a hash of their ids, and of those, in that order, the ones that fit into SAMPLE_BYTES bytes of text. A text gives
+some ten bytes of features a byte at most, so the driver holds ten times SAMPLE_BYTES at most for the fit.
 
-Defined results: a null text counts as empty (no words, base_failed); rows with null or repeated ids are scored as any
-other row; labels without a document or with a null label are left out of the sample; with no labelled rows, or with
+Defined results: a null text counts as empty (no words, base_failed); a very long text is scored whole, in one piece;
+rows with null or repeated ids are scored as any other row, and repeated rows count once in the sample; labels without a document or with a null label are left out of the sample; with no labelled rows, or with
 one class only, there is no model and every row that passes the base rules is kept; an empty table gives no rows; only
 the id and text columns are read, so other columns can have any name.
 """
@@ -26,8 +28,8 @@ from pyspark.sql import types as T
 
 from tarnwheel.llm.textarrays import WHITE, Block, blocks, grams, owners, repeats, sums_by
 
-#: Most labelled rows that the model is fitted on.
-SAMPLE = 3000
+#: Most labelled rows that the model is fitted on, and most bytes of their texts.
+SAMPLE, SAMPLE_BYTES = 3000, 24 << 20
 #: Share of the sample held back from the fit, for calibration.
 HELD = 0.3
 #: A text is kept from this calibrated probability on.
@@ -122,17 +124,30 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("by"), pa.array([b for b, _ in out], pa.binary()), pa.array([v for _, v in out], pa.binary())], ["label", "by", "buckets", "shares"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """Fits and calibrates on at most `sample` labelled rows; None where labels or classes are wanting."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """Fits and calibrates on at most `sample` labelled rows of `most_bytes` bytes in all; None where labels or classes are wanting."""
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
         .where("id is not null and label is not null")
+        .distinct()
         .withColumn("by", F.xxhash64(F.lit(7), "id"))
         .orderBy("by", "id", "label")
-        .limit(sample)  # the bound of the sample, and so of what is broadcast
+        .limit(sample)  # the bound of what is broadcast
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("label", "by", "text")
+    rows = texts.join(F.broadcast(chosen), "id").withColumn("hash", F.xxhash64("text"))
+    # an id can have any number of rows: without their texts, `sample` of them come to the driver
+    own = ["by", "id", "label", "hash"]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    found, left = [], most_bytes
+    for r in rows.select(*own, size).distinct().orderBy(*own).limit(sample).collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            found.append((r["by"], r["id"], r["label"], r["hash"]))
+    if not found:
+        return None
+    kept = docs.sparkSession.createDataFrame(found, rows.select(*own).schema)
+    rows = rows.join(F.broadcast(kept), own).dropDuplicates(own).select("label", "by", "text")
     model = train(rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary").toArrow())
     _released()
     return model
