@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnwheel.session import written
+#: Rows of a block of asked vectors; a block is broadcast.
+BLOCK = 1000
 
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
@@ -22,13 +23,22 @@ def salted_join(large: DataFrame, other: DataFrame, on: list[str], how: str = "i
     return dealt.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
-def two_step_sum(df: DataFrame, by: list[str], values: list[str], salts: int = 16) -> DataFrame:
-    """Sums by hot keys: by key and salt first, then by key."""
-    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    first = dealt.groupBy(*by, "_salt").agg(*(F.sum(v).alias(v) for v in values))
-    return first.groupBy(*by).agg(*(F.sum(v).alias(v) for v in values))
+def two_step_distinct(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Distinct values of each key, as `n`: distinct pairs first, dealt by both, so that a hot key is no single task's."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.lit(1).alias("_one")).groupBy(*by).agg(F.count("*").alias("n"))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: its lineage ends there."""
-    return written(df, name)
+def nearest(asked: DataFrame, rows: DataFrame, id_col: str, similarity: Column, k: int) -> DataFrame:
+    """(asked, id, similarity): for each asked row its k most similar others; ties by id.
+
+    similarity: of asked's columns, which come as asked_<name>, and rows' own. The asked rows go out in blocks of BLOCK,
+    each broadcast and met with all rows where these are; only k rows of an asked one leave a task.
+    """
+    blocks = -(-asked.count() // BLOCK)
+    out = None
+    for b in range(max(1, blocks)):
+        some = asked.where(F.pmod(F.xxhash64(id_col), F.lit(max(1, blocks))) == b).select(*(F.col(c).alias(f"asked_{c}") for c in asked.columns))
+        met = rows.crossJoin(F.broadcast(some)).where(F.col(id_col) != F.col(f"asked_{id_col}")).select(F.col(f"asked_{id_col}").alias("asked"), id_col, similarity.alias("similarity"))
+        found = top_k(met, ["asked"], [F.desc("similarity"), F.asc(id_col)], k)
+        out = found if out is None else out.union(found)
+    return out

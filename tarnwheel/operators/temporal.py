@@ -21,16 +21,24 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], time: str, take:
     return carried.select("_row.*", *(F.col(f"_found.{c}").alias(prefix + c) for c in take))
 
 
+#: A range touches so many buckets of its level at most, and one more.
+FAN = 16
+
+
 def range_join(points: DataFrame, ranges: DataFrame, point: Column, start: Column, stop: Column, width: float) -> DataFrame:
-    """Pairs with start <= point <= stop, by buckets of `width` instead of a nested loop.
+    """Pairs with start <= point <= stop, by buckets instead of a nested loop.
 
-    A range goes to every bucket that it touches, so width should be about a range's usual length; a point goes to one.
-    A null or reversed range meets nothing.
+    A range goes to the buckets that it touches at a level of its own, where buckets are `width` * FAN**level wide, so
+    that they are FAN + 1 at most; a point goes to one bucket of each level that any range has. Width should be about a
+    range's usual length. A null or reversed range meets nothing.
     """
-    bucket = lambda x: F.floor(x / F.lit(width)).cast("long")
-    a = points.withColumn("_bucket", bucket(point))
-    b = ranges.where(start <= stop).withColumn("_bucket", F.explode(F.sequence(bucket(start), bucket(stop))))
-    return a.join(b, "_bucket").where((point >= start) & (point <= stop)).drop("_bucket")
+    level = F.greatest(F.lit(0), F.ceil(F.log(float(FAN), F.greatest((stop - start) / F.lit(width * FAN), F.lit(1.0))))).cast("int")
+    bucket = lambda x, at: F.floor(x / (F.lit(width) * F.pow(F.lit(float(FAN)), at))).cast("long")
+    b = ranges.where(start <= stop).withColumn("_level", level)
+    b = b.withColumn("_bucket", F.explode(F.sequence(bucket(start, F.col("_level")), bucket(stop, F.col("_level")))))
+    levels = sorted(r[0] for r in ranges.where(start <= stop).select(level.alias("l")).distinct().collect())  # one for each power of FAN
+    a = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels or [0])))).withColumn("_bucket", bucket(point, F.col("_level")))
+    return a.join(b, ["_level", "_bucket"]).where((point >= start) & (point <= stop)).drop("_level", "_bucket")
 
 
 def sessions(df: DataFrame, by: list[str], time: str, gap: str) -> DataFrame:

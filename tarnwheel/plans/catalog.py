@@ -5,41 +5,15 @@ Where the dialects agree one text serves both; sums of doubles are rounded, sinc
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwheel.functions.vectors import inner_product
 from tarnwheel.operators import relational, temporal
-from tarnwheel.sources.tables import TABLES, register, table
+from tarnwheel.plans.registry import ORACLE, QUERIES, both, built
+from tarnwheel.sources.tables import table
 from tarnwheel.streaming import windows
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def both(name: str, text: str, twin: str | None = None) -> None:
-    """Registers SQL text for Spark, with DuckDB's text where the dialects differ."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        register(spark, sf_dir, *(t for t in TABLES if t in text))
-        return spark.sql(text)
-
-    run.__name__ = name
-    QUERIES[name], ORACLE[name] = run, twin or text
-
-
-def built(twin: str) -> Callable:
-    """Registers a function of (spark, sf_dir) under its name, with DuckDB's text."""
-
-    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__], ORACLE[f.__name__] = f, twin
-        return f
-
-    return keep
-
-
 # filters and projections
 both("q_filter", "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_quantity < 10 AND l_discount >= 0.05 AND l_shipdate < TIMESTAMP '1997-01-01 00:00:00'")
 both("q_case_in_between", "SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'small' WHEN p_size <= 30 THEN 'middle' ELSE 'large' END AS kind FROM part WHERE p_type IN ('PROMO', 'ECONOMY', 'SMALL')")
@@ -125,11 +99,11 @@ def q_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.asof_join(bought, seen, ["user_id"], "ts", ["ts", "value"]).select("event_id", "user_id", "asof_ts", "asof_value")
 
 
-@built("SELECT p.p_partkey, o.o_orderkey FROM part p JOIN (SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice < 3000) o ON p.p_retailprice BETWEEN o.o_totalprice - 5 AND o.o_totalprice + 5")
+@built("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_acctbal BETWEEN s_acctbal - 25 AND s_acctbal + 25")
 def q_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    prices = table(spark, sf_dir, "orders").where("o_totalprice < 3000").select("o_orderkey", "o_totalprice")
-    return temporal.range_join(parts, prices, F.col("p_retailprice"), F.col("o_totalprice") - 5, F.col("o_totalprice") + 5, 10).select("p_partkey", "o_orderkey")
+    points = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    ranges = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return temporal.range_join(points, ranges, F.col("c_acctbal"), F.col("s_acctbal") - 25, F.col("s_acctbal") + 25, 50).select("c_custkey", "s_suppkey")
 
 
 @built("SELECT a.event_id AS view_id, b.event_id AS purchase_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'purchase' AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 30 MINUTES")
@@ -151,15 +125,19 @@ def q_salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.salted_join(lines, table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_type"), ["k"]).drop("k")
 
 
-@built("SELECT l_returnflag, sum(l_quantity) AS l_quantity, sum(l_linenumber)::BIGINT AS l_linenumber FROM lineitem GROUP BY l_returnflag")
-def q_two_step_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relational.two_step_sum(table(spark, sf_dir, "lineitem"), ["l_returnflag"], ["l_quantity", "l_linenumber"])
+@built("SELECT l_returnflag, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY l_returnflag")
+def q_two_step_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.two_step_distinct(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_partkey")
 
 
-@built("SELECT b.vec_id, round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id > 0 ORDER BY list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id LIMIT 10")
+@built("SELECT a.vec_id AS asked, b.vec_id, round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id % 20 = 0 AND b.vec_id <> a.vec_id QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) <= 10")
 def q_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten vectors nearest to that of id 0; the asked one is a single row, whatever the table's size."""
-    vectors = table(spark, sf_dir, "embeddings")
-    asked = vectors.where("vec_id = 0").limit(1).select(F.col("embedding").alias("asked"))
-    near = vectors.where("vec_id > 0").crossJoin(F.broadcast(asked)).withColumn("s", inner_product(F.col("asked"), F.col("embedding")))
-    return near.orderBy(F.desc("s"), "vec_id").limit(10).select("vec_id", F.round("s", 6).alias("similarity"))
+    """The ten vectors nearest to each whose id is divisible by 20, among all others."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = relational.nearest(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", inner_product(F.col("asked_embedding"), F.col("embedding")), 10)
+    return found.select("asked", "vec_id", F.round("similarity", 6).alias("similarity"))
+
+
+from tarnwheel.plans import extended  # noqa: E402, F401  (registers its queries)
+
+__all__ = ["ORACLE", "QUERIES"]

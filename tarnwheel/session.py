@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -33,9 +34,11 @@ def local_session(cpus: int = 8, memory: str = "20g", **conf: str) -> SparkSessi
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a new temporary one where that is unset (local runs)."""
+    """The shared folder named by spark.checkpoint.dir; a new temporary one where that is unset in a local run."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         path = Path(tempfile.mkdtemp(prefix="tarnwheel-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tarnwheel.session import scratch
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,3 +52,37 @@ def to_memory(df: DataFrame, name: str, mode: str = "append") -> StreamingQuery:
     query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def running_totals(events: DataFrame) -> DataFrame:
+    """State of one's own: each user's rows and sum of values so far, a row whenever they change (update mode)."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, total = state.get if state.exists else (0, 0.0)
+        for batch in batches:
+            n, total = n + len(batch), total + float(batch["value"].sum())
+        state.update((n, total))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "total": [total]})
+
+    return events.groupBy("user_id").applyInPandasWithState(run, "user_id long, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
+
+
+def to_files(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs what there is into Parquet files in the shared folder, and reads them.
+
+    Append writes rows as they are final; complete keeps the last result only; update keeps every change, with the
+    number of its batch in the column `batch`.
+    """
+    spark = df.sparkSession
+    path, offsets = scratch(spark, name), scratch(spark, f"{name}-offsets")
+
+    def put(batch: DataFrame, number: int) -> None:
+        if mode == "update":
+            batch = batch.withColumn("batch", F.lit(number))
+        # a batch that runs again writes over what it wrote
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}" if mode == "append" else f"{path}/n={number}")
+
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", offsets).trigger(availableNow=True)
+    writer.foreachBatch(put).start().awaitTermination()
+    schema = df.schema.add("batch", T.IntegerType()) if mode == "update" else df.schema
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)

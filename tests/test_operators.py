@@ -36,13 +36,14 @@ def test_vectors(spark):
     assert [tuple(r) for r in got] == [(24.0, 5.0, 0.96), (0.0, 0.0, None), (None, None, None)]
 
 
-@pytest.mark.parametrize("kind", ["parquet", "orc", "csv", "json"])
+@pytest.mark.parametrize("kind", ["parquet", "orc", "csv", "json", "xml"])
 def test_formats_round_trip(spark, tmp_path, kind):
     df = spark.createDataFrame([(1, "a,\"b", 0.5), (2, "é\tö", None), (3, None, -1.0)], "k int, s string, x double")
-    options = {"multiLine": "true", "escape": '"'} if kind == "csv" else {}
-    formats.write(df, f"{tmp_path}/{kind}", kind, **({"escape": '"'} if kind == "csv" else {}))
+    options = {"csv": {"multiLine": "true", "escape": '"'}, "xml": {"rowTag": "row"}}.get(kind, {})
+    out = {"csv": {"escape": '"'}, "xml": {"rowTag": "row"}}.get(kind, {})
+    formats.write(df, f"{tmp_path}/{kind}", kind, **out)
     assert sorted(formats.read(spark, f"{tmp_path}/{kind}", kind, df.schema, **options).collect(), key=repr) == sorted(df.collect(), key=repr)
-    formats.write(df, f"{tmp_path}/by", kind, by=["k"], mode="overwrite", **({"escape": '"'} if kind == "csv" else {}))
+    formats.write(df, f"{tmp_path}/by", kind, by=["k"], mode="overwrite", **out)
     assert formats.read(spark, f"{tmp_path}/by", kind, "s string, x double, k int", **options).where("k = 1").count() == 1
 
 
@@ -51,3 +52,64 @@ def test_formats_refuse_guessing(spark):
         formats.read(spark, "/x", "json")
     with pytest.raises(ValueError):
         formats.read(spark, "/x", "zip")
+
+
+def test_wide_ranges_touch_few_buckets(spark):
+    points = spark.range(0, 2000, 7).select(F.col("id").cast("double").alias("x"))
+    ranges = spark.createDataFrame([(0, 0.0, 1e9), (1, 3.0, 4.0), (2, 100.0, 900.0), (3, -1e12, 1e12), (4, 1999.0, 1999.0)], "r int, a double, b double")
+    joined = temporal.range_join(points, ranges, F.col("x"), F.col("a"), F.col("b"), 1.0)
+    want = sorted((p.x, r.r) for p in points.collect() for r in ranges.collect() if r.a <= p.x <= r.b)
+    assert sorted((p.x, p.r) for p in joined.collect()) == want
+
+
+def test_two_step_distinct(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 50).alias("v"))
+    want = df.groupBy("k").agg(F.count_distinct("v").alias("n"))
+    assert sorted(relational.two_step_distinct(df, ["k"], "v").collect()) == sorted(want.collect())
+
+
+def test_nearest_in_blocks(spark, monkeypatch):
+    rows = spark.range(60).select(F.col("id").alias("i"), F.array(F.sin("id"), F.cos("id")).alias("v"))
+    ask = lambda: sorted(tuple(r)[:2] for r in relational.nearest(rows.where("i % 20 = 0"), rows, "i", inner_product(F.col("asked_v"), F.col("v")), 4).collect())
+    want = ask()
+    monkeypatch.setattr(relational, "BLOCK", 1)
+    assert ask() == want and len(want) == 12
+
+
+def test_views_of_the_user_stay(spark):
+    from tarnwheel.plans import catalog
+
+    spark.range(3).createOrReplaceTempView("orders")
+    catalog.QUERIES["q_having"](spark, "/root/testdata/sf0.001").collect()
+    assert spark.table("orders").count() == 3
+    spark.catalog.dropTempView("orders")
+
+
+def test_tables_of_an_operator_go(spark):
+    import os
+
+    from tarnwheel.session import Held
+
+    held = Held(spark)
+    a, b = held(spark.range(5).toDF("x"), "a"), held(spark.range(6).toDF("y"), "b")
+    files = [f.removeprefix("file://") for df in (a, b) for f in df.inputFiles()]
+    held.release(b)
+    assert b.count() == 6 and [os.path.exists(f) for f in files] == [f in {x.removeprefix("file://") for x in b.inputFiles()} for f in files]
+    assert not all(map(os.path.exists, files))
+
+
+def test_shared_folder_has_to_be_named_on_a_cluster(spark, monkeypatch):
+    from tarnwheel import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())

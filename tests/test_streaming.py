@@ -25,15 +25,51 @@ def test_sessions_and_interval_join(spark):
     assert {tuple(r) for r in spark.table("pairs_seen").collect()} == {tuple(r) for r in pairs(batch).collect()}
 
 
-def test_late_rows_and_repeats_are_dropped(spark, tmp_path):
+def arriving(spark, path, *batches):
+    """A stream whose batches hold rows of the given minutes."""
     import datetime as d
+    import os
 
-    start = d.datetime(2024, 1, 1)
-    rows = lambda *minutes: spark.createDataFrame([(k, start + d.timedelta(minutes=m), "click", 1.0) for k, m in enumerate(minutes)], "user_id long, ts timestamp, event_type string, value double")
-    for k, minutes in enumerate(((0, 5), (90, 95), (1,), (200,))):
-        rows(*minutes).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(rows(0).schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    windows.to_memory(windows.windowed(stream, "1 hour"), "late_seen")
-    assert sum(r.n for r in spark.table("late_seen").collect()) in (4, 5)  # the row of minute 1 may come too late
-    windows.to_memory(windows.first_seen(stream, ("event_type",)), "firsts_seen")
-    assert 1 <= spark.table("firsts_seen").count() <= 5
+    start, schema = d.datetime(2024, 1, 1), "user_id long, ts timestamp, event_type string, value double"
+    rows = lambda minutes: spark.createDataFrame([(m, start + d.timedelta(minutes=m), "click", 1.0) for m in minutes], schema)
+    os.makedirs(path)
+    for k, minutes in enumerate(batches):
+        rows(minutes).coalesce(1).write.parquet(f"{path}-{k}")
+        (part,) = [f for f in os.listdir(f"{path}-{k}") if f.endswith(".parquet")]
+        os.rename(f"{path}-{k}/{part}", f"{path}/{k}.parquet")
+        os.utime(f"{path}/{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))  # files are taken in order of time
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+#: Rows are late by the watermark of the batch before, which is at 85 when minute 1 comes.
+LATE = ((0, 5), (90, 95), (130,), (1,), (200,))
+
+
+def counted(frame):
+    """The last count of each window, by the hour that it begins with."""
+    last = frame.groupBy("window_start").agg(F.max(F.struct("batch", "n")).alias("s")).collect()
+    return {r.window_start.hour: r.s.n for r in last}
+
+
+def test_late_rows_are_dropped_and_rows_in_time_are_kept(spark, tmp_path):
+    stream = arriving(spark, f"{tmp_path}/in", *LATE)
+    assert counted(windows.to_files(windows.windowed(stream, "1 hour"), "late", "update")) == {0: 2, 1: 2, 2: 1, 3: 1}
+    assert counted(windows.to_files(windows.windowed(stream, "1 hour", late="5 hours"), "in-time", "update")) == {0: 3, 1: 2, 2: 1, 3: 1}
+
+
+def test_append_gives_closed_windows_once(spark, tmp_path):
+    stream = arriving(spark, f"{tmp_path}/in", *LATE)
+    got = {r.window_start.hour: r.n for r in windows.to_files(windows.windowed(stream, "1 hour"), "closed").collect()}
+    assert got == {0: 2, 1: 2, 2: 1}  # the last window stays open
+
+
+def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
+    stream = arriving(spark, f"{tmp_path}/in", *LATE)
+    got = [r.user_id for r in windows.to_files(windows.first_seen(stream, ("event_type",)), "firsts").collect()]
+    assert len(got) == 2 and 200 in got and got[0] in (0, 5, 200)
+
+
+def test_state_is_carried_from_batch_to_batch(spark, tmp_path):
+    stream = arriving(spark, f"{tmp_path}/in", (7, 7), (8,), (7,)).withColumn("user_id", F.col("user_id"))
+    got = windows.to_files(windows.running_totals(stream), "totals", "update").orderBy("batch").collect()
+    assert [(r.user_id, r.n, r.total) for r in got] == [(7, 2, 2.0), (8, 1, 1.0), (7, 3, 3.0)]
