@@ -4,12 +4,17 @@ Lines of a text that use a license's vocabulary are candidates, with GAP lines b
 2 GAP apart are one block. A block, and each candidate line in it, is compressed on its own and with each wording as
 zstandard's raw dictionary; the most bytes saved, as a share of the size on its own or of the wording's if that is
 less, rank the wordings. With a dictionary a long input is parsed worse than without, so what is over SHORT bytes is
-compressed in windows instead, around every match of the vocabulary and as wide as the wording needs. Those that save MIN_SAVED or more are confirmed, best first, by the exact differences: the
-block's and the wording's words are aligned, and the wording is found where at most MAX_DIFFERENT of its words are
-missing or come with others between them, and none of the words that tell licenses apart (numbers and the like)
-differs. A confirmed wording takes its words, and the next ones have to be found in what is left.
+compressed in windows instead, around every match of the vocabulary and as wide as the wording needs. Those that save
+MIN_SAVED or more are confirmed, best first, by the exact differences: wherever a stretch of the block's words as long
+as the wording has enough of its words, the two are aligned, and the wording is found where at most MAX_DIFFERENT of its
+words are missing or come with others between them, and none of the words that tell licenses apart (numbers and the
+like) differs. A confirmed wording takes its words, and the next ones have to be found in what is left. So the cost
+grows with the number of a block's words, whatever its length.
 
-Defined results: a null or empty text has no candidates; a document without a license has no row; repeated rows are
+The table of wordings is a choice: notices, identifiers and the grants of short licenses, not every license in use;
+`scanned` takes any other table.
+
+Defined results: a null or empty text has no candidates; a very long line or block is scanned whole; a document without a license has no row; repeated rows are
 scanned each; an empty table gives no rows; other columns don't matter.
 """
 
@@ -43,6 +48,7 @@ WORDINGS = {
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -76,6 +82,7 @@ WORDINGS = {
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"),
     "ISC": ("Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "Zlib": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:", "SPDX-License-Identifier: Zlib"),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "CC0-1.0": ("Licensed under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -163,6 +170,26 @@ def differences(block: list[str], wording: list[str]) -> tuple[int, int, list[st
     return start, end, missing, strange
 
 
+def located(left: list[str], wording: list[str]) -> Iterator[tuple[int, int, list[str], list[str]]]:
+    """All places of the wording, first to last, that don't overlap; each alignment is over a few times its words."""
+    slack = int(MAX_DIFFERENT * len(wording))
+    need, room, own = len(wording) - slack, slack + 1, set(wording)
+    hits = [k for k, w in enumerate(left) if w in own]
+    at = 0
+    while at + need <= len(hits):
+        start = hits[at]
+        if hits[at + need - 1] - start > need + slack + room:  # too far apart to be one place
+            at += 1
+            continue
+        end = start + len(wording) + slack + 2 * room  # of any place that begins up to `room` words on
+        if found := differences(left[start:end], wording):
+            a, b, missing, strange = found
+            yield start + a, start + b, missing, strange
+            at = bisect_left(hits, start + b)
+        else:
+            at = max(at + 1, bisect_left(hits, start + room))
+
+
 def scan(text: str) -> list[tuple[int, int, str, int, float, str, str]]:
     """(first line, last line, license, wording, share saved, missing words, strange words) of each license found."""
     out = []
@@ -191,10 +218,9 @@ def scan(text: str) -> list[tuple[int, int, str, int, float, str, str]]:
         for share, name, k, wording in reversed(saved):
             if share < MIN_SAVED:
                 break
-            while found := differences(left, wording):
-                start, end, missing, strange = found
+            for start, end, missing, strange in list(located(left, wording)):
                 out.append((of[start], of[end - 1], name, k, round(share, 4), " ".join(missing), " ".join(strange)))
-                left[start:end], of[start:end] = ["\n"], [of[start]]
+                left[start:end] = ["\n"] * (end - start)
     return out
 
 
