@@ -6,8 +6,10 @@ distinct pre-tokens of a block are put in a trie and each trie node is scored on
 through it; a terminal node's number of pieces is stored under the pre-token's hash and looked up from then on.
 The trie is walked in sorted order, depth first, and only the path to the current node is held.
 
-The vocabulary file gives pieces in order of rank and no probabilities; by Zipf's law a piece of rank r has one in
-proportion to 1 / (r + 1). A character that is no piece is spelled by its UTF-8 bytes, each of the least probability.
+A unigram model's own scores are used where the file has them. The scores of a byte-pair model are its pieces' ranks
+and no probabilities; then by Zipf's law a piece of rank r has one in proportion to 1 / (r + 1), so that the counts are
+those of a unigram model over that vocabulary and not those of the tokenizer that the file is for. A character that is
+no piece is spelled by its UTF-8 bytes, each of the least probability.
 
 Defined results: a null or empty text has no words and no tokens; repeated rows are counted each; an empty table gives
 no rows; other columns don't matter.
@@ -43,7 +45,15 @@ def vocabulary(path: str) -> dict[str, float]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return zipf([model.id_to_piece(k) for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k) or model.is_unused(k))])
+    some = [k for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k) or model.is_unused(k))]
+    return scored([model.id_to_piece(k) for k in some], [model.get_score(k) for k in some])
+
+
+def scored(pieces: list[str], scores: list[float]) -> dict[str, float]:
+    """Log-probabilities from a model's scores, which are ranks if all are whole numbers."""
+    if all(s == int(s) for s in scores):
+        return zipf(pieces)
+    return dict(zip(reversed(pieces), reversed(scores), strict=True))
 
 
 class Counter:

@@ -1,12 +1,16 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tarnwheel.llm import decontaminate, jaccard, mixing, quality
 
+from .common import documents, odd_texts, prose
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -61,3 +65,26 @@ def test_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_odd_rows_in_every_stage(spark):
+    """Nulls in any column, empty and very long texts, ties and repeated rows, clashing column names: stage by stage."""
+    rng = random.Random(2)
+    texts = [*odd_texts(), *(prose(rng, 80) for _ in range(4))]
+    docs = documents(spark, texts)
+    nulls = docs.limit(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields))
+    docs = docs.unionByName(nulls).unionByName(nulls)
+    by_stage = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        by_stage[name] = [(r.doc_id, r.text) for r in out.collect()]
+    every = [(r.doc_id, r.text) for r in docs.collect()]
+    short = {t for _, t in every if len((t or "").split()) < 50}
+    assert not short & {t for _, t in by_stage["quality rules"]}
+    near = [t for _, t in by_stage["n-gram Jaccard join"]]
+    assert near.count(texts[6]) + sum(near.count(t) for t in texts[8:11]) == 1 and near.count(None) == sum(t is None for _, t in every)
+    assert sorted(by_stage["benchmark decontamination"], key=repr) == sorted(every, key=repr)
+    assert {t for _, t in by_stage["mixing sources to target weights"]} <= {t for _, t in every}
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(rows) == len(every) and sum(r.n_tokens == 1 for r in rows) == sum(not t for _, t in every)

@@ -54,3 +54,20 @@ def test_empty(spark):
     import public_tokenizers
 
     assert u.counted(empty(spark), public_tokenizers.path("piece_bpe_32k.model")).collect() == []
+
+
+def test_scores_of_a_unigram_model_are_used():
+    assert u.scored(["a", "b"], [-1.5, -2.25]) == {"a": -1.5, "b": -2.25}
+    assert u.scored(["a", "b"], [-0.0, -1.0]) == u.zipf(["a", "b"])
+
+
+def test_query_against_a_plain_version(spark):
+    import public_tokenizers
+
+    scores = u.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    sf, seen = "/root/testdata/sf0.001", {}
+    texts = {r.doc_id: words(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for w in {w for found in texts.values() for w in found}:
+        seen[w] = plain(u.MARK + w, scores)
+    rows = u.op4_token_counts(spark, sf).collect()
+    assert len(rows) == len(texts) and all((r.n_words, r.n_tokens) == (len(texts[r.doc_id]), sum(seen[w] for w in texts[r.doc_id])) for r in rows)
