@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwheel.llm.components import components
-from tarnwheel.llm.textarrays import Block, blocks, grams, mix, owners, sums_by
+from tarnwheel.llm.textarrays import Block, blocks, grams, mix, owners, released, sums_by
 from tarnwheel.session import Held, written
 
 #: Words in a shingle, and the least percentage of the union that two linked sets have in common.
@@ -114,6 +114,8 @@ def _counted(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Rec
     if waiting:
         keys, counts = merged()
     some = counts >= max(2, total >> (HOT_BITS + 1))
+    waiting.clear()
+    released()
     yield pa.RecordBatch.from_arrays([pa.array(np.append(keys[some], np.uint64(0)).view(np.int64)), pa.array(np.append(counts[some], total)), pa.array(np.append(np.zeros(int(some.sum()), bool), True))], ["token", "n", "total"])
 
 
@@ -155,6 +157,7 @@ def _sets(batches: Iterator[pa.RecordBatch], hot: tuple[np.ndarray, np.ndarray],
             node, n, key, prefix, size = (np.concatenate(x) for x in zip(*parts, strict=True))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64)), lists], ["id", "hash", "node", "n", "key", "prefix"])
+    released()
 
 
 def _distinct(found: np.ndarray, of: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,6 +194,7 @@ def _token_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.
             fits[a:b] = _node(found, firsts) == wanted[a:b]
             sets += [found[x:y].tobytes() for x, y in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary()), batch.column(2)], ["node", "tokens", "roles"]).filter(pa.array(fits))
+    released()
 
 
 def compared(own: list[bytes], others: list[bytes] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,6 +274,8 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         if len(out) > 50_000:
             yield flush()
     close()
+    rows = ([], [])
+    released()
     yield flush()
 
 

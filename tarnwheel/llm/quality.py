@@ -4,7 +4,7 @@ The model sees each text as relative frequencies of hashed words, word pairs and
 bounded sample of labelled rows, calibrated by Platt's method on the part of that sample that the fit has not seen, and
 scores whole texts in Arrow batches against a fixed threshold. The sample has SAMPLE different labelled texts at most,
 by a hash of their ids, and of those, in that order, the ones that fit into SAMPLE_BYTES bytes of text. A text gives
-some ten bytes of features a byte at most, so the driver holds ten times SAMPLE_BYTES at most for the fit.
+some ten bytes of features a byte at most, so the one task that fits holds ten times SAMPLE_BYTES at most.
 
 Defined results: a null text counts as empty (no words, base_failed); a very long text is scored whole, in one piece;
 rows with null or repeated ids are scored as any other row, and repeated rows count once in the sample; labels without a document or with a null label are left out of the sample; with no labelled rows, or with
@@ -14,9 +14,6 @@ the id and text columns are read, so other columns can have any name.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarnwheel.llm.textarrays import WHITE, Block, blocks, grams, owners, repeats, sums_by
+from tarnwheel.llm.textarrays import WHITE, Block, blocks, grams, owners, released, repeats, sums_by
 
 #: Most labelled rows that the model is fitted on, and most bytes of their texts.
 SAMPLE, SAMPLE_BYTES = 3000, 24 << 20
@@ -148,9 +145,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     kept = docs.sparkSession.createDataFrame(found, rows.select(*own).schema)
     rows = rows.join(F.broadcast(kept), own).dropDuplicates(own).select("label", "by", "text")
-    model = train(rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary").toArrow())
-    _released()
-    return model
+    counted = rows.mapInArrow(_counted, "label double, by long, buckets binary, shares binary")
+    # one task fits, as the sample is bounded; the driver gets the weights alone
+    out = counted.repartition(1).mapInArrow(_fitted, "weights binary, bias double, scale double, shift double").collect()
+    return Model(np.frombuffer(out[0]["weights"], np.float64), *out[0][1:]) if out else None
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sample's features to the model, one row; no row where there is none."""
+    held = [batch for batch in batches if batch.num_rows]
+    if held and (model := train(pa.Table.from_batches(held))):
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias], "scale": [model.scale], "shift": [model.shift]})
+    held.clear()
+    released()
 
 
 class _Rows:
@@ -171,14 +178,6 @@ class _Rows:
             yield at, index, value, row, np.bincount(row, value * w[index], at.stop - a)
 
 
-def _released() -> None:
-    """Gives freed memory back to the system, where the C library can: the driver lives on after the fit."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def train(table: pa.Table, steps: int = 120, penalty: float = 2e-3) -> Model | None:
     """Logistic regression by accelerated gradient steps over (label, by, buckets, shares); then Platt's calibration.
 
@@ -248,6 +247,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         for batch in batches:
             found = judged(batch.column(1), shared.value, threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[k]).cast(kind) for k, kind in kinds.items())], [id_col, *kinds])
+        released()
 
     spark_of = {pa.int64(): T.LongType(), pa.bool_(): T.BooleanType(), pa.float64(): T.DoubleType()}
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(k, spark_of[v]) for k, v in kinds.items())])
@@ -261,6 +261,7 @@ def keep(docs: DataFrame, model: Model | None, text_col: str = "text", threshold
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, whole.num_rows, 1000)):
             yield batch.filter(pa.array(judged(batch.column(at), shared.value, threshold)["kept"], pa.bool_()))
+        released()
 
     return docs.mapInArrow(run, docs.schema)
 

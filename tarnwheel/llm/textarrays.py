@@ -9,6 +9,9 @@ A null text is an empty one everywhere.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +44,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def released() -> None:
+    """Gives freed memory back to the system, where the C library can: a worker lives on after its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads the entropy of each 64-bit value over all its bits."""
     h = h ^ (h >> U64(33))
