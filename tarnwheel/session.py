@@ -114,7 +114,10 @@ BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spa
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors unless their PYTHONPATH or working folder has it; keeps Arrow batches small."""
+    """Sends this package to the executors unless their PYTHONPATH or working folder has it; keeps Arrow batches small.
+
+    BATCH holds for the session from then on, as what a query returns runs later; settings of the user's own stay.
+    """
     for key, (usual, ours) in BATCH.items():
         if spark.conf.get(key, usual) == usual:
             spark.conf.set(key, ours)
