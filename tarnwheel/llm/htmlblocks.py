@@ -21,7 +21,7 @@ ENDS_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"t
 SAME_KIND = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 _TOKEN = re.compile(
     r"<!--(?:(?!-->).)*+(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title|textarea|canvas|audio|video)(?=[\s/>])[^>]*+>(?:(?!</(?P=raw)(?=[\s/>])).)*+(?:</(?P=raw)[^>]*+>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|title|textarea|canvas|audio|video|annotation(?:-xml)?)(?=[\s/>])[^>]*+>(?:(?!</(?P=raw)(?=[\s/>])).)*+(?:</(?P=raw)[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)"
     r"|<[a-z][^>]*+\Z",

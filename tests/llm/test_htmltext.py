@@ -115,5 +115,5 @@ def test_deep_pages_take_time_in_proportion(field):
 
 
 def test_form_controls_go_and_formulas_stay(field):
-    page = "<body><article><h1>A title of words</h1><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> is known to all readers of this.</p><textarea>Write here</textarea><button>Send it now</button><select><option>One<option>Two</select><p>This is the second paragraph.</p></article></body>"
+    page = "<body><article><h1>A title of words</h1><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding=tex>x+1</annotation></math> is known to all readers of this.</p><textarea>Write here</textarea><button>Send it now</button><select><option>One<option>Two</select><p>This is the second paragraph.</p></article></body>"
     assert h.text_of(page, field) == "A title of words\nThe sum x+1 is known to all readers of this.\nThis is the second paragraph."
