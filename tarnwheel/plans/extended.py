@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tarnwheel.functions import udfs
 from tarnwheel.plans.registry import both, built
-from tarnwheel.session import ship
+from tarnwheel.session import scratch, ship
+from tarnwheel.sources import formats
 from tarnwheel.sources.generated import squares
 from tarnwheel.sources.tables import table
 from tarnwheel.streaming import windows
@@ -95,6 +96,30 @@ def q_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.crossJoin(total).selectExpr("abs(n - 0.1 * whole) <= 10 * sqrt(0.09 * whole) as near")
 
 
+both("q_word_count", "SELECT w, count(*) AS n FROM (SELECT explode(split(lower(text), ' ')) AS w FROM documents) GROUP BY w", "SELECT w, count(*) AS n FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM documents) GROUP BY w")
+
+
+# sinks and other formats, there and back
+@built("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def q_partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder for each status; only that of F is read."""
+    path = scratch(spark, "by-status")
+    formats.write(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), path, "parquet", by=["o_orderstatus"])
+    return formats.read(spark, path, "parquet", "o_orderkey long, o_totalprice double, o_orderstatus string").where("o_orderstatus = 'F'")
+
+
+@built("SELECT n_nationkey, n_name, count(*) AS n FROM nation, (VALUES ('csv'), ('json'), ('orc'), ('xml')) v(kind) GROUP BY ALL")
+def q_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in four formats and read back, row by row the same."""
+    rows, out = table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), None
+    for kind in ("csv", "json", "orc", "xml"):
+        path, options = scratch(spark, f"nation-{kind}"), {"rowTag": "row"} if kind == "xml" else {}
+        formats.write(rows, path, kind, **options)
+        back = formats.read(spark, path, kind, rows.schema, **options)
+        out = back if out is None else out.union(back)
+    return out.groupBy("n_nationkey", "n_name").agg(F.count("*").alias("n"))
+
+
 # functions in Python
 @built("SELECT c_custkey, len(regexp_extract_all(c_mktsegment || lower(c_mktsegment), '[aeiou]'))::BIGINT AS n FROM customer")
 def q_udf_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
