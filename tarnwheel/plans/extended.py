@@ -67,7 +67,7 @@ both("q_nulls_first", "SELECT o_orderkey, nullif(o_orderstatus, 'F') AS s FROM o
 both("q_nulls_last", "SELECT o_orderkey, nullif(o_orderstatus, 'F') AS s FROM orders ORDER BY s DESC NULLS LAST, o_orderkey DESC LIMIT 20")
 
 # scalar functions
-both("q_exp_ln", "SELECT l_orderkey, l_linenumber, round(exp(l_discount), 9) AS e, round(ln(l_quantity), 9) AS l, round(log10(l_extendedprice), 9) AS t, sign(l_tax - l_discount) AS s FROM lineitem")
+both("q_exp_ln", "SELECT l_orderkey, l_linenumber, round(exp(l_discount), 9) AS e, round(ln(l_quantity), 9) AS l, round(log10(l_extendedprice), 9) AS t, CAST(sign(l_tax - l_discount) AS INT) AS s FROM lineitem")
 both("q_search", "SELECT p_partkey, CAST(instr(p_name, 'a') AS BIGINT) AS i, p_name ILIKE '%A%' AS k, starts AS b FROM (SELECT *, startswith(p_type, 'S') AS starts FROM part)", "SELECT p_partkey, instr(p_name, 'a') AS i, p_name ILIKE '%A%' AS k, starts_with(p_type, 'S') AS b FROM part")
 both(
     "q_map_functions",
