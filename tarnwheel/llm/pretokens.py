@@ -20,6 +20,8 @@ from tarnwheel.llm.textarrays import blocks, range_hashes
 LIMIT = 0x250
 #: Distinct pre-tokens that a worker remembers before it starts anew.
 REMEMBERED = 1_500_000
+#: Pre-tokens sent to the library at once; each has some kilobyte of its own there.
+AT_ONCE = 4096
 SPACE, LETTER, NUMBER, OTHER = range(4)
 _WHITE = (*range(9, 14), 32, 0x85, 0xA0)
 _CLASS = np.array([SPACE if c in _WHITE else LETTER if unicodedata.category(chr(c))[0] == "L" else NUMBER if unicodedata.category(chr(c))[0] == "N" else OTHER for c in range(LIMIT)], np.uint8)
@@ -79,7 +81,7 @@ class Encoder:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = self._whole(texts)
+        found = [ids for a in range(0, len(texts), AT_ONCE) for ids in self._whole(texts[a : a + AT_ONCE])]
         slots = np.arange(len(self.begins) - 1, len(self.begins) - 1 + len(keys))
         self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum([len(x) for x in found])])
         self.ids = np.concatenate([self.ids, *found])

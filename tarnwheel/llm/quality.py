@@ -119,6 +119,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     parts[r].append((bucket, n / max(1, n.sum())))
             out += [(np.concatenate([b for b, _ in p]).astype(np.int32).tobytes(), (np.concatenate([v for _, v in p]) * STRETCH).astype(np.float16).tobytes()) for p in parts]
         yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("by"), pa.array([b for b, _ in out], pa.binary()), pa.array([v for _, v in out], pa.binary())], ["label", "by", "buckets", "shares"])
+    released()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model | None:
