@@ -122,8 +122,8 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(part_col), F.lit("")).alias("part"), text.alias("text"), F.xxhash64(text).alias("fingerprint"))
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of files; huge where Spark can't tell
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * size // HELD if size < 1 << 60 else 0)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // HELD)
     routed = rows.rdd.mapPartitions(_local).partitionBy(parts, lambda route: route).mapPartitions(_routed)
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, part string, mask int, n long"
     return written(spark.createDataFrame(routed, schema, verifySchema=False), "filter-masks")
