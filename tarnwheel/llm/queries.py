@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnwheel.llm import decontaminate, filteraudit, htmltext, jaccard, licenses, linededup, mixing, quality, records, spelling, suffixdedup, unigram
+from tarnwheel.llm import decontaminate, filteraudit, htmltext, jaccard, licenses, linededup, mixing, quality, records, spelling, suffixdedup, suffixtree, unigram
 from tarnwheel.session import ship
 
 
@@ -32,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         linededup.op9_line_dedup,
         suffixdedup.op6_suffix_dedup,
         records.op10_token_records,
+        suffixtree.op11_substring_dedup,
         spelling.op12_spelling_variants,
         filteraudit.op13_filter_audit,
     )
@@ -42,6 +43,7 @@ ORACLE: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_OP3,
     "op9_line_dedup": linededup.ORACLE_OP9,
     "op8_jaccard_join": jaccard.ORACLE_OP8,
+    "op11_substring_dedup": suffixtree.ORACLE_OP11,
     "op12_spelling_variants": spelling.ORACLE_OP12,
     "op13_filter_audit": filteraudit.ORACLE_OP13,
 }
