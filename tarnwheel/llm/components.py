@@ -1,36 +1,5 @@
-"""Connected components of a graph of links, without collecting any of it."""
+"""Connected components, which live with the other operators."""
 
-from __future__ import annotations
+from tarnwheel.operators.components import components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tarnwheel.session import Held
-
-
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step of the alternating star method over edges (a, b), a > b."""
-    if large:  # each node sends its larger neighbours to the least of its neighbourhood
-        near = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        return near.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))  # each node sends its smaller neighbours and itself there
-    sent = edges.join(least, "a")
-    return sent.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(sent.select("a", F.col("m").alias("b"))).distinct()
-
-
-def components(edges: DataFrame, held: Held | None = None) -> DataFrame:
-    """Links (a, b) of comparable ids to (node, root): the least node of each node's component; roots have no row.
-
-    Alternating large and small stars; every round is written to the shared folder, and the rounds grow with the
-    logarithm of the number of nodes. The rounds' tables belong to `held`.
-    """
-    held = held or Held(edges.sparkSession)
-    now = held(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = mark
-        now = held(_star(_star(now, True), False), "links")
+__all__ = ["components"]
