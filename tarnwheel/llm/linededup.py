@@ -19,7 +19,9 @@ lines is stretches of under MIN_WORDS words in all between lines that are not re
 
 Exact copies of whole texts are one document in all this: the later ones are deleted whole, if they have MIN_WORDS.
 
-Defined results: a null or empty text is one empty line; a very long text costs in proportion to its repeated lines; rows with equal ids and texts share their fate and don't count
+Defined results: a null or empty text is one empty line; a very long text costs in proportion to its
+repeated lines (deleted runs are merged as spans, so lines without words, where runs of every length begin, cost no more);
+rows with equal ids and texts share their fate and don't count
 as copies of each other; null ids come first, and equal ids fall back on a hash of the text; an empty table gives no
 rows; other columns don't matter.
 """
@@ -35,6 +37,8 @@ from tarnwheel.session import Held
 MIN_WORDS = 5
 #: Most rows of a table that is broadcast (100 bytes each or so).
 MOST_ROWS = 200_000
+#: Most bytes of a table whose rows have arrays, where that is broadcast.
+MOST_BYTES = 16 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 #: Steps of a binary search in one document's lines.
 _STEPS = [1 << k for k in range(30, -1, -1)]
@@ -74,8 +78,17 @@ def _several(df: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(where).alias("first"), F.max(where).alias("_last"), *more).where("first <> _last").drop("_last")
 
 
+def _islands(copies: DataFrame) -> DataFrame:
+    """Runs (row, at, m) that overlap or touch, as one (row, start, stop) each: as many as there are gaps, whatever the runs' lengths."""
+    along = Window.partitionBy("row").orderBy("at")
+    far = F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    ends = copies.groupBy("row", "at").agg((F.col("at") + F.max("m")).alias("stop")).withColumn("far", far)
+    numbered = ends.withColumn("island", F.sum(F.when(F.col("far") >= F.col("at"), 0).otherwise(1)).over(along))
+    return numbered.groupBy("row", "island").agg(F.min("at").alias("start"), F.max("stop").alias("stop"))
+
+
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(row, gone: places of the lines to delete) for rows by hashes of id and text; (md, owner) of texts with copies."""
+    """(row, gone: spans (start, stop) of the lines to delete) for rows by hashes of id and text; (md, owner) of texts with copies."""
     spark, held = docs.sparkSession, Held(docs.sparkSession)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -111,8 +124,7 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
         firsts = held(_several(named, ["m", "head", "tail"]), "interval-firsts")
         copies = named.join(_small(firsts), ["m", "head", "tail"]).where(F.struct("id", "row", "at") > F.col("first")).select("row", "at", "m")
         found = copies if found is None else found.union(copies)
-    gone = found.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.col("m") - 1))))).alias("gone"))
-    gone = held(gone, "gone-lines")
+    gone = held(_islands(found).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone")), "gone-lines")
     held.release(gone, owners)
     return gone, owners
 
@@ -122,21 +134,25 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     gone, owners = repeated(docs, id_col, text_col)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     owners = owners.withColumnRenamed("md", "owner_md")
-    rows = texts.join(_small(owners), F.md5("text") == F.col("owner_md"), "left").join(_small(gone.withColumnRenamed("row", "_row")), _row() == F.col("_row"), "left")
+    size = gone.agg(F.sum(48 + 8 * F.size("gone"))).first()[0] or 0
+    spans = gone.withColumnRenamed("row", "_row")
+    rows = texts.join(_small(owners), F.md5("text") == F.col("owner_md"), "left").join(F.broadcast(spans) if size <= MOST_BYTES else spans, _row() == F.col("_row"), "left")
     lines = F.split("text", "\n")
     later = F.col("owner_md").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner")) & (F.regexp_count("text", F.lit(WORD)) >= MIN_WORDS)
-    all_places = F.sequence(F.lit(0), F.size(lines) - 1)
-    rows = rows.select("id", "text", F.size(lines).cast("long").alias("n_lines"), F.when(later, all_places).otherwise(F.coalesce("gone", F.array().cast("array<int>"))).alias("gone"))
-    kept = lambda split: F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone"), lambda k: F.get(split, k))
+    kind = "array<struct<start: int, stop: int>>"
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.size(lines).alias("stop"))).cast(kind)
+    rows = rows.select("id", "text", F.size(lines).cast("long").alias("n_lines"), F.when(later, whole).otherwise(F.coalesce("gone", F.array().cast(kind))).alias("gone"))
+
+    def kept(split: Column) -> Column:
+        """The lines before, between and after the spans."""
+        start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("gone", k - 1)["stop"])
+        stop = lambda k: F.coalesce(F.get("gone", k)["start"], F.size(split))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size("gone")), lambda k: F.slice(split, start(k) + 1, stop(k) - start(k))))
+
     left = F.transform(F.array(lines), lambda split: F.array_join(kept(split), "\n"))[0]  # the text is split once
     text = F.when(F.size("gone") == 0, F.col("text")).otherwise(left)
-    return rows.select(
-        F.col("id").alias(id_col),
-        "n_lines",
-        F.size("gone").cast("long").alias("n_removed"),
-        F.size(F.array_except("gone", F.transform("gone", lambda k: k + 1))).cast("long").alias("n_runs"),
-        text.alias(text_col),
-    )
+    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
+    return rows.select(F.col("id").alias(id_col), "n_lines", removed.alias("n_removed"), F.size("gone").cast("long").alias("n_runs"), text.alias(text_col))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,10 @@ def test_oracle(spark):
     duckdb.sql(f"create or replace view documents as select * from '{SF}/documents.parquet'")
     want = sorted(duckdb.sql(m.ORACLE_OP9).fetchall())
     assert sorted(tuple(r) for r in m.op9_line_dedup(spark, SF).collect()) == want
+
+
+def test_many_shared_blank_lines(spark):
+    blank = "\n" * 20_000 + "one two three four five six"
+    docs = spark.createDataFrame([(1, "a b c d e f g\n" + blank), (2, "h\n" + blank + "\nrest"), (3, "\n" * 30_000 + "x")], "doc_id long, text string")
+    got = {r.doc_id: tuple(r) for r in m.dedup(docs).collect()}
+    assert got[1][2] == 0 and got[2] == (2, 20_003, 20_000 + 1, 1, "h\nrest") and got[3][2] == 0
