@@ -18,10 +18,10 @@ from tarnwheel.llm.textarrays import blocks, range_hashes
 
 #: Code points that are split here: Basic Latin to Latin Extended-B.
 LIMIT = 0x250
-#: Distinct pre-tokens that a worker remembers before it starts anew.
-REMEMBERED = 1_500_000
+#: Distinct pre-tokens that a worker remembers before it forgets those found in one block only.
+REMEMBERED = 500_000
 #: Pre-tokens sent to the library at once; each has some kilobyte of its own there.
-AT_ONCE = 4096
+AT_ONCE = 1024
 SPACE, LETTER, NUMBER, OTHER = range(4)
 _WHITE = (*range(9, 14), 32, 0x85, 0xA0)
 _CLASS = np.array([SPACE if c in _WHITE else LETTER if unicodedata.category(chr(c))[0] == "L" else NUMBER if unicodedata.category(chr(c))[0] == "N" else OTHER for c in range(LIMIT)], np.uint8)
@@ -71,11 +71,22 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.keys = None
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.begins, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        """Keeps what was found in several blocks, if that is under half of what may be remembered; else nothing."""
+        kept = np.flatnonzero(self.found > 1) if self.keys is not None else []
+        if not 0 < len(kept) < REMEMBERED // 2:
+            self.keys, self.slots, self.found = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            self.begins, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+            return
+        begin = self.begins[self.slots[kept]]
+        size = self.begins[self.slots[kept] + 1] - begin
+        total = np.concatenate([[0], np.cumsum(size)])
+        self.ids = self.ids[np.repeat(begin - total[:-1], size) + np.arange(total[-1])]
+        self.begins, self.keys, self.slots = total, self.keys[kept], np.arange(len(kept))
+        self.found = np.ones(len(kept), np.uint8)  # to be found again before the next time
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,7 +97,7 @@ class Encoder:
         self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum([len(x) for x in found])])
         self.ids = np.concatenate([self.ids, *found])
         where = np.searchsorted(self.keys, keys)
-        self.keys, self.slots = np.insert(self.keys, where, keys), np.insert(self.slots, where, slots)
+        self.keys, self.slots, self.found = np.insert(self.keys, where, keys), np.insert(self.slots, where, slots), np.insert(self.found, where, 0)
 
     def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a block's texts end to end, and where each text's ids begin."""
@@ -120,6 +131,7 @@ class Encoder:
         if new.any():
             self._learn(keys[new], [text[a:b] for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)])
             where = np.searchsorted(self.keys, keys)
+        self.found[where] += self.found[where] < 2
         slot = self.slots[where][each]
         begin, size = self.begins[slot], self.begins[slot + 1] - self.begins[slot]
         total = np.concatenate([[0], np.cumsum(size)])
