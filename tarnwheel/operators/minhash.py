@@ -80,22 +80,21 @@ def _small(df: DataFrame, size: int) -> DataFrame:
 def candidates(nodes: DataFrame, held: Held, small: int = SMALL) -> DataFrame:
     """(node, signature) to pairs (a, b) of nodes, a > b, that share a bucket, or one of their buckets' stars."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(ROWS // BAND - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.slice("signature", b * BAND + 1, BAND)).alias("key")))
-    now = held(nodes.select("node", F.explode(bands).alias("x")).select("node", "x.band", "x.key"), "buckets")
+    now = nodes.select("node", F.explode(bands).alias("x")).select("node", "x.band", "x.key")
     found, rows = None, BAND
     while True:
-        sizes = held(now.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"), "sizes")
-        few = now.join(sizes.where(F.col("n") <= small), ["band", "key"], "left_semi")
+        sizes = now.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+        tagged = held(now.join(sizes, ["band", "key"]), "buckets")
+        few, stars = tagged.where(F.col("n") <= small), tagged.where(F.col("n") > small)
         pairs = few.alias("x").join(few.alias("y"), ["band", "key"]).where("x.node > y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        large = sizes.where(F.col("n") > small).select("band", "key", "least")
-        stars = now.join(_small(large, 40), ["band", "key"])
         pairs = pairs.union(stars.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")))
-        found = held((pairs if found is None else found.union(pairs)).distinct(), "candidates")
-        if rows >= ROWS or large.isEmpty():
-            return found
+        found = pairs if found is None else found.union(pairs)
+        if rows >= ROWS or stars.isEmpty():
+            return held(found.distinct(), "candidates")
         rows *= 2
         twice = F.concat("signature", "signature")
         further = F.xxhash64("key", F.slice(twice, F.col("band") * BAND + 1 + rows // 2, F.lit(rows // 2)))
-        now = held(stars.select("node", "band", "key").join(nodes, "node").select("node", "band", further.alias("key")), "buckets")
+        now = stars.select("node", "band", "key").join(nodes, "node").select("node", "band", further.alias("key"))
 
 
 def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, held: Held) -> DataFrame:
