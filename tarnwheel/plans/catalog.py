@@ -138,6 +138,6 @@ def q_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("asked", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
-from tarnwheel.plans import extended, textual  # noqa: E402, F401  (they register their queries)
+from tarnwheel.plans import extended, scaled, textual  # noqa: E402, F401  (they register their queries)
 
 __all__ = ["ORACLE", "QUERIES"]
