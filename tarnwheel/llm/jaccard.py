@@ -375,7 +375,8 @@ def self_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, with all its columns: the one with the least id, null ids last.
 
-    Rows are told apart by a hash of all their columns, which breaks ties between equal ids; of equal rows one stays.
+    Rows are told apart by a 64-bit hash of all their columns, which breaks ties between equal ids; of equal rows one
+    stays. Two different rows out of n have one hash with a chance of n**2 / 2**65, and would then share their fate.
     Rows without shingles (null, empty and wordless texts) all stay. Columns can have any name but _row.
     """
     held = Held(docs.sparkSession)

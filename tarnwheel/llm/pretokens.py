@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-from tarnwheel.llm.textarrays import blocks, range_hashes
+from tarnwheel.llm.textarrays import KEPT, blocks, range_hashes
 
 #: Code points that are split here: Basic Latin to Latin Extended-B.
 LIMIT = 0x250
@@ -146,5 +146,8 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker process."""
+    """One encoder for each worker process, until another operator's task drops it."""
     return Encoder(path)
+
+
+KEPT["encoder"] = encoder.cache_clear

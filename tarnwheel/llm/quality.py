@@ -109,6 +109,7 @@ def scores(block: Block, weights: np.ndarray) -> np.ndarray:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, by, text) to (label, by, buckets as int32 bytes, relative frequencies as float16 bytes)."""
+    released()
     for batch in batches:
         out: list[tuple] = []
         for at, to, data, offsets in blocks(batch.column("text")):
@@ -154,6 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sample's features to the model, one row; no row where there is none."""
+    released()
     held = [batch for batch in batches if batch.num_rows]
     if held and (model := train(pa.Table.from_batches(held))):
         yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias], "scale": [model.scale], "shift": [model.shift]})
@@ -260,6 +262,7 @@ def keep(docs: DataFrame, model: Model | None, text_col: str = "text", threshold
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()  # what the tasks of a former stage have left
         for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, whole.num_rows, 1000)):
             yield batch.filter(pa.array(judged(batch.column(at), shared.value, threshold)["kept"], pa.bool_()))
         released()

@@ -127,7 +127,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id",
                 stream.close()
                 store.move(f".{kind}-{own}", f"part-{part:06d}.{kind}")
             yield pa.RecordBatch.from_pydict({"part": [part], "records": [records], "ids": [total]})
-        released()
+        released("encoder")
 
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumns({"_h": F.xxhash64("text"), "_from": F.spark_partition_id()})
     order = (F.col("id").asc_nulls_first(), "_h", "_from")
@@ -156,7 +156,7 @@ def read(manifest: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
                             yield _rows(out, id_col)
                             out = []
                 yield _rows(out, id_col)
-        released()
+        released("encoder")
 
     schema = f"`{id_col}` long, start long, n_tokens long, ids_crc32 long"
     return spark.createDataFrame(rows, "part long, start long").repartition(max(1, len(rows))).mapInArrow(run, schema)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +44,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def released() -> None:
-    """Gives freed memory back to the system, where the C library can: a worker lives on after its task."""
+#: What a worker keeps from task to task, by name, as functions that drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def released(keep: str = "") -> None:
+    """Drops what tasks of other operators have kept, but for `keep`, and gives freed memory back to the system, where the C library can: a worker lives on after its task."""
+    for name, drop in KEPT.items():
+        if name != keep:
+            drop()
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
