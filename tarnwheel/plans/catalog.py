@@ -18,7 +18,8 @@ from tarnwheel.streaming import windows
 both("q_filter", "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_quantity < 10 AND l_discount >= 0.05 AND l_shipdate < TIMESTAMP '1997-01-01 00:00:00'")
 both("q_case_in_between", "SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'small' WHEN p_size <= 30 THEN 'middle' ELSE 'large' END AS kind FROM part WHERE p_type IN ('PROMO', 'ECONOMY', 'SMALL')")
 both("q_like", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%a%' AND p_name NOT LIKE 'b%'")
-both("q_null_safe", "SELECT a.x AS x, b.y AS y FROM (VALUES (1), (NULL), (3)) a(x) JOIN (VALUES (1), (NULL), (4)) b(y) ON a.x IS NOT DISTINCT FROM b.y")
+_STATES = "(SELECT nullif(o_orderstatus, 'F') AS k, count(*) AS n FROM orders GROUP BY 1)"
+both("q_null_safe", f"SELECT a.k AS k, a.n AS n_all, b.n AS n_dear FROM {_STATES} a JOIN (SELECT nullif(o_orderstatus, 'F') AS k, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY 1) b ON a.k IS NOT DISTINCT FROM b.k")
 
 # joins
 both("q_nation_revenue", "SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n_lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00' GROUP BY n_name")
@@ -30,7 +31,11 @@ both("q_semi_join", "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM l
 both("q_anti_join", "SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
 both("q_scalar_subquery", "SELECT o_orderkey, o_totalprice FROM orders o WHERE o_totalprice > (SELECT 1.5 * avg(o_totalprice) FROM orders i WHERE i.o_custkey = o.o_custkey)")
 both("q_lateral", "SELECT n_name, t.c_custkey, t.c_acctbal FROM nation, LATERAL (SELECT c_custkey, c_acctbal FROM customer WHERE c_nationkey = n_nationkey ORDER BY c_acctbal DESC, c_custkey LIMIT 2) t")
-both("q_recursive", "WITH RECURSIVE t(n, f) AS (SELECT 1, CAST(1 AS BIGINT) UNION ALL SELECT n + 1, f * 2 FROM t WHERE n < 50) SELECT n, f FROM t")
+both(
+    "q_recursive",
+    "WITH RECURSIVE t(k, depth) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey = 1 UNION ALL SELECT c_custkey, depth + 1 FROM t JOIN customer ON c_custkey div 2 = k) SELECT k, depth FROM t",
+    "WITH RECURSIVE t(k, depth) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey = 1 UNION ALL SELECT c_custkey, depth + 1 FROM t JOIN customer ON c_custkey // 2 = k) SELECT k, depth FROM t",
+)
 
 # aggregates
 both("q_pricing", "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 1) AS sum_base, round(avg(l_discount), 8) AS avg_disc, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus")

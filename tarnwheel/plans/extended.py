@@ -21,7 +21,11 @@ from tarnwheel.streaming import windows
 both("q_except_column", "SELECT * EXCEPT (r_name) FROM region", "SELECT * EXCLUDE (r_name) FROM region")
 both("q_pipe", "FROM customer |> WHERE c_acctbal > 0 |> AGGREGATE count(*) AS n GROUP BY c_nationkey |> WHERE n > 2", "SELECT c_nationkey, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_nationkey HAVING count(*) > 2")
 both("q_lateral_alias", "SELECT l_orderkey, l_linenumber, l_quantity * 2 AS twice, twice + 1 AS more FROM lineitem")
-both("q_range_rows", "SELECT id AS k, id * id AS square FROM range(1000)", "SELECT range AS k, range * range AS square FROM range(1000)")
+both(
+    "q_range_rows",
+    "SELECT id AS hour, count(event_id) AS n FROM range(24) LEFT JOIN events ON hour(ts) = id AND event_type = 'signup' GROUP BY id",
+    "SELECT range AS hour, count(event_id) AS n FROM range(24) LEFT JOIN events ON hour(ts) = range AND event_type = 'signup' GROUP BY range",
+)
 
 # forced join strategies: the same rows from each
 _JOINED = "o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 100000"
@@ -45,7 +49,7 @@ both("q_hll_sketch", _NEAR.format("hll_sketch_estimate(hll_sketch_agg(l_partkey,
 both("q_theta_sketch", _NEAR.format("theta_sketch_estimate(theta_sketch_agg(l_partkey, 14))"), _TRUE)
 both("q_approx_percentile", "SELECT l_returnflag, abs(approx_percentile(l_extendedprice, 0.5, 10000) - median(l_extendedprice)) <= 0.02 * median(l_extendedprice) AS near FROM lineitem GROUP BY l_returnflag", _TRUE)
 both("q_kll_sketch", "SELECT l_returnflag, abs(kll_sketch_get_quantile_double(kll_sketch_agg_double(l_extendedprice), 0.5) - median(l_extendedprice)) <= 0.1 * median(l_extendedprice) AS near FROM lineitem GROUP BY l_returnflag", _TRUE)
-both("q_approx_top", "SELECT size(approx_top_k(l_linenumber, 3, 100)) AS n FROM lineitem", "SELECT 3 AS n")
+both("q_approx_top", "SELECT t.item AS l_linenumber, t.count AS n FROM (SELECT explode(approx_top_k(l_linenumber, 3, 100)) AS t FROM lineitem)", "SELECT l_linenumber, count(*) AS n FROM lineitem GROUP BY l_linenumber ORDER BY n DESC LIMIT 3")
 
 # frames that Spark has no words for, by rewriting
 both(
@@ -88,12 +92,15 @@ def q_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True).select("k", "name", "balance")
 
 
-@built("SELECT true AS near")
+@built("SELECT l_returnflag, count(*) AS n, true AS near, true AS from_table FROM lineitem GROUP BY l_returnflag")
 def q_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth of the rows, within ten standard deviations."""
-    lines = table(spark, sf_dir, "lineitem")
-    some, total = lines.sample(0.1, seed=7).agg(F.count("*").alias("n")), lines.agg(F.count("*").alias("whole"))
-    return some.crossJoin(total).selectExpr("abs(n - 0.1 * whole) <= 10 * sqrt(0.09 * whole) as near")
+    """A tenth of the rows: for each flag the table's rows, whether the sample has a tenth of them within ten standard deviations, and whether it has nothing else."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
+    keys = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"]
+    some = lines.sample(0.1, seed=7).groupBy(*keys).agg(F.count("*").alias("taken"))
+    both_ = lines.groupBy(*keys).agg(F.count("*").alias("there")).join(some, keys, "full")
+    sums = both_.groupBy("l_returnflag").agg(F.sum("there").alias("n"), F.sum("taken").alias("k"), F.bool_and(F.coalesce("taken", F.lit(0)) <= F.coalesce("there", F.lit(0))).alias("from_table"))
+    return sums.selectExpr("l_returnflag", "n", "abs(k - 0.1 * n) <= 10 * sqrt(0.09 * n) as near", "from_table")
 
 
 both("q_word_count", "SELECT w, count(*) AS n FROM (SELECT explode(split(lower(text), ' ')) AS w FROM documents) GROUP BY w", "SELECT w, count(*) AS n FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM documents) GROUP BY w")
@@ -167,10 +174,13 @@ def q_cogrouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return udfs.sizes(a, b, "k").withColumn("key", F.col("key").cast("int"))
 
 
-@built("SELECT range AS k, range * range AS square FROM range(500)")
+@built("SELECT c_custkey, c_custkey * c_custkey AS square FROM customer")
 def q_custom_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a connector, as many as the customers, beside these."""
     ship(spark)
-    return squares(spark, 500)
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    made = squares(spark, customers.agg(F.max("c_custkey")).first()[0] + 1)
+    return customers.join(made, F.col("c_custkey") == F.col("k")).select("c_custkey", "square")
 
 
 # streams, run to their end
@@ -194,3 +204,9 @@ def q_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = windows.to_files(windows.running_totals(windows.event_stream(spark, sf_dir)), "stream-state", "update")
     last = changes.groupBy("user_id").agg(F.max(F.struct("batch", "n", "total")).alias("s"))
     return last.select("user_id", "s.n", F.round("s.total", 2).alias("total"))
+
+
+@built("SELECT time_bucket(INTERVAL 30 MINUTES, ts) - k * INTERVAL 30 MINUTES AS window_start, event_type, count(*) AS n FROM events, (VALUES (0), (1)) v(k) GROUP BY ALL")
+def q_stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = windows.event_stream(spark, sf_dir).groupBy(F.window("ts", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count("*").alias("n"))
+    return windows.to_files(counts.select(F.col("w.start").alias("window_start"), "event_type", "n"), "stream-sliding", "complete").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
