@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnwheel.operators import exact, ordered, recursive, sketches
 from tarnwheel.plans.registry import built
 from tarnwheel.session import scratch, ship
-from tarnwheel.sources import bucketed
+from tarnwheel.sources import bucketed, filestream
 from tarnwheel.sources.tables import table
 from tarnwheel.streaming import stateful, windows
 
@@ -92,3 +92,17 @@ def q_stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     found = stateful.run_sessions(windows.event_stream(spark, sf_dir), "30 minutes")
     return found.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")
+
+
+@built("SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders")
+def q_file_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders streamed through the library's own connector into files that its manifests commit, and read back."""
+    ship(spark)
+    kind, target = filestream.register(spark), scratch(spark, "connector")
+    schema = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice").schema
+    stream = spark.readStream.format(kind).schema(schema).option("path", f"{sf_dir}/orders.parquet").load()
+    query = stream.writeStream.format(kind).option("path", target).option("checkpointLocation", scratch(spark, "connector-offsets")).start()
+    query.processAllAvailable()
+    query.stop()
+    found = spark.read.format(kind).schema(schema).option("path", target).load()
+    return found.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
