@@ -104,7 +104,8 @@ def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, held: Held) -> D
     likely = held(pairs.join(one, "a").join(two, "b").where(agree >= LIKELY).select("a", "b"), "likely")
     asked = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     wanted = nodes.join(asked, "node", "left_semi").select("node", "row")
-    made = texts.join(_small(wanted, 40), "row").withColumn("found", shingles(F.col("text")))
+    # the id keeps the filter from being pushed below, where it would make each set a second time
+    made = texts.join(_small(wanted, 40), "row").select("node", shingles(F.col("text")).alias("found"), F.monotonically_increasing_id().alias("_id"))
     sets = held(made.where(F.unhex(F.md5(F.col("found").cast("string"))) == F.col("node")).select("node", "found").dropDuplicates(["node"]), "sets")
     both = likely.join(sets.toDF("a", "fa"), "a").join(sets.toDF("b", "fb"), "b")
     shared = F.size(F.array_intersect("fa", "fb"))
