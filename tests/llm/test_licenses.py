@@ -30,7 +30,23 @@ def test_telling_words_decide():
     assert {r[2] for r in licenses.scan("Licensed under CC BY-NC 4.0.")} == {"CC-BY-NC-4.0"}
     assert {r[2] for r in licenses.scan("Licensed under CC BY 4.0. Released under the MIT License.")} == {"CC-BY-4.0", "MIT"}
     assert {r[2] for r in licenses.scan("This work is licensed under the GNU General Public License, version 2.")} == {"GPL-2.0"}
-    assert licenses.scan("Licensed under the Apache License, Version 1.1.") == []
+    assert {r[2] for r in licenses.scan("Licensed under the Apache License, Version 1.1.")} == {"Apache-1.1"}
+    assert licenses.scan("Licensed under the Apache License, Version 1.3.") == []
+
+
+def test_expressions_titles_and_longer_names():
+    def found(text):
+        return sorted({r[2] for r in licenses.scan(f"// {text}\nint main")})
+
+    head = "SPDX-License-Identifier: "
+    assert found(head + "BSD-3-Clause-Clear") == ["BSD-3-Clause-Clear"]
+    assert found(head + "BSD-3-Clause-Modification") == []
+    assert found(head + "MIT OR Apache-2.0") == ["Apache-2.0", "MIT"]
+    assert found(head + "(MIT AND (GPL-2.0-only WITH Classpath-exception-2.0))") == ["GPL-2.0", "MIT"]
+    assert found(head + "GPL-3.0-or-later") == ["GPL-3.0"] and found(head + "mit") == ["MIT"]
+    titles = {"Apache License Version 2.0, January 2004": "Apache-2.0", "Apache License 2.0": "Apache-2.0", "MIT License": "MIT", "The MIT License (MIT)": "MIT", "Boost Software License - Version 1.0": "BSL-1.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1": "LGPL-2.1", head + "LGPL-2.1-only": "LGPL-2.1", head + "EPL-2.0": "EPL-2.0", "Licensed under the EUPL, Version 1.2": "EUPL-1.2"}
+    for text, name in titles.items():
+        assert found(text) == [name], text
 
 
 def test_clean_texts_have_none(spark):
@@ -73,7 +89,7 @@ def test_every_wording_is_found_in_any_length_among_other_hits():
                 assert name in {r[2] for r in licenses.scan(f"{prose(rng, n)} {text} {prose(rng, n)}")}, (name, text, n)
             assert name in {r[2] for r in licenses.scan(f"{hits} {text} {hits}")}, (name, text)
             assert name in {r[2] for r in licenses.scan(f"{'x' * 9000} {text} {'y' * 9000}")}, (name, text)
-            half = text.index(" ", len(text) // 2)
+            half = max(text.find(" ", len(text) // 2), text.index(" "))
             lines = [prose(rng, 400), prose(rng, 400), text[:half], text[half + 1 :], prose(rng, 400)]
             assert name in {r[2] for r in licenses.scan("\n".join(lines))}, (name, text)
 
