@@ -27,7 +27,9 @@ _TOKEN = re.compile(
     r"|<[a-z][^>]*+\Z",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-label|aria-hidden|hidden|itemprop|type)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: The mark of an element that isn't shown; no word of a class can be it.
+GONE = "-hidden"
 _PART = re.compile(r"[a-z]+|\d+", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -48,12 +50,13 @@ class Element:
 class Around:
     """The elements around a block: their distinct tags and marks, the last three that have any kind, and their number."""
 
-    __slots__ = ("control", "depth", "outer", "said", "tag")
+    __slots__ = ("control", "depth", "gone", "outer", "said", "tag")
 
     def __init__(self, tag: str, said: tuple[str, ...], outer: Around | None):
         self.tag, self.outer, self.said = tag, outer, said
         self.depth = (outer.depth if outer else 0) + (tag not in ("html", "body", ""))
         self.control = tag in CONTROLS or bool(outer and outer.control)
+        self.gone = GONE in said or bool(outer and outer.gone)
 
 
 class Leaf(NamedTuple):
@@ -67,7 +70,9 @@ def marks(rest: str) -> tuple[str, ...]:
     found: list[str] = []
     for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
+        if name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
+            found.append(GONE)
+        elif name == "aria-hidden" and value.lower() == "true":
             found.append("hidden")
         elif name in ("class", "id", "role", "itemprop", "aria-label"):
             for part in _PART.findall(_CAMEL.sub(" ", value)):
@@ -108,6 +113,8 @@ def leaves(page: str) -> list[Leaf]:
 
     def add(piece: str) -> None:
         nonlocal linked
+        if around().gone:  # nobody sees it
+            return
         piece = html.unescape(piece) if "&" in piece else piece
         parts.append(piece)
         if open_["a"]:

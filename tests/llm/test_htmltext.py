@@ -117,3 +117,10 @@ def test_deep_pages_take_time_in_proportion(field):
 def test_form_controls_go_and_formulas_stay(field):
     page = "<body><article><h1>A title of words</h1><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding=tex>x+1</annotation></math> is known to all readers of this.</p><textarea>Write here</textarea><button>Send it now</button><select><option>One<option>Two</select><p>This is the second paragraph.</p></article></body>"
     assert h.text_of(page, field) == "A title of words\nThe sum x+1 is known to all readers of this.\nThis is the second paragraph."
+
+
+def test_what_is_not_shown_goes(field):
+    page = """<body><article><h1>A title of words</h1><p>The first paragraph has <span hidden>some secret </span>words to read, and goes on a little.</p>
+    <div style="color:red; display: none"><p>Nobody sees this paragraph, which is as long as others are here.</p></div><p hidden>Nor this one, which is as long as others are.</p>
+    <p title="the hidden truth" data-state="hidden" class="overflow-hidden">The second paragraph is there for all to see and read.</p></article></body>"""
+    assert h.text_of(page, field) == "A title of words\nThe first paragraph has words to read, and goes on a little.\nThe second paragraph is there for all to see and read."
