@@ -7,6 +7,7 @@ points; a text with any other character, or with a special token's string, goes
 
 from __future__ import annotations
 
+import os
 import sys
 import unicodedata
 from functools import cache
@@ -69,6 +70,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and each thread would keep memory of its own
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keys = None
