@@ -18,14 +18,15 @@ def vowels() -> object:
     return F.udf(count, "long", useArrow=True)
 
 
-def scaled(value: Column, factor: float) -> Column:
-    """A vectorised function: a whole Arrow batch at once, with its factor known to the function."""
+def unaccented(value: Column) -> Column:
+    """A vectorised function, a whole Arrow batch at once: letters without their accents and other marks."""
 
-    @F.pandas_udf("double")
-    def times(values: pd.Series) -> pd.Series:
-        return values * factor
+    @F.pandas_udf("string")
+    def strip(values: pd.Series) -> pd.Series:
+        whole = values.str.normalize("NFD").str.replace("[\u0300-\u036f]", "", regex=True)
+        return whole.str.normalize("NFC")
 
-    return times(value)
+    return strip(value)
 
 
 def buffered(value: Column) -> Column:
@@ -40,12 +41,12 @@ def buffered(value: Column) -> Column:
     return lengths(value)
 
 
-def spread() -> object:
-    """An aggregate from a series to one value: greatest less least."""
+def deviation() -> object:
+    """An aggregate from a series to one value: the median distance from the median. A group has to fit one task."""
 
     @F.pandas_udf("double")
     def of(values: pd.Series) -> float:
-        return float(values.max() - values.min())
+        return float((values - values.median()).abs().median())
 
     return of
 
@@ -61,15 +62,15 @@ def digits() -> object:
     return F.udtf(Digits, returnType="place int, digit int", useArrow=True)
 
 
-def running_best(df: DataFrame, by: str, order: str, value: str) -> DataFrame:
-    """A grouped map: each group's rows in order, with the best value so far. A group has to fit one task."""
+def smoothed(df: DataFrame, by: str, order: str, value: str, weight: float) -> DataFrame:
+    """A grouped map: each group's rows in order, with the exponentially smoothed value so far. A group has to fit one task."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order)
-        return group.assign(best=group[value].cummax())
+        return group.assign(smooth=group[value].ewm(alpha=weight, adjust=False).mean())
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy(by).applyInPandas(run, f"{fields}, best double")
+    return df.groupBy(by).applyInPandas(run, f"{fields}, smooth double")
 
 
 def sizes(left: DataFrame, right: DataFrame, by: str) -> DataFrame:

@@ -15,11 +15,19 @@ def top_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFram
 
 
 def salted_join(large: DataFrame, other: DataFrame, on: list[str], how: str = "inner", salts: int = 16) -> DataFrame:
-    """An inner or left join whose hot keys are spread over `salts` tasks; other's rows are copied as often."""
+    """A join from the left whose hot keys are spread over `salts` tasks; other's rows of those keys are copied as often.
+
+    Hot is a key with over a quarter of a partition's share of large's rows, so there are four a partition at most, which
+    is what is broadcast. All other keys are joined as they are, once.
+    """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} can't be salted on the left")
-    dealt = large.withColumn("_salt", F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int"))
-    copied = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    share = large.count() / (4 * int(large.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = F.broadcast(large.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > share).select(*on, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.floor(F.rand(7) * salts).cast("int")).otherwise(0)
+    each = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = large.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
+    copied = other.join(hot, on, "left").withColumn("_salt", F.explode(each)).drop("_hot")
     return dealt.join(copied, [*on, "_salt"], how).drop("_salt")
 
 

@@ -135,10 +135,10 @@ def q_udf_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", count(F.concat("c_mktsegment", F.lower("c_mktsegment"))).alias("n"))
 
 
-@built("SELECT p_partkey, p_size * 2.5::DOUBLE AS x FROM part")
+@built("SELECT doc_id, md5(strip_accents(text)) AS plain_md5 FROM documents")
 def q_pandas_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return table(spark, sf_dir, "part").select("p_partkey", udfs.scaled(F.col("p_size").cast("double"), 2.5).alias("x"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(udfs.unaccented(F.col("text"))).alias("plain_md5"))
 
 
 @built("SELECT c_custkey, len(regexp_replace(c_name, '[0-9]', '', 'g'))::BIGINT AS n FROM customer")
@@ -147,10 +147,10 @@ def q_pandas_udf_iterator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", udfs.buffered(F.col("c_name")).alias("n"))
 
 
-@built("SELECT l_returnflag, max(l_quantity) - min(l_quantity) AS spread FROM lineitem GROUP BY l_returnflag")
+@built("SELECT l_suppkey, mad(l_quantity) AS deviation FROM lineitem GROUP BY l_suppkey")
 def q_udaf(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(udfs.spread()("l_quantity").alias("spread"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(udfs.deviation()("l_quantity").alias("deviation"))
 
 
 @built("SELECT s_suppkey, place::INT AS place, substr(reverse(s_suppkey::VARCHAR), place + 1, 1)::INT AS digit FROM (SELECT s_suppkey, unnest(range(0, len(s_suppkey::VARCHAR))) AS place FROM supplier)")
@@ -160,10 +160,15 @@ def q_udtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.lateralJoin(digits(F.col("s_suppkey").outer()))
 
 
-@built("SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS best FROM events")
+@built("""
+WITH RECURSIVE e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+s(user_id, event_id, k, smooth) AS (SELECT user_id, event_id, k, value FROM e WHERE k = 1 UNION ALL SELECT e.user_id, e.event_id, e.k, 0.8 * s.smooth + 0.2 * e.value FROM s JOIN e ON e.user_id = s.user_id AND e.k = s.k + 1)
+SELECT event_id, round(smooth::DOUBLE, 6) AS smooth FROM s
+""")
 def q_grouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return udfs.running_best(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value").select("event_id", "best")
+    found = udfs.smoothed(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value", 0.2)
+    return found.select("event_id", F.round("smooth", 6).alias("smooth"))
 
 
 @built("SELECT k AS key, coalesce(a, 0)::BIGINT AS n_left, coalesce(b, 0)::BIGINT AS n_right FROM (SELECT c_nationkey AS k, count(*) AS a FROM customer GROUP BY 1) FULL JOIN (SELECT s_nationkey AS k, count(*) AS b FROM supplier GROUP BY 1) USING (k)")
