@@ -66,16 +66,16 @@ QUALIFY row_number() OVER (PARTITION BY month ORDER BY n DESC, l_partkey) <= 5
 def q_stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each month's five most shipped parts with their true counts, and whether the months' sketches, rolled up from stored ones of days, hold to their bound."""
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("day"))
-    path = scratch(spark, "count-min")
-    sketches.count_min(lines, [F.col("day")], F.col("l_partkey")).write.parquet(path)
+    path, size = scratch(spark, "count-min"), (4096, 8)  # a part in 3000 may be over the bound, at the very most
+    sketches.count_min(lines, [F.col("day")], F.col("l_partkey"), *size).write.parquet(path)
     month = F.date_trunc("month", "day").cast("timestamp_ntz").alias("month")
     stored = spark.read.parquet(path).select(month, "depth", "cell", "n")
     counts = lines.groupBy(month, "l_partkey").agg(F.count("*").alias("n"))
     top = counts.withColumn("k", F.expr("row_number() over (partition by month order by n desc, l_partkey)")).where("k <= 5")
     sizes = counts.groupBy("month").agg(F.sum("n").alias("rows"))
-    found = sketches.estimates(sketches.rolled_up(stored, ["month"]), top, "l_partkey", ["month"])
+    found = sketches.estimates(sketches.rolled_up(stored, ["month"]), top, "l_partkey", ["month"], *size)
     told = top.join(found, ["month", "l_partkey"]).join(sizes, "month")
-    within = (F.col("estimate") >= F.col("n")) & (F.col("estimate") - F.col("n") <= sketches.error_bound(F.col("rows")))
+    within = (F.col("estimate") >= F.col("n")) & (F.col("estimate") - F.col("n") <= sketches.error_bound(F.col("rows"), size[0]))
     return told.select("month", "l_partkey", "n", within.alias("within"))
 
 
