@@ -215,3 +215,10 @@ def q_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = windows.event_stream(spark, sf_dir).groupBy(F.window("ts", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count("*").alias("n"))
     return windows.to_files(counts.select(F.col("w.start").alias("window_start"), "event_type", "n"), "stream-sliding", "complete").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@built("SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that a stream has, deduplicated within its watermark; the table is one batch, so each key comes once."""
+    seen = windows.first_seen(windows.event_stream(spark, sf_dir).select("user_id", "event_type", "ts"), ("user_id", "event_type"))
+    return windows.to_files(seen.select("user_id", "event_type"), "stream-distinct")
