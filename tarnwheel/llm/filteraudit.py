@@ -14,12 +14,13 @@ E the text of some smaller id, table-wide.
 
 Defined results: a null text is an empty one, a null part an empty string; a null id is the least of all, and rows of one
 id are no copies of each other; a document has a label if any row of `labels` with its id has; labels of null ids count
-for nothing; repeated rows count each; very long texts are held whole, one copy for each different one; an empty table
+for nothing; repeated rows count each; a very long text is held whole, once for each task that has it, and its words are counted in slices; an empty table
 gives no rows; ids have any type that can be compared; other columns don't matter.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import permutations
@@ -35,16 +36,28 @@ ORDERS = ["".join(p) for p in permutations(FILTERS)]
 BIT = {f: 1 << k for k, f in enumerate(FILTERS)}
 MASKS = 1 << len(FILTERS)
 CAPITALS, MARKS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
+#: Bytes of a text that are taken apart at once.
+SLICE = 1 << 20
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
 #: Text that a task holds in chains before it sends them on, and that a receiving task should get.
 HELD = 32 << 20
 
 
 def mask(text: str) -> int:
-    """The bits of A to D."""
+    """The bits of A to D; words are counted in slices, so that memory follows the different ones."""
     data = text.encode()
-    words = data.split()  # of bytes: at \x20 and \x09-\x0D
-    capitals = len(data) - len(data.translate(None, CAPITALS))
-    fails = (len(words) < 200, 2 * len(set(words)) < len(words), 100 * capitals > 3 * len(text), any(m in data for m in MARKS))
+    n, words, at = 0, set(), 0
+    while at < len(data):
+        stop = at + SLICE
+        if stop < len(data):  # on to the end of the word
+            white = _WHITE.search(data, stop)
+            stop = white.start() if white else len(data)
+        some = data[at:stop].split()  # of bytes: at \x20 and \x09-\x0D
+        n += len(some)
+        words.update(some)
+        at = stop
+    capitals = sum(len(x) - len(x.translate(None, CAPITALS)) for x in (data[k : k + SLICE] for k in range(0, len(data), SLICE)))
+    fails = (n < 200, 2 * len(words) < n, 100 * capitals > 3 * len(text), any(m in data for m in MARKS))
     return sum(BIT[f] for f, x in zip(FILTERS, fails, strict=False) if x)
 
 

@@ -20,8 +20,8 @@ occurrences or more take part.
 Words of one block of text are told apart by a 64-bit hash (`textarrays.range_hashes`: two fall together by chance alone,
 2**-57 for each pair); everywhere else by themselves.
 
-Defined results: a null text has no words, a null id is an empty string before the colon; repeated rows count each; very
-long texts are cut into blocks by rows only, a word of any length is one word; ties as above; an empty table gives no
+Defined results: a null text has no words, a null id is an empty string before the colon; repeated rows count each; a very
+long text is counted in slices of half a megabyte, a word of any length is one word; ties as above; an empty table gives no
 rows; ids have any type with a string form; other columns don't matter.
 """
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwheel.llm.textarrays import LOWER, Block, blocks, owners, range_hashes
+from tarnwheel.llm.textarrays import BLOCK, LOWER, Block, blocks, owners, range_hashes
 from tarnwheel.session import Held
 
 SIZE, LEAST, DAMAGE = 5, 3, 97
@@ -83,6 +83,21 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, owners(firsts)
 
 
+def slices(data: np.ndarray, size: int = BLOCK) -> Iterator[np.ndarray]:
+    """One text in slices of about `size` bytes, cut where no run of letters is."""
+    at = 0
+    while at < len(data):
+        stop = min(at + size, len(data))
+        while stop < len(data):
+            some = data[stop : stop + size]
+            free = np.flatnonzero((some < 128) & _OTHER[some])
+            stop += int(free[0]) if len(free) else len(some)
+            if len(free):
+                break
+        yield data[at:stop]
+        at = stop
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id as text, text) to (word, n), summed for some batches."""
     found: Counter[bytes] = Counter()
@@ -94,10 +109,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for a, b, data, offsets in blocks(batch.column(1)):
-            count(LOWER[data], offsets, ids[a:b], found)
-            if len(found) > SUMMED:
-                yield out()
-                found.clear()
+            parts = [(data, offsets)] if b > a + 1 else ((x, np.array([0, len(x)])) for x in slices(data))
+            for part, edges in parts:
+                count(LOWER[part], edges, ids[a:b], found)
+                if len(found) > SUMMED:
+                    yield out()
+                    found.clear()
     if found:
         yield out()
 

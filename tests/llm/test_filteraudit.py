@@ -95,6 +95,14 @@ def test_texts_that_share_a_fingerprint_stay_apart():
     assert sorted((e[0], e[1], e[2].total()) for _, e in chains.drain()) == [("a", 2, 2), ("b", 3, 1)]
 
 
+@pytest.mark.parametrize("size", [1, 7, 200])
+def test_masks_in_slices(monkeypatch, size):
+    texts = [t or "" for _, t, _ in odd()[0]] + ["aA " * 300, "x" * 50 + " b" * 250]
+    want = [f.mask(t) for t in texts]
+    monkeypatch.setattr(f, "SLICE", size)
+    assert [f.mask(t) for t in texts] == want
+
+
 def test_string_ids_and_empty_tables(spark):
     rows, labels = odd()
     rows = [(k if k is None else f"{k:03d}", t, p) for k, t, p in rows]

@@ -106,6 +106,19 @@ def test_checksums_and_runs():
     assert s.checksums(data, starts, ends, before).tolist() == [zlib.crc32(b"12:" + data[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
 
 
+def test_a_long_text_in_slices():
+    text = " ".join(misspelt(2, 40)) + "é" * 400 + "-x"
+    data = np.frombuffer(text.encode(), np.uint8)
+    for size in (7, 100, 10**6):
+        whole, parts = Counter(), Counter()
+        s.count(s.LOWER[data], np.array([0, len(data)]), ["4"], whole)
+        pieces = list(s.slices(data, size))
+        assert np.array_equal(np.concatenate(pieces), data)
+        for x in pieces:
+            s.count(s.LOWER[x], np.array([0, len(x)]), ["4"], parts)
+        assert whole == parts and len(whole) > 20
+
+
 def test_empty_null_ids_and_string_ids(spark):
     assert s.variants(empty(spark)).collect() == []
     rows = [(None if k % 7 == 0 else f"d{k}", t) for k, t in enumerate(misspelt(9, 20))]
