@@ -1,7 +1,8 @@
 """Stateful processors with several state variables, timers and time to live, on the RocksDB state store.
 
-`closed_sessions` keeps each key's open sessions in a list and the number of closed ones in a value; an event-time timer
-fires when the watermark passes a session's end, and closes it. `open_sessions` reads what is still open from the
+`closed_sessions` deals keys into BUCKETS, and keeps a bucket's open sessions and its keys' numbers of closed ones in lists;
+an event-time timer fires when the watermark passes the earliest end in a bucket, and closes all that is over. So calls to the
+state store go with the buckets of a batch, not with its sessions. `open_sessions` reads what is still open from the
 checkpoint by the state data source, so a stream that was run to its end loses nothing. `first_in` keeps a mark with a time to
 live for each key, in processing time, which is where Spark has it.
 
@@ -24,51 +25,59 @@ from tarnwheel.session import scratch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State keys of `closed_sessions`; a checkpoint goes with the number it was made with.
+BUCKETS = 1024
 
 
 class _Sessions(StatefulProcessor):
-    """Times are whole microseconds; `open` has (first, last, n) of each open session, apart by `gap` or more."""
+    """One bucket of keys. Times are whole microseconds; `open` has (id, first, last, n) of each open session, a key's apart by
+    `gap` or more; `closed` has each key's number of closed ones. One timer stands, for the bucket's earliest end."""
 
-    def __init__(self, key: str, gap: int):
-        self.key, self.gap = key, gap
+    def __init__(self, key: str, kind: str, gap: int):
+        self.key, self.kind, self.gap = key, kind, gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "first long, last long, n long")
-        self.closed = handle.getValueState("closed", "n long")
+        self.open = handle.getListState("open", f"id {self.kind}, first long, last long, n long")
+        self.closed = handle.getListState("closed", f"id {self.kind}, n long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = np.concatenate([batch["at"].to_numpy(np.int64) for batch in rows])
-        found = [(int(a), int(b), int(n)) for a, b, n in self.open.get()]
-        ends = {self._timer(last) for _, last, _ in found}
-        first = np.concatenate([seen, np.array([x[0] for x in found], np.int64)])
-        last = np.concatenate([seen, np.array([x[1] for x in found], np.int64)])
-        n = np.concatenate([np.ones(len(seen), np.int64), np.array([x[2] for x in found], np.int64)])
-        order = np.argsort(first, kind="stable")
-        first, last, n = first[order], np.maximum.accumulate(last[order]), n[order]
-        new = np.flatnonzero(np.concatenate([[True], first[1:] - last[:-1] >= self.gap]))
-        now = list(zip(first[new].tolist(), last[np.append(new[1:], len(last)) - 1].tolist(), np.add.reduceat(n, new).tolist(), strict=True))
-        self.open.put(now)
-        due = {self._timer(x[1]) for x in now}
-        for t in ends - due:
-            self.handle.deleteTimer(t)
-        for t in due - ends:
-            self.handle.registerTimer(t)
+        found = list(self.open.get())
+        old = pd.DataFrame(found, columns=["id", "first", "last", "n"])
+        seen = [pd.DataFrame({"id": batch[self.key], "first": batch["at"], "last": batch["at"], "n": 1}) for batch in rows]
+        both = pd.concat([*([old] if found else []), *seen], ignore_index=True)
+        code = pd.factorize(both["id"], use_na_sentinel=False)[0]
+        order = np.lexsort((both["first"].to_numpy(np.int64), code))
+        both, code = both.iloc[order], code[order]
+        first, n = both["first"].to_numpy(np.int64), both["n"].to_numpy(np.int64)
+        last = both["last"].astype(np.int64).groupby(code).cummax().to_numpy()
+        new = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (first[1:] - last[:-1] >= self.gap)]))
+        ends = last[np.append(new[1:], len(last)) - 1]
+        self.open.put(list(zip(both["id"].iloc[new].tolist(), first[new].tolist(), ends.tolist(), np.add.reduceat(n, new).tolist(), strict=True)))
+        due, before = self._timer(int(ends.min())), self._timer(min(int(x[2]) for x in found)) if found else None
+        if due != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(due)
         yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        found = [(int(a), int(b), int(n)) for a, b, n in self.open.get()]
-        over = [x for x in found if x[1] + self.gap <= now]
-        left = [x for x in found if x[1] + self.gap > now]
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        over, left = [], []
+        for x in self.open.get():
+            (over if x[2] + self.gap <= now else left).append(x)
         if left:
             self.open.put(left)
+            self.handle.registerTimer(self._timer(min(int(x[2]) for x in left)))
         else:
             self.open.clear()
         if over:
-            before = int(self.closed.get()[0]) if self.closed.exists() else 0
-            self.closed.update((before + len(over),))
-            yield pd.DataFrame({self.key: [key[0]] * len(over), "first": [x[0] for x in over], "last": [x[1] for x in over], "n": [x[2] for x in over], "number": range(before + 1, before + len(over) + 1)})
+            counts, number = dict(self.closed.get()), []
+            for x in over:  # a key's sessions stand in the order of time
+                counts[x[0]] = counts.get(x[0], 0) + 1
+                number.append(counts[x[0]])
+            self.closed.put(list(counts.items()))
+            yield pd.DataFrame({self.key: [x[0] for x in over], "first": [x[1] for x in over], "last": [x[2] for x in over], "n": [x[3] for x in over], "number": number})
 
     def _timer(self, last: int) -> int:
         """The millisecond at or after a session's end."""
@@ -111,8 +120,8 @@ def closed_sessions(events: DataFrame, gap: str, late: str = "10 minutes", by: s
     """(by, first, last, n, number) of sessions as the watermark closes them; times in microseconds, number counts a key's closed ones."""
     _rocksdb(events.sparkSession)
     kind = events.schema[by].dataType.simpleString()
-    timed = events.where(F.col(by).isNotNull() & F.col(time).isNotNull()).select(by, F.col(time), F.unix_micros(time).alias("at")).withWatermark(time, late)
-    return timed.groupBy(by).transformWithStateInPandas(_Sessions(by, _micros(gap)), f"`{by}` {kind}, first long, last long, n long, number int", "Append", "EventTime")
+    timed = events.where(F.col(by).isNotNull() & F.col(time).isNotNull()).select(by, F.col(time), F.unix_micros(time).alias("at"), F.pmod(F.xxhash64(by), F.lit(BUCKETS)).alias("_bucket")).withWatermark(time, late)
+    return timed.groupBy("_bucket").transformWithStateInPandas(_Sessions(by, kind, _micros(gap)), f"`{by}` {kind}, first long, last long, n long, number int", "Append", "EventTime")
 
 
 def first_in(events: DataFrame, by: str, columns: list[str], ttl: str) -> DataFrame:
@@ -147,4 +156,5 @@ def run_sessions(events: DataFrame, gap: str, late: str = "10 minutes", by: str
 def open_sessions(spark: SparkSession, checkpoint: str, by: str = "user_id") -> DataFrame:
     """(by, first, last, n) of the sessions that a checkpoint holds open."""
     state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "open").load()
-    return state.select(F.col(f"key.{by}").alias(by), F.col("list_element.*")) if "list_element" in state.columns else state.select(F.col(f"key.{by}").alias(by), F.explode("list_value").alias("x")).select(by, "x.*")
+    x = F.col("list_element") if "list_element" in state.columns else F.explode("list_value")
+    return state.select(x.alias("x")).select(F.col("x.id").alias(by), "x.first", "x.last", "x.n")

@@ -61,3 +61,58 @@ def test_first_rows_with_time_to_live(spark):
         spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     got = sorted((r.user_id, int(r.ts.timestamp()) // 60 - BASE) for r in spark.read.parquet(path).collect())
     assert [u for u, _ in got] == [1, 2, 3] and got[1:] == [(2, 7), (3, 1)] and got[0][1] in (5, 9)
+
+
+class Calls:
+    """A state store of one key that counts what is asked of it."""
+
+    def __init__(self):
+        self.n, self.lists, self.timers = 0, {}, set()
+
+    def getListState(self, name, schema):
+        calls = self
+
+        class State:
+            def get(self):
+                calls.n += 1
+                return iter(calls.lists.get(name, []))
+
+            def put(self, rows):
+                calls.n += 1
+                calls.lists[name] = [tuple(x) for x in rows]
+
+            def clear(self):
+                calls.n += 1
+                calls.lists[name] = []
+
+        return State()
+
+    def registerTimer(self, t):
+        self.n += 1
+        self.timers.add(t)
+
+    def deleteTimer(self, t):
+        self.n += 1
+        self.timers.remove(t)
+
+
+def test_calls_of_state_do_not_go_with_sessions():
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    calls, minute = Calls(), 60_000_000
+    p = stateful._Sessions("user_id", "long", 30 * minute)
+    p.init(calls)
+    rows = [(u, k * 60 * minute) for u in (7, 5) for k in range(500)]
+    list(p.handleInputRows((1,), iter([pd.DataFrame(rows[k::3], columns=["user_id", "at"]) for k in range(3)]), None))
+    mark = 400 * 3_600_000 + 1
+    times = SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)
+    found = []
+    while calls.timers and min(calls.timers) <= mark:
+        due = min(calls.timers)
+        calls.timers.remove(due)
+        found += [tuple(r) for df in p.handleExpiredTimer((1,), times, SimpleNamespace(getExpiryTimeInMs=lambda: due)) for r in df.itertuples(index=False)]
+    assert sorted(found) == [(u, k * 60 * minute, k * 60 * minute, 1, k + 1) for u in (5, 7) for k in range(400)]
+    assert len(calls.lists["open"]) == 200 and calls.timers == {400 * 3_600_000 + 1_800_000}
+    assert calls.n < 12
