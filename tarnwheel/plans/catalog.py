@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwheel.functions.vectors import inner_product
-from tarnwheel.operators import relational, temporal
+from tarnwheel.operators import exactnearest, relational, temporal
 from tarnwheel.plans.registry import ORACLE, QUERIES, both, built
+from tarnwheel.session import ship
 from tarnwheel.sources.tables import table
 from tarnwheel.streaming import windows
 
@@ -139,7 +139,8 @@ def q_two_step_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten vectors nearest to each whose id is divisible by 20, among all others."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    found = relational.nearest(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", inner_product(F.col("asked_embedding"), F.col("embedding")), 10)
+    ship(spark)
+    found = exactnearest.nearest(vectors.where("vec_id % 20 = 0"), vectors, "vec_id", "embedding", 10)
     return found.select("asked", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
