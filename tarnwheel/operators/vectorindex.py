@@ -31,8 +31,8 @@ from tarnwheel.session import Held
 SAMPLE, LISTS, PARTS, CODES = 20_000, 4096, 8, 256
 RANKED, BLOCK = 200, 8192
 AIM, TRIED = 0.97, 400
-#: Distances that a task computes at once.
-AT_ONCE = 1 << 21
+#: Numbers of a step that a task has in memory at once, and queries that it gets at most.
+AT_ONCE, ASKED = 1 << 21, 8192
 
 
 @dataclass(frozen=True)
@@ -141,19 +141,28 @@ def _encoded(batches, index: Index):
 def _probed(batches, index: Index, probed: int):
     for batch in batches:
         if batch.num_rows:
-            lists = nearest_centres(_matrix(batch.column(1)), index.lists, min(probed, len(index.lists)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32()))], ["asked", "v", "lists"])
+            n = min(probed, len(index.lists))
+            for a in range(0, batch.num_rows, max(1, AT_ONCE // n)):
+                some = batch.slice(a, max(1, AT_ONCE // n))
+                lists = nearest_centres(_matrix(some.column(1)), index.lists, n).astype(np.int32)
+                ends = pa.array(np.arange(0, lists.size + 1, n, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.ListArray.from_arrays(ends, pa.array(lists.ravel()))], ["asked", "v", "lists"])
 
 
 def best_of(index: Index, stored: pa.Table, asked: pa.Table, most: int, ranked: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, row, similarity): for each query the `most` best rows of one list, of the `ranked` best by their codes."""
+    """(query, row, similarity): for each query the `most` best rows of one list, of the `ranked` best by their codes.
+
+    Queries go in steps, such that none of a step's arrays has over AT_ONCE numbers: distances to all rows, tables of
+    distances to codes, and the vectors of the rows that are ranked.
+    """
     x, q = _matrix(stored.column("v")), _matrix(asked.column("v"))
     of = int(stored.column("list")[0].as_py())
     codes = np.frombuffer(b"".join(stored.column("code").to_pylist()), np.uint8).reshape(len(x), -1)
     parts, _, width = index.codes.shape
     out = []
-    for a in range(0, len(q), max(1, AT_ONCE // len(x))):
-        some = q[a : a + max(1, AT_ONCE // len(x))]
+    step = max(1, AT_ONCE // max(len(x), index.codes.shape[0] * index.codes.shape[1], min(ranked, len(x)) * index.dim))
+    for a in range(0, len(q), step):
+        some = q[a : a + step]
         flat = np.zeros((len(some), parts * width), np.float32)
         flat[:, : index.dim] = some
         tables = np.einsum("qpw,pcw->qpc", flat.reshape(len(some), parts, width), index.codes)  # inner products with residuals' codes
@@ -188,8 +197,11 @@ def nearest(vectors: DataFrame, asked: DataFrame, k: int = 10, id_col: str = "ve
     queries = usable(asked)
     each = queries.groupBy("node").agg(F.first("v").alias("v")).select(F.col("node").alias("asked"), "v")
     probes = each.mapInArrow(lambda it: _probed(it, sent.value, probed or sent.value.probes), "asked binary, v array<float>, lists array<int>").select("asked", "v", F.explode("lists").alias("list"))
+    shares = max(1, -(-each.count() // ASKED))  # a block meets all queries in as many tasks
     probes = probes.join(F.broadcast(sizes), "list").select("asked", "v", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    probes = probes.withColumn("share", F.pmod(F.xxhash64("asked"), F.lit(shares)))
     stored = coded.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("blocks")
+    stored = stored.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)).cast("array<long>")))
 
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -198,7 +210,7 @@ def nearest(vectors: DataFrame, asked: DataFrame, k: int = 10, id_col: str = "ve
             q, r, s = best_of(sent.value, left, right, kept, ranked)
         return pa.table({"asked": right.column("asked").combine_chunks().take(pa.array(q)), "ids": left.column("ids").combine_chunks().take(pa.array(r)), "similarity": pa.array(s)})
 
-    found = stored.groupBy("list", "block").cogroup(probes.groupBy("list", "block")).applyInArrow(compared, f"asked binary, ids array<{kind}>, similarity double")
+    found = stored.groupBy("list", "block", "share").cogroup(probes.groupBy("list", "block", "share")).applyInArrow(compared, f"asked binary, ids array<{kind}>, similarity double")
     order = Window.partitionBy("asked").orderBy(F.desc("similarity"), "id")
     best = found.select("asked", F.explode("ids").alias("id"), "similarity").withColumn("place", F.row_number().over(order)).where(F.col("place") <= kept)
     best = held(best, "vector-best")

@@ -94,3 +94,30 @@ def test_odd_rows(spark):
     assert {a: [i for i, _ in r] for a, r in got.items()} == {5: [7, 4], 7: [5, 4], 4: [5, 7]}
     assert v.nearest(df.limit(0), df, 2).collect() == []
     assert v.nearest(df, df.limit(0), 2).collect() == []
+
+
+def test_memory_of_a_task_is_bounded(monkeypatch):
+    """Small lists had steps of so many queries that the ranked rows' vectors took gigabytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(v, "AT_ONCE", 1 << 16)
+    rng = np.random.default_rng(4)
+    x, q = rng.normal(size=(50, 64)).astype(np.float32), rng.normal(size=(4000, 64)).astype(np.float32)
+    index = v.Index(np.zeros((1, 64), np.float32), rng.normal(size=(8, 256, 8)).astype(np.float32), 1)
+    of, codes = index.encode(x)
+    vectors = lambda m: pa.array(list(m), pa.list_(pa.float32()))
+    stored = pa.table({"v": vectors(x), "list": pa.array(of.astype(np.int32)), "code": pa.array([c.tobytes() for c in codes], pa.binary())})
+    asked = pa.table({"v": vectors(q)})
+    tracemalloc.start()
+    i, j, s = v.best_of(index, stored, asked, 11, 200)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.sort(q.astype(np.float64) @ x.astype(np.float64).T, axis=1)[:, ::-1][:, :11]
+    assert len(i) == 44_000 and np.allclose(s.reshape(4000, 11), want) and top < 16e6
+    batch = pa.record_batch([pa.array([b"a"] * 4000, pa.binary()), vectors(q)], ["asked", "v"])
+    many = v.Index(rng.normal(size=(600, 64)).astype(np.float32), index.codes, 600)
+    out = list(v._probed(iter([batch]), many, 600))
+    assert sum(b.num_rows for b in out) == 4000 and all(len(b.column(2).flatten()) <= 1 << 16 for b in out)
+    assert sorted(out[-1].column(2)[-1].as_py()) == list(range(600))
