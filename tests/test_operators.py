@@ -113,3 +113,15 @@ def test_shared_folder_has_to_be_named_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_pairs_of_a_bucket_are_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(temporal, "PAIRS", 1000)
+    monkeypatch.setattr(temporal, "SHARES", 1)
+    points = spark.range(2000).select(F.col("id").alias("p"), (F.col("id") % 50).cast("double").alias("x"))
+    ranges = spark.range(60).select(F.col("id").alias("r"), F.col("id").cast("double").alias("a"), (F.col("id") + 3).cast("double").alias("b"))
+    joined = temporal.range_join(points, ranges, F.col("x"), F.col("a"), F.col("b"), 100.0)  # one bucket has all
+    want = sorted((p, r) for p in range(2000) for r in range(60) if r <= p % 50 <= r + 3)
+    assert sorted((r.p, r.r) for r in joined.collect()) == want
+    tasks = joined.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
+    assert len(tasks) > 40 and max(r["count"] for r in tasks) < len(want) / 10
