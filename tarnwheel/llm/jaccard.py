@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnwheel.llm.components import components
@@ -49,8 +49,8 @@ SHARE, LEAST_SHARED = 32, 3
 HOT_BITS = 22
 #: Most nodes and tokens of a part of a group (or of the queries to it), but for a part of one node.
 GROUP, TOKENS = 1024, 1 << 20
-#: A table is broadcast up to so many rows (of 40 bytes at most), the list of shared tokens up to fewer; beyond, both
-#: sides are shuffled.
+#: A table is broadcast up to so many rows (of 40 bytes at most), the list of key tokens in parts up to fewer; beyond,
+#: both sides are shuffled.
 MOST_ROWS, MOST_TOKENS = 500_000, 100_000
 NO_ID = -(1 << 63)
 #: Tokens that a task counts at once; beyond, the rarer half is forgotten.
@@ -225,7 +225,7 @@ def compared(own: list[bytes], others: list[bytes] | None, percent: int) -> tupl
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Enough of the links (a, b) to connect what they connect."""
+    """What the links (a, b) connect, as stars: each node with the least one of its component, which has no row."""
     root: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -234,34 +234,35 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    out = []
     for x, y in zip(a.tolist(), b.tolist(), strict=True):
         p, q = top(x), top(y)
         if p != q:
             root[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
+    return [(x, top(x)) for x in list(root) if top(x) != x]
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (gid, part, query, node, tokens) sorted by gid and part to links (a, b), group by group.
 
-    A group without queries is compared with itself; else its queries with its members.
+    A group without queries is compared with itself; else its queries with its members. Links come out as stars over
+    what a task holds at once, which spares rounds of joining them.
     """
     now, rows = None, ([], [])
     out: list[tuple[int, int]] = []
 
     def close() -> None:
         own, others = rows
+        node, other = (np.array([x for x, _ in side], np.int64) for side in rows)
         if len(own) > 1 and not others:
             a, b = compared([t for _, t in own], None, percent)
-            out.extend((own[x][0], own[y][0]) for x, y in forest(a, b))
+            out.extend(forest(node[a], node[b]))
         elif own and others:
             a, b = compared([t for _, t in own], [t for _, t in others], percent)
-            out.extend((others[x][0], own[y][0]) for x, y in forest(a + len(own), b) for x in [x - len(own)])
+            out.extend(forest(other[a], node[b]))
 
     def flush() -> pa.RecordBatch:
         table = np.array(out, np.int64).reshape(-1, 2)
+        table = np.array(forest(table[:, 0], table[:, 1]), np.int64).reshape(-1, 2)
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(table[:, 0]), pa.array(table[:, 1])], ["a", "b"])
 
@@ -316,13 +317,15 @@ def _roots(texts: DataFrame, rows: DataFrame, shingle: int, percent: int) -> Dat
     # of two different sets that link, the smaller lacks one token of the union at least (at 0.9: nine of ten)
     base = rows.where(F.col("n") >= -(-percent // max(1, 100 - percent)))
     large = base.groupBy("key").agg(_needed_parts().alias("parts")).where("parts > 1")
-    base = base.join(_small(held(large, "large-keys")), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce("parts", F.lit(1)))))
+    base = base.join(_small(held(large, "large-keys"), MOST_TOKENS), "key", "left").withColumn("gid", F.xxhash64("key", _slot(F.coalesce("parts", F.lit(1)))))
 
     member = base.select("gid", "node", "n", F.explode("prefix").alias("token"))
-    several = member.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
-    asked = held(member.join(_small(held(several, "shared-tokens"), MOST_TOKENS), "token", "left_semi").distinct(), "asked")
+    along = Window.partitionBy("token")  # prefixes are shuffled once, by token, for both: which are shared, and distinct rows
+    shared_ = member.withColumns({"_x": F.min("node").over(along), "_y": F.max("node").over(along)}).where("_x <> _y")
+    asked = held(shared_.select("gid", "node", "n", "token").distinct(), "asked")
     able = held(asked.groupBy("node", "gid", "n").agg(F.count("*").alias("c")).where(f"c >= {overlap(percent)}").select("node", "gid"), "able")
-    asked = asked.join(_small(able.select("node")), "node", "left_semi")
+    # both sides of the join below read one shuffle: without nulls, of which there are none, Spark filters neither by itself
+    asked = asked.join(_small(able.select("node")), "node", "left_semi").where("token is not null and gid is not null and n is not null and node is not null").repartition("token")
     matrix = asked.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.min("node") < F.max("node")).alias("twice"))
 
     q, g = asked.alias("q"), matrix.alias("g")

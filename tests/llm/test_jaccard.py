@@ -149,3 +149,30 @@ def test_null_and_equal_ids_are_not_multiplied(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert all(r.component_id is None for r in j.self_join(docs).collect())
     assert j.one_of_each(docs).count() == 60
+
+
+def test_prefixes_are_shuffled_once_for_each_use(spark, monkeypatch):
+    plans, plain_held = {}, j.Held.__call__
+
+    def seen(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain_held(self, df, name)
+
+    monkeypatch.setattr(j.Held, "__call__", seen)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        monkeypatch.setattr(j, "MOST_TOKENS", 0)
+        docs = documents(spark, near_texts(9))
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        assert sorted(tuple(r) for r in j.self_join(docs).collect()) == plain(rows, 5, 80)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plans["asked"].count("- Exchange hashpartitioning(token") == 1 and "shared-tokens" not in plans
+    assert plans["open-groups"].count("- Exchange hashpartitioning(token") == 1 and "ReusedExchange" in plans["open-groups"]
+
+
+def test_links_come_out_as_stars():
+    assert sorted(j.forest(np.array([5, 3, 8, 7]), np.array([9, 5, 7, 8]))) == [(5, 3), (8, 7), (9, 3)]
