@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tarnwheel.session import Held
 
 RANGE = "_range"
+#: Rows of a range in `ranks`, about: what a task sorts at once.
+ROWS = 1 << 18
 
 
 def ranged(df: DataFrame, order: list[str], held: Held, parts: int | None = None) -> DataFrame:
@@ -51,6 +53,44 @@ def running(df: DataFrame, order: list[str], sums: dict[str, str] | None = None,
     return own.select(*df.columns, number, *sums)
 
 
+def ranks(df: DataFrame, by: list[str], order: list[str], peers: list[str], tiles: int) -> DataFrame:
+    """df with rn and nt (row_number and ntile(tiles), by `order`) and rk, dr, cd, pr (rank, dense_rank, cume_dist and percent_rank, by `peers`) in each group `by`; a large group is many tasks.
+
+    Nulls come last, as in DuckDB. Rows are dealt once into ranges of about ROWS rows that are written in order, so a
+    row's number is where its range starts and its place there. Rows of equal peers are counted, and only the counts are
+    summed along. What is told to rows are a row a group and a row of each peers; Spark broadcasts it where it is small.
+    """
+    spark, held = df.sparkSession, Held(df.sparkSession)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS))
+    keys = [x for c in (*by, *order) for x in (F.col(c).isNull(), F.col(c))]
+    at = F.monotonically_increasing_id()  # the partition's number above 33 bits for the row in it
+    dealt = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_at", at)
+    rows = held(dealt.withColumn(RANGE, F.shiftright("_at", 33).cast("int")).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))), "ranks")
+    starts, n = [], 0
+    for r in sorted(rows.groupBy(RANGE).agg(F.count("*").alias("n")).collect(), key=lambda r: r[RANGE]):  # a row a range
+        starts.append((r[RANGE], n))
+        n += r["n"]
+    rows = rows.join(F.broadcast(spark.createDataFrame(starts, f"{RANGE} int, _start long")), RANGE)
+    rows = rows.withColumn("_at", F.col("_at") + F.col("_start") + 1)
+    groups = held(rows.groupBy(*by).agg(F.min("_at").alias("_first"), F.count("*").alias("_all")), "rank-groups")
+
+    counts = held(df.groupBy(*by, *peers).agg(F.count("*").alias("_peers")), "rank-peers")
+    flags = {f"_f{k}": F.col(c).isNull() for k, c in enumerate((*by, *peers))}
+    along = [x for pair in zip(flags, (*by, *peers), strict=True) for x in pair]
+    summed = running(counts.withColumns(flags), along, {"_upto": "_peers"}, "_number")
+    before = summed.groupBy(*by).agg(F.min("_number").alias("_low"), F.min("_upto").alias("_least"), F.min_by("_peers", "_number").alias("_own"))
+    same = lambda a, b, names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
+    peer = summed.alias("a").join(before.alias("b"), same("a", "b", by)).select("a.*", (F.col("_number") - F.col("_low") + 1).alias("dr"), (F.col("_upto") - F.col("_least") + F.col("_own")).alias("_last"))
+    peer = held(peer.select(*by, *peers, "dr", "_last", (F.col("_last") - F.col("_peers") + 1).alias("rk")), "rank-sums")
+
+    told = rows.alias("a").join(groups.alias("b"), same("a", "b", by)).select("a.*", (F.col("_at") - F.col("_first") + 1).alias("rn"), "_all")
+    told = told.alias("a").join(peer.alias("b"), same("a", "b", [*by, *peers])).select("a.*", "rk", "dr", "_last")
+    more, size = F.expr(f"_all % {tiles}"), F.expr(f"_all div {tiles}")  # so many tiles have a row more than size
+    tile = F.when(F.col("rn") <= more * (size + 1), F.floor((F.col("rn") - 1) / (size + 1))).otherwise(more + F.floor((F.col("rn") - 1 - more * (size + 1)) / F.nullif(size, F.lit(0)))) + 1
+    share = F.when(F.col("_all") > 1, (F.col("rk") - 1) / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    return told.select(*df.columns, "rn", "rk", "dr", tile.cast("long").alias("nt"), (F.col("_last") / F.col("_all")).alias("cd"), share.alias("pr"))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], time: str, take: list[str], prefix: str = "asof_", parts: int | None = None) -> DataFrame:
     """All rows of left with `take` of right's last row at or before their time, per key `by`; a hot key is many tasks.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwheel.operators import exactnearest, relational, temporal
+from tarnwheel.operators import exactnearest, ordered, relational, temporal
 from tarnwheel.plans.registry import ORACLE, QUERIES, both, built
 from tarnwheel.session import ship
 from tarnwheel.sources.tables import table
@@ -53,7 +53,16 @@ both("q_pivot", "SELECT * FROM (SELECT l_returnflag, l_linestatus FROM lineitem)
 both("q_unpivot", "SELECT p_partkey, k, v FROM (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price FROM part) UNPIVOT (v FOR k IN (size, price))", "SELECT p_partkey, 'size' AS k, p_size::DOUBLE AS v FROM part UNION ALL SELECT p_partkey, 'price', p_retailprice FROM part")
 
 # windows
-both("q_ranks", "SELECT o_orderkey, CAST(row_number() OVER w AS BIGINT) AS rn, CAST(rank() OVER p AS BIGINT) AS rk, CAST(dense_rank() OVER p AS BIGINT) AS dr, CAST(ntile(4) OVER w AS BIGINT) AS nt, cume_dist() OVER p AS cd, percent_rank() OVER p AS pr FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey), p AS (PARTITION BY o_orderstatus ORDER BY o_orderpriority)")
+
+
+@built("SELECT o_orderkey, CAST(row_number() OVER w AS BIGINT) AS rn, CAST(rank() OVER p AS BIGINT) AS rk, CAST(dense_rank() OVER p AS BIGINT) AS dr, CAST(ntile(4) OVER w AS BIGINT) AS nt, cume_dist() OVER p AS cd, percent_rank() OVER p AS pr FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice, o_orderkey), p AS (PARTITION BY o_orderstatus ORDER BY o_orderpriority)")
+def q_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks within the states of orders, each of which is many tasks."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    found = ordered.ranks(orders, ["o_orderstatus"], ["o_totalprice", "o_orderkey"], ["o_orderpriority"], 4)
+    return found.select("o_orderkey", "rn", "rk", "dr", "nt", "cd", "pr")
+
+
 both("q_lag_lead", "SELECT event_id, lag(value) OVER w AS before, lead(value, 2) OVER w AS after, first_value(value) OVER w AS first FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 both("q_rows_frame", "SELECT event_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS top FROM events")
 both("q_range_frame", "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW) AS n FROM events")

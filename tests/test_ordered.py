@@ -57,3 +57,18 @@ def test_one_key_with_all_rows_is_dealt_evenly(spark):
     assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[4]
     found = ordered.asof_join(rows, rows.where("t % 100 = 0"), ["k"], "t", ["id"], parts=8)
     assert found.where(F.col("asof_id") != F.col("id") - F.col("id") % 100).count() == 0 and found.count() == 20_000
+
+
+def test_ranks_of_large_groups_are_many_tasks(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(k, rng.choice(["a"] * 8 + ["b", None]), rng.choice([None, 1.0, 2.5, float("nan"), -3.0]), rng.choice(["x", "y", "z", None])) for k in range(700)] + [(701, "one", 1.0, "x"), (702, "two", None, None), (703, "two", 2.0, "y")]
+    df = spark.createDataFrame(rows, "k int, g string, p double, q string").repartition(5)
+    monkeypatch.setattr(ordered, "ROWS", 16)
+    window = "select k, row_number() over w rn, rank() over p rk, dense_rank() over p dr, ntile(4) over w nt, cume_dist() over p cd, percent_rank() over p pr from t window w as (partition by g order by p nulls last, k), p as (partition by g order by q nulls last)"
+    df.createOrReplaceTempView("t")
+    want = sorted(tuple(r) for r in spark.sql(window).collect())
+    got = ordered.ranks(df, ["g"], ["p", "k"], ["q"], 4)
+    assert sorted(tuple(r) for r in got.select("k", "rn", "rk", "dr", "nt", "cd", "pr").collect()) == want
+    files = [f for f in got.inputFiles() if "/ranks-" in f]
+    assert len(files) >= 40 and max(spark.read.parquet(f).count() for f in files) < 100
+    assert ordered.ranks(df.where("false"), ["g"], ["p", "k"], ["q"], 4).collect() == []
