@@ -70,7 +70,7 @@ def q_stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     sketches.count_min(lines, [F.col("day")], F.col("l_partkey"), *size).write.parquet(path)
     month = F.date_trunc("month", "day").cast("timestamp_ntz").alias("month")
     stored = spark.read.parquet(path).select(month, "depth", "cell", "n")
-    counts = lines.groupBy(month, "l_partkey").agg(F.count("*").alias("n"))
+    counts = sketches.counts(lines.select(month, "l_partkey"), ["month"], "l_partkey")
     top = counts.withColumn("k", F.expr("row_number() over (partition by month order by n desc, l_partkey)")).where("k <= 5")
     sizes = counts.groupBy("month").agg(F.sum("n").alias("rows"))
     found = sketches.estimates(sketches.rolled_up(stored, ["month"]), top, "l_partkey", ["month"], *size)
