@@ -26,7 +26,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], time: str, take:
 #: A range touches so many buckets of its level at most, and one more.
 FAN = 16
 #: Pairs that a share of a bucket compares, about; shares that a task has.
-PAIRS, SHARES = 1 << 24, 4
+PAIRS, SHARES = 1 << 22, 4
 
 
 def range_join(points: DataFrame, ranges: DataFrame, point: Column, start: Column, stop: Column, width: float) -> DataFrame:
