@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -6,6 +7,8 @@ import pytest
 
 from tarnwheel.llm import jaccard as j
 from tarnwheel.llm.components import components
+from tarnwheel.operators.components import _star
+from tarnwheel.session import Held
 
 from .common import LOWER, documents, empty, prose, words
 
@@ -92,6 +95,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_cost_few_tables_and_exchanges(spark):
+    """The driver plans each round anew: stars need none, and a round has a plan of its few shuffles."""
+    held = Held(spark)
+    stars = spark.createDataFrame([(k, -(k // 50) - 1) for k in range(1, 500)], "a long, b long")
+    assert components(stars, held).count() == 499 and len(held.tables) == 1
+    held.release()
+    path = held(spark.createDataFrame([(k + 1, k) for k in range(60)], "a long, b long"), "links")
+    assert {tuple(r) for r in components(path, held).collect()} == {(k + 1, 0) for k in range(60)}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _star(_star(path, True), False).distinct()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(re.findall(r"\bExchange\b", plan)) <= 8
+    held.release()
+
+
 def test_empty_and_null_ids(spark):
     assert j.self_join(empty(spark)).collect() == []
     docs = spark.createDataFrame([(None, "a b c d e"), (None, "x"), (7, "a b c d e"), (None, None)], "doc_id long, text string")
