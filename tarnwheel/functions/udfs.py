@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from unicodedata import normalize
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MARKS = re.compile("[\u0300-\u036f]")
+
 
 def vowels() -> object:
     """A scalar function of one row, carried by Arrow: how many vowels a string has."""
@@ -19,12 +23,17 @@ def vowels() -> object:
 
 
 def unaccented(value: Column) -> Column:
-    """A vectorised function, a whole Arrow batch at once: letters without their accents and other marks."""
+    """A vectorised function: letters without their accents and other marks.
+
+    The decomposed forms, of two to four bytes a character, are held for one text at a time and not for a whole batch.
+    """
+
+    def plain(text: str) -> str:
+        return text if text.isascii() else normalize("NFC", MARKS.sub("", normalize("NFD", text)))
 
     @F.pandas_udf("string")
     def strip(values: pd.Series) -> pd.Series:
-        whole = values.str.normalize("NFD").str.replace("[\u0300-\u036f]", "", regex=True)
-        return whole.str.normalize("NFC")
+        return values.map(plain, na_action="ignore")
 
     return strip(value)
 
